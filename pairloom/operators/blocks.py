@@ -14,7 +14,6 @@ import math
 import sys
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.scratch import BROADCAST_BYTES
+from pairloom.scratch import BROADCAST_BYTES, delete, scratch_folder
 
 BLOCK_BYTES = 32 * 1024 * 1024
 TILE_CELLS = 1_000_000
@@ -149,52 +148,68 @@ def _add_product(out: np.ndarray, rows: np.ndarray, cols: np.ndarray, vals: np.n
         out[rows[part][starts]] += np.add.reduceat(terms, starts, axis=0)
 
 
-def tagged(tables: dict[int, DataFrame]) -> DataFrame:
-    """Union of block tables with their number in front."""
-    return reduce(DataFrame.unionByName, [t.select(F.lit(s).alias("seq"), "block", "data") for s, t in tables.items()])
-
-
-def combine(tables: dict[int, DataFrame], factors: dict[int, np.ndarray]) -> DataFrame:
-    """Block table of ``sum(tables[s] @ factors[s])``."""
-
-    def scaled(batches):
-        def terms():
-            for seq, block, data in _rows_of(batches):
-                factor = factors[seq]
-                yield block, np.frombuffer(data).reshape(-1, factor.shape[0]) @ factor
-
-        return _partial_sums(terms())
-
-    return _sum_blocks(tagged(tables).mapInArrow(scaled, _BLOCK_SCHEMA))
-
-
-def inner(
-    tables: dict[int, DataFrame], widths: dict[int, int], right: list[DataFrame], right_widths: list[int], grid: Grid
-) -> dict[int, np.ndarray]:
-    """``tables[s]' @ [right...]`` for every s. Only these column-by-column products reach the driver."""
-    names = [f"right_{r}" for r in range(len(right))]
-    others = [t.select("block", F.col("data").alias(name)) for t, name in zip(right, names)]
-    if _fits_broadcast(grid, sum(right_widths)):
-        others = [F.broadcast(t) for t in others]
-    joined = reduce(lambda a, b: a.join(b, "block"), others, tagged(tables))
-    total = sum(right_widths)
-
-    def products(batches):
-        sums: dict[int, np.ndarray] = {}
-        for seq, data, *rest in _rows_of(batches):
-            left = np.frombuffer(data).reshape(-1, widths[seq])
-            for position, (blob, width) in enumerate(zip(rest, right_widths)):
-                low = sum(right_widths[:position])
-                out = sums.setdefault(seq, np.zeros((widths[seq], total)))
-                out[:, low : low + width] += left.T @ np.frombuffer(blob).reshape(-1, width)
-        for seq, out in sums.items():
-            yield _block_row(seq, out)
-
-    partial = joined.select("seq", "data", *names).mapInArrow(products, _BLOCK_SCHEMA)
-    return {
-        row["block"]: np.frombuffer(row["data"]).reshape(widths[row["block"]], total)
-        for row in _sum_blocks(partial).toLocalIterator()
-    }
+class BlockStore:
+    """Block tables written as ``seq=0``, ``seq=1``, ... of one scratch folder, read back in one scan."""
+
+    def __init__(self, spark: SparkSession, grid: Grid):
+        self.spark, self.grid = spark, grid
+        self.folder = scratch_folder(spark, "svd-blocks")
+        self.widths: dict[int, int] = {}
+        self._next = 0
+
+    def write(self, blocks: DataFrame, width: int) -> int:
+        """Write a block table and return its number."""
+        seq = self._next
+        self._next += 1
+        blocks.write.parquet(f"{self.folder}/seq={seq}")
+        self.widths[seq] = width
+        return seq
+
+    def read(self, *seqs: int) -> DataFrame:
+        """``(block, data, seq)`` of the given tables."""
+        reader = self.spark.read.schema(f"{_BLOCK_SCHEMA}, seq int").option("basePath", self.folder)
+        return reader.parquet(*[f"{self.folder}/seq={seq}" for seq in seqs])
+
+    def drop(self, *seqs: int) -> None:
+        for seq in seqs:
+            delete(self.spark, f"{self.folder}/seq={seq}")
+
+    def combine(self, factors: dict[int, np.ndarray]) -> DataFrame:
+        """Block table of the sum of ``table[s] @ factors[s]``."""
+
+        def scaled(batches):
+            def terms():
+                for seq, block, data in _rows_of(batches):
+                    factor = factors[seq]
+                    yield block, np.frombuffer(data).reshape(-1, factor.shape[0]) @ factor
+
+            return _partial_sums(terms())
+
+        tables = self.read(*factors).select("seq", "block", "data")
+        return _sum_blocks(tables.mapInArrow(scaled, _BLOCK_SCHEMA))
+
+    def inner(self, left: list[int], right: list[int]) -> dict[tuple[int, int], np.ndarray]:
+        """``table[l]' @ table[r]`` for every l and r: column by column, the size does not depend on ``n``."""
+        widths, pairs = self.widths, len(right)
+        place = {seq: position for position, seq in enumerate(right)}
+        others = self.read(*right).select("block", F.col("seq").alias("other"), F.col("data").alias("other_data"))
+        if _fits_broadcast(self.grid, sum(widths[seq] for seq in right)):
+            others = F.broadcast(others)
+        joined = self.read(*left).join(others, "block").select("seq", "other", "data", "other_data")
+
+        def products(batches):
+            def terms():
+                for seq, other, data, other_data in _rows_of(batches):
+                    a = np.frombuffer(data).reshape(-1, widths[seq])
+                    yield seq * pairs + place[other], a.T @ np.frombuffer(other_data).reshape(-1, widths[other])
+
+            return _partial_sums(terms())
+
+        totals = {}
+        for row in _sum_blocks(joined.mapInArrow(products, _BLOCK_SCHEMA)).collect():
+            seq, other = row["block"] // pairs, right[row["block"] % pairs]
+            totals[seq, other] = np.frombuffer(row["data"]).reshape(widths[seq], widths[other])
+        return totals
 
 
 def random_blocks(spark: SparkSession, grid: Grid, columns: int, scale: float, seed: int) -> DataFrame:

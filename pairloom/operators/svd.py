@@ -6,17 +6,18 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions import dot
 from pairloom.operators import blocks as bl
-from pairloom.operators.blocks import Grid
-from pairloom.scratch import Staged, stage
+from pairloom.operators.blocks import BlockStore, Grid
 
 # Up to this order the start block is the whole identity, which makes the result exact after one pass.
 SMALL_ORDER = 1024
 LARGEST_EXACT_ORDER = 4096
+# Passes cost about the same for any narrow block, and a wider block needs fewer of them.
+MIN_BLOCK = 48
 
 # Solver names of the replaced tool and the method that stands for each.
 SOLVERS = {
@@ -32,7 +33,6 @@ SOLVERS = {
 
 # Directions of a new block below this share of its norm (squared) are rounding noise.
 _NOISE = 1e-13
-_IMAGE = -1
 
 
 @dataclass(frozen=True)
@@ -101,30 +101,32 @@ def svd(
     if solver == "exact" and n > LARGEST_EXACT_ORDER:
         raise ValueError(f"method {method!r} is for matrices up to order {LARGEST_EXACT_ORDER}")
 
-    width = n if solver == "exact" else min(n, block or max(16, k // 2 + 8))
+    width = n if solver == "exact" else min(n, block or max(MIN_BLOCK, k // 2 + 8))
     parallelism = spark.sparkContext.defaultParallelism
     grid = Grid.plan(n, facts["cells"], width, parallelism)
+    store = BlockStore(spark, grid)
     tiles = bl.tile_table(cells, grid, facts["cells"], parallelism, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if solver == "exact":
             start = bl.identity_blocks(spark, grid)
+        elif which == "smallest":
+            start = bl.random_blocks(spark, grid, width, 1.0 / np.sqrt(n), seed)
         else:
-            scale = 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300)
-            noise = bl.random_blocks(spark, grid, width, scale if which == "largest" else 1.0 / np.sqrt(n), seed)
             # Starting inside the range of A keeps rows without cells at exactly zero.
-            start = bl.multiply(tiles, noise, grid, width, transposed=False) if which == "largest" else noise
-        krylov = _Krylov(tiles, grid, stage(start, "svd-block"), width, k, which, tol)
-        limit = max_basis or max(12 * width, 3 * k + 2 * width)
-        krylov.run(max_passes, max(limit, k + 2 * width))
-        left = stage(bl.combine(krylov.tables(), krylov.ritz_factors()), "svd-left")
-        krylov.drop()
+            noise = bl.random_blocks(spark, grid, width, 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300), seed)
+            start = bl.multiply(tiles, noise, grid, width, transposed=False)
+        krylov = _Krylov(tiles, store, store.write(start, width), k, which, tol)
+        krylov.run(max_passes, max(max_basis or 0, 12 * width if max_basis is None else 0, k + 2 * width))
+        left = store.write(store.combine(krylov.ritz_factors()), k)
+        store.drop(*krylov.basis)
         sigma = np.sqrt(np.maximum(krylov.theta, 0.0))
-        signs = bl.column_signs(left.df, grid, k)
+        signs = bl.column_signs(store.read(left), grid, k)
         right = None
         if right_vectors:
-            image = stage(bl.multiply(tiles, left.df, grid, k, transposed=True), "svd-right")
+            image = store.write(bl.multiply(tiles, store.read(left), grid, k, transposed=True), k)
             floor = max(sigma.max(), 1e-300) * 1e-12
-            right = bl.vectors(image.df, grid, np.where(sigma > floor, signs / np.maximum(sigma, floor), 0.0))
+            scale = np.where(sigma > floor, signs / np.maximum(sigma, floor), 0.0)
+            right = bl.vectors(store.read(image), grid, scale)
     finally:
         tiles.unpersist()
 
@@ -140,7 +142,7 @@ def svd(
     )
     components = spark.createDataFrame(rows, "component int, sigma double, residual double, converged boolean")
     return SvdResult(
-        u=bl.vectors(left.df, grid, signs),
+        u=bl.vectors(store.read(left), grid, signs),
         v=right,
         sigma=components.select("component", "sigma"),
         report=spark.createDataFrame([summary], report_schema),
@@ -152,25 +154,16 @@ def svd(
 class _Krylov:
     """Basis of block Krylov vectors with its Gram matrix and its projection of ``A A'``.
 
-    The basis blocks are staged tables. Their Gram matrix is measured, not assumed to be the
+    The basis blocks are written tables. Their Gram matrix is measured, not assumed to be the
     identity, so rounding in a block's orthogonalization is corrected in the small eigenproblem.
     """
 
-    def __init__(self, tiles: DataFrame, grid: Grid, start: Staged, width: int, k: int, which: str, tol: float):
-        self.tiles, self.grid, self.k, self.which, self.tol = tiles, grid, k, which, tol
-        self.basis: list[Staged] = [start]
-        self.widths: list[int] = [width]
+    def __init__(self, tiles: DataFrame, store: BlockStore, start: int, k: int, which: str, tol: float):
+        self.tiles, self.store, self.k, self.which, self.tol = tiles, store, k, which, tol
+        self.basis = [start]
         self.gram = np.zeros((0, 0))
         self.projection = np.zeros((0, 0))
         self.passes = self.restarts = 0
-        self.theta = self.residual = self.ritz = None
-
-    def tables(self) -> dict[int, DataFrame]:
-        return {s: block.df for s, block in enumerate(self.basis)}
-
-    def drop(self) -> None:
-        for block in self.basis:
-            block.drop()
 
     def ritz_factors(self) -> dict[int, np.ndarray]:
         return self._by_block(self.ritz[:, : self.k])
@@ -181,70 +174,65 @@ class _Krylov:
 
     def run(self, max_passes: int, max_basis: int) -> None:
         while True:
-            image, coefficients, remainder = self._extend()
-            wanted_enough = len(self.theta) == self.k
-            if wanted_enough and (self.relative_residual() <= self.tol).all():
+            image, coefficients, norm, remainder = self._extend()
+            enough = len(self.theta) == self.k
+            if enough and (self.relative_residual() <= self.tol).all():
                 break
-            whiten = _whitening(remainder[1], remainder[0])
+            whiten = _whitening(remainder, norm)
             if self.passes >= max_passes or whiten.shape[1] == 0:
-                if not wanted_enough:
+                if not enough:
                     raise RuntimeError("the Krylov space is smaller than k; use method='exact' or a larger block")
                 break
-            factors = self._by_block(-coefficients @ whiten) | {_IMAGE: whiten}
-            block = stage(bl.combine(self.tables() | {_IMAGE: image.df}, factors), "svd-block")
-            image.drop()
+            factors = self._by_block(-coefficients @ whiten) | {image: whiten}
+            block = self.store.write(self.store.combine(factors), whiten.shape[1])
+            self.store.drop(image)
             if len(self.gram) + whiten.shape[1] > max_basis:
                 self._restart()
             self.basis.append(block)
-            self.widths.append(whiten.shape[1])
-        image.drop()
-
-    def _extend(self) -> tuple[Staged, np.ndarray, tuple[np.ndarray, np.ndarray]]:
-        """Multiply the newest block by ``A A'`` and update the small eigenproblem."""
-        width = self.widths[-1]
-        last = self.basis[-1].df
-        half = bl.multiply(self.tiles, last, self.grid, width, transposed=True)
-        image = stage(bl.multiply(self.tiles, half, self.grid, width, transposed=False), "svd-image")
+        self.store.drop(image)
+
+    def _extend(self) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        """Multiply the newest block by ``A A'`` and solve the small eigenproblem again."""
+        store, last = self.store, self.basis[-1]
+        width = store.widths[last]
+        half = bl.multiply(self.tiles, store.read(last), store.grid, width, transposed=True)
+        image = store.write(bl.multiply(self.tiles, half, store.grid, width, transposed=False), width)
         self.passes += 1
-        widths = dict(enumerate(self.widths)) | {_IMAGE: width}
-        tables = self.tables() | {_IMAGE: image.df}
-        products = bl.inner(tables, widths, [last, image.df], [width, width], self.grid)
-        stacked = np.vstack([products[s] for s in range(len(self.basis))])
-        self.gram = _border(self.gram, stacked[:, :width])
-        self.projection = _border(self.projection, stacked[:, width:])
-        overlap, norm = stacked[:, width:], products[_IMAGE][:, width:]
+        products = store.inner([*self.basis, image], [last, image])
+        self.gram = _border(self.gram, np.vstack([products[s, last] for s in self.basis]))
+        overlap = np.vstack([products[s, image] for s in self.basis])
+        self.projection = _border(self.projection, overlap)
 
         whiten = _whitening(self.gram, np.diag(self.gram))
         small = whiten.T @ self.projection @ whiten
         theta, vectors = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(theta) if self.which == "smallest" else np.argsort(-theta)
-        self.top = max(float(theta.max()), 0.0)
-        self.ritz = whiten @ vectors[:, order]
-        self.all_theta = theta[order]
-        self.theta = self.all_theta[: self.k]
+        self.ritz, self.all_theta = whiten @ vectors[:, order], theta[order]
+        self.theta, self.top = self.all_theta[: self.k], max(float(theta.max()), 0.0)
 
         coefficients = whiten @ (whiten.T @ overlap)
+        norm = products[image, image]
         remainder = norm - overlap.T @ coefficients
-        remainder = (remainder + remainder.T) / 2
-        if len(self.gram) >= self.grid.n:
+        if len(self.gram) >= store.grid.n:
             remainder = np.zeros_like(remainder)
-        # The basis holds everything but the newest image, so that image's remainder is the residual.
+        # The basis spans all earlier images, so the newest one's remainder is the whole residual.
         newest = self.ritz[-width:, : self.k]
         squares = np.einsum("ak,ab,bk->k", newest, remainder, newest)
         self.residual = np.sqrt(np.maximum(squares, 0.0))
-        return image, coefficients, (np.diag(norm), remainder)
+        return image, coefficients, np.diag(norm), (remainder + remainder.T) / 2
 
     def _restart(self) -> None:
         """Replace the basis by its best Ritz vectors."""
-        keep = min(self.ritz.shape[1], self.k + self.widths[-1])
-        vectors = stage(bl.combine(self.tables(), self._by_block(self.ritz[:, :keep])), "svd-block")
-        self.drop()
-        self.basis, self.widths = [vectors], [keep]
+        keep = min(self.ritz.shape[1], self.k + self.store.widths[self.basis[-1]])
+        best = self.store.write(self.store.combine(self._by_block(self.ritz[:, :keep])), keep)
+        self.store.drop(*self.basis)
+        self.basis = [best]
         self.gram, self.projection = np.eye(keep), np.diag(self.all_theta[:keep])
         self.restarts += 1
 
     def _by_block(self, factors: np.ndarray) -> dict[int, np.ndarray]:
-        return dict(enumerate(np.split(factors, np.cumsum(self.widths)[:-1])))
+        ends = np.cumsum([self.store.widths[seq] for seq in self.basis])[:-1]
+        return dict(zip(self.basis, np.split(factors, ends)))
 
 
 def _border(square: np.ndarray, columns: np.ndarray) -> np.ndarray:

@@ -35,6 +35,11 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="pairloom-")
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder name for one intermediate table."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 @dataclass(frozen=True)
 class Staged:
     """A written intermediate table."""
@@ -46,13 +51,13 @@ class Staged:
         return self.df.count()
 
     def drop(self) -> None:
-        _delete(self.df.sparkSession, self.path)
+        delete(self.df.sparkSession, self.path)
 
 
 def stage(df: DataFrame, name: str) -> Staged:
     """Write ``df`` to the scratch folder and return the table read back from there."""
     spark = df.sparkSession
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return Staged(spark.read.schema(df.schema).parquet(path), path)
 
@@ -64,10 +69,11 @@ def broadcast_if_small(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove every intermediate table of this application. Call when its results are written."""
-    _delete(spark, scratch_root(spark))
+    delete(spark, scratch_root(spark))
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder."""
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
