@@ -322,7 +322,7 @@ def svd_top_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svd_dominant_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First left vector, weighted by its singular value, of the part matrix."""
-    result = pl.svd(part_scores(spark, sf_dir), 1, block=8, tol=1e-11)
+    result = pl.svd(part_scores(spark, sf_dir), 1, block=8, tol=1e-10)
     first = pl.to_long(pl.embeddings(result, 1.0)).select("i", "value")
     return first.select("i", _rounded("value"))
 

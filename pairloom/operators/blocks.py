@@ -27,7 +27,8 @@ BLOCK_BYTES = 32 * 1024 * 1024
 TILE_CELLS = 1_000_000
 SMALL_TILE_CELLS = 32_768
 COMBINE_BYTES = 128 * 1024 * 1024
-_PRODUCT_TERMS = 2_000_000
+# Terms of one slice of a product; about what a core's cache holds.
+_PRODUCT_TERMS = 200_000
 
 # The task functions travel with the job, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -116,7 +116,7 @@ def svd(
             noise = bl.random_blocks(spark, grid, width, 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300), seed)
             start = bl.multiply(tiles, noise, grid, width, transposed=False)
         krylov = _Krylov(tiles, store, store.write(start, width), k, which, tol)
-        krylov.run(max_passes, max(max_basis or 0, 12 * width if max_basis is None else 0, k + 2 * width))
+        krylov.run(max_passes, max(max_basis or 0, 16 * width if max_basis is None else 0, k + 2 * width))
         left = store.write(store.combine(krylov.ritz_factors()), k)
         store.drop(*krylov.basis)
         sigma = np.sqrt(np.maximum(krylov.theta, 0.0))

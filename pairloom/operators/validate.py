@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.operators.svd import to_long
-
 # Fixed value: a component whose cosine distance is above this counts as different.
 COSINE_LIMIT = 0.01
 
@@ -34,13 +32,22 @@ def compare_factors(left: DataFrame, right: DataFrame, limit: float = COSINE_LIM
     The distance is 1 - abs(cos), as the sign of a singular vector is arbitrary. A row that only one
     table has counts as zeros in the other.
     """
-    a = to_long(left).withColumnRenamed("value", "x")
-    b = to_long(right).withColumnRenamed("value", "y")
-    x, y = F.coalesce("x", F.lit(0.0)), F.coalesce("y", F.lit(0.0))
+    a = left.select("i", F.col("features").alias("x"))
+    b = right.select("i", F.col("features").alias("y"))
+    zero = F.lit(0.0)
+
+    def terms(x: Column, y: Column) -> Column:
+        x, y = F.coalesce(x, zero), F.coalesce(y, zero)
+        return F.struct((x * y).alias("xy"), (x * x).alias("xx"), (y * y).alias("yy"))
+
+    # Joined row by row and taken apart afterwards, so the shuffle moves whole vectors.
+    absent = F.array().cast("array<double>")
+    paired = F.zip_with(F.coalesce("x", absent), F.coalesce("y", absent), terms)
     sums = (
-        a.join(b, ["component", "i"], "full_outer")
+        a.join(b, "i", "full_outer")
+        .select(F.posexplode(paired).alias("component", "term"))
         .groupBy("component")
-        .agg(F.sum(x * y).alias("xy"), F.sum(x * x).alias("xx"), F.sum(y * y).alias("yy"))
+        .agg(F.sum("term.xy").alias("xy"), F.sum("term.xx").alias("xx"), F.sum("term.yy").alias("yy"))
     )
     cosine = F.col("xy") / F.nullif(F.sqrt(F.col("xx") * F.col("yy")), F.lit(0.0))
     distance = F.lit(1.0) - F.abs(F.coalesce(cosine, F.lit(0.0)))
