@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import pairloom as pl  # noqa: E402
-from pairloom import sources  # noqa: E402
-from pairloom.functions import epoch_day  # noqa: E402
+from pairloom import plans, sources  # noqa: E402
+from pairloom.functions import cosine_distance, epoch_day  # noqa: E402
 from pairloom.scratch import broadcast_if_small, scratch_folder, stage  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -322,9 +322,9 @@ def svd_top_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def svd_dominant_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First left vector, weighted by its singular value, of the part matrix."""
-    result = pl.svd(part_scores(spark, sf_dir), 1, block=8, tol=1e-10)
+    result = pl.svd(part_scores(spark, sf_dir), 1, block=8, tol=1e-11)
     first = pl.to_long(pl.embeddings(result, 1.0)).select("i", "value")
-    return first.select("i", _rounded("value"))
+    return first.select("i", _rounded("value", 4))
 
 
 # ---------------------------------------------------------------- checks
@@ -350,6 +350,14 @@ def factor_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.compare_factors(exact.u, krylov.u).select("component", "failed")
 
 
+def cosine_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distance of every vector to the one with the next id."""
+    vectors = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").cast("array<double>").alias("a"))
+    following = vectors.select((F.col("vec_id") - 1).alias("vec_id"), F.col("a").alias("b"))
+    distance = cosine_distance(F.col("a"), F.col("b")).alias("distance")
+    return vectors.join(following, "vec_id").select("vec_id", distance).select("vec_id", _rounded("distance"))
+
+
 def invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells with ``count = i + j``; expansion doubles the diagonal and leaves the rest."""
     i, j = F.col("i"), F.col("j")
@@ -400,6 +408,46 @@ def pairs_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.cooccurrence(csv_events(spark, sf_dir))
 
 
+def _event_files(spark: SparkSession, sf_dir: str, shards: int = 1) -> list[str]:
+    """Order events written as event files, sharded by patient."""
+    events = stage(order_events(spark, sf_dir).drop("l_orderkey"), "events").df
+    folder = scratch_folder(spark, "event-files")
+    for shard in range(shards):
+        events.filter(F.pmod("PatientOrder", F.lit(shards)) == shard).write.parquet(f"{folder}/{shard}")
+    return [f"{folder}/{shard}" for shard in range(shards)]
+
+
+def job_count_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.count_events(spark, _event_files(spark, sf_dir), scratch_folder(spark, "counts"))
+
+
+def job_add_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards counted on their own, then added up."""
+    folder = scratch_folder(spark, "shard-counts")
+    outputs = []
+    for shard, path in enumerate(_event_files(spark, sf_dir, 3)):
+        outputs.append(f"{folder}/{shard}")
+        plans.count_events(spark, path, outputs[-1])
+    return plans.add_counts(spark, outputs, scratch_folder(spark, "sum"))
+
+
+def job_reduce_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    matrix = stage(pl.cooccurrence(order_events(spark, sf_dir)), "counts").path
+    mapping = stage(part_mapping(spark, sf_dir), "mapping").path
+    return plans.reduce_matrix(spark, matrix, mapping, scratch_folder(spark, "reduced"))
+
+
+def job_embed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column c of the written embeddings has the squared length sigma[c]; the squares add up to the energy."""
+    counts = stage(pl.rollup(order_matrix(spark, sf_dir), part_mapping(spark, sf_dir)), "counts")
+    output, size = scratch_folder(spark, "embeddings"), pl.matrix_order(counts.df).first()["n"]
+    plans.embed_matrix(spark, counts.path, output, size, symmetric=True, weighted=True)
+    lengths = pl.to_long(sources.read_embeddings(spark, output)).groupBy("component")
+    sigma = lengths.agg(F.sum(F.col("value") * F.col("value")).alias("sigma"))
+    energy = sigma.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy"))
+    return energy.select(_rounded("energy", 4))
+
+
 def gen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One random history per customer."""
     events = sources.generate_events(spark, _table(spark, sf_dir, "customer").select("c_custkey"))
@@ -475,7 +523,7 @@ SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(sum(ppmi * ppmi), 0), 6) + 0.0
 FROM (SELECT unnest(range(CAST(top + 1 AS BIGINT))) AS i FROM size) r LEFT JOIN ppmi p ON p.i = r.i GROUP BY r.i"""
 
 
-def _dominant_sql(rounds: int = 16) -> str:
+def _dominant_sql(rounds: int = 10) -> str:
     """Power iteration: each round multiplies by the matrix and its transpose and normalizes."""
     steps = ["x0 AS (SELECT i, sum(ppmi) AS x FROM ppmi GROUP BY i)"]
     for r in range(rounds):
@@ -483,7 +531,7 @@ def _dominant_sql(rounds: int = 16) -> str:
         steps.append(f"z{r} AS (SELECT i, sum(ppmi * y) AS z FROM ppmi JOIN y{r} USING (j) GROUP BY i)")
         steps.append(f"x{r + 1} AS (SELECT i, z / (SELECT sqrt(sum(z * z)) FROM z{r}) AS x FROM z{r})")
     last = f"""lam AS (SELECT sqrt(sqrt(sum(z * z))) AS sigma FROM z{rounds - 1})
-SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(x, 0) * sigma, 6) + 0.0 AS value
+SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(x, 0) * sigma, 4) + 0.0 AS value
 FROM (SELECT unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS i FROM ppmi) r
 LEFT JOIN x{rounds} x ON x.i = r.i, lam"""
     return _PART_PPMI + ", " + ", ".join(steps) + ", " + last
@@ -564,6 +612,9 @@ def oracle_sql() -> dict[str, str]:
           FROM wide w FULL JOIN narrow n USING (i, j) WHERE w.count IS DISTINCT FROM n.count""",
         "diff_summary": f"WITH {_COUNTS} SELECT count(*) AS cells, CAST(0 AS BIGINT) AS mismatches FROM counts",
         "factor_compare": "SELECT CAST(unnest(range(3)) AS INTEGER) AS component, false AS failed",
+        "cosine_neighbours": """SELECT a.vec_id, round(list_cosine_distance(CAST(a.embedding AS DOUBLE[]),
+            CAST(b.embedding AS DOUBLE[])), 6) + 0.0 AS distance
+          FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
         "invariants": """WITH cells AS (SELECT DISTINCT l_suppkey AS i, l_linenumber AS j FROM lineitem)
           SELECT CAST(sum(CASE WHEN i = j THEN 1 ELSE 2 END) AS BIGINT) AS cells,
                  CAST(count(*) FILTER (i = j) AS BIGINT) AS diagonal, CAST(0 AS BIGINT) AS violations FROM cells""",
@@ -574,6 +625,10 @@ def oracle_sql() -> dict[str, str]:
         "roundtrip_long_embeddings": _ROW_ENERGY,
         "csv_events": order_rows,
         "pairs_csv": pairs,
+        "job_count_events": pairs,
+        "job_add_counts": pairs,
+        "job_reduce_matrix": f"{_CODE_COUNTS} SELECT i, j, count FROM reduced",
+        "job_embed_matrix": energy,
         "gen_events": """SELECT c_custkey AS "PatientOrder", CAST(99 AS BIGINT) AS n_events, true AS days_ok,
           true AS words_ok FROM customer""",
         "gen_matrix": "SELECT CAST(0 AS BIGINT) AS violations, true AS share_ok",

@@ -110,8 +110,13 @@ def _tile(key: tuple[int, int], parts: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, ["row_block", "col_block", "rows", "cols", "by_col", "vals"])
 
 
-def multiply(tiles: DataFrame, x: DataFrame, grid: Grid, columns: int, transposed: bool) -> DataFrame:
-    """``A x`` or, with ``transposed``, ``A' x`` as a block table."""
+def multiply(
+    tiles: DataFrame, x: DataFrame, grid: Grid, columns: int, transposed: bool, every_block: bool = False
+) -> DataFrame:
+    """``A x`` or, with ``transposed``, ``A' x`` as a block table.
+
+    A block without cells has no row in it unless ``every_block`` asks for zeros.
+    """
     inward, outward = ("row_block", "col_block") if transposed else ("col_block", "row_block")
     x = x.select(F.col("block").alias(inward), "data")
     if _fits_broadcast(grid, columns):
@@ -135,6 +140,8 @@ def multiply(tiles: DataFrame, x: DataFrame, grid: Grid, columns: int, transpose
         return _partial_sums(terms())
 
     partial = joined.select(outward, "rows", "cols", "by_col", "vals", "data").mapInArrow(products, _BLOCK_SCHEMA)
+    if every_block:
+        partial = partial.unionByName(random_blocks(tiles.sparkSession, grid, columns, 0.0, 0))
     return _sum_blocks(partial)
 
 
@@ -162,7 +169,9 @@ class BlockStore:
         """Write a block table and return its number."""
         seq = self._next
         self._next += 1
-        blocks.write.parquet(f"{self.folder}/seq={seq}")
+        # Rows are large: let the writer look at its buffer after each instead of every hundred.
+        writer = blocks.write.option("parquet.page.size.row.check.min", 1)
+        writer.option("parquet.block.size.row.check.min", 1).parquet(f"{self.folder}/seq={seq}")
         self.widths[seq] = width
         return seq
 
@@ -206,7 +215,7 @@ class BlockStore:
 
             return _partial_sums(terms())
 
-        totals = {}
+        totals = {(a, b): np.zeros((widths[a], widths[b])) for a in left for b in right}
         for row in _sum_blocks(joined.mapInArrow(products, _BLOCK_SCHEMA)).collect():
             seq, other = row["block"] // pairs, right[row["block"] % pairs]
             totals[seq, other] = np.frombuffer(row["data"]).reshape(widths[seq], widths[other])

@@ -80,16 +80,16 @@ def svd(
     if method not in SOLVERS:
         raise ValueError(f"unknown method {method!r}")
     spark = matrix.sparkSession
-    cells = matrix.select("i", "j", F.col(value_col).alias("value")).filter(F.col("value") != 0)
+    cells = matrix.select("i", "j", F.col(value_col).alias("value"))
     facts = cells.agg(
-        F.count(F.lit(1)).alias("cells"),
+        F.count_if(F.col("value") != 0).alias("cells"),
         F.greatest(F.max("i"), F.max("j")).alias("top"),
         F.least(F.min("i"), F.min("j")).alias("bottom"),
         F.sum(F.col("value") * F.col("value")).alias("squares"),
     ).first()
+    cells = cells.filter(F.col("value") != 0)
     top = -1 if facts["top"] is None else facts["top"]
-    if n is None:
-        n = matrix_size(matrix)
+    n = top + 1 if n is None else n
     if top >= n or (facts["bottom"] or 0) < 0:
         raise ValueError(f"index outside 0..{n - 1}: {facts['bottom']}..{top}")
     if not 1 <= k <= n:
@@ -114,16 +114,17 @@ def svd(
         else:
             # Starting inside the range of A keeps rows without cells at exactly zero.
             noise = bl.random_blocks(spark, grid, width, 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300), seed)
-            start = bl.multiply(tiles, noise, grid, width, transposed=False)
+            start = bl.multiply(tiles, noise, grid, width, transposed=False, every_block=True)
         krylov = _Krylov(tiles, store, store.write(start, width), k, which, tol)
-        krylov.run(max_passes, max(max_basis or 0, 16 * width if max_basis is None else 0, k + 2 * width))
+        krylov.run(max_passes, max(max_basis or 16 * width, k + 2 * width))
         left = store.write(store.combine(krylov.ritz_factors()), k)
         store.drop(*krylov.basis)
         sigma = np.sqrt(np.maximum(krylov.theta, 0.0))
         signs = bl.column_signs(store.read(left), grid, k)
         right = None
         if right_vectors:
-            image = store.write(bl.multiply(tiles, store.read(left), grid, k, transposed=True), k)
+            image = bl.multiply(tiles, store.read(left), grid, k, transposed=True, every_block=True)
+            image = store.write(image, k)
             floor = max(sigma.max(), 1e-300) * 1e-12
             scale = np.where(sigma > floor, signs / np.maximum(sigma, floor), 0.0)
             right = bl.vectors(store.read(image), grid, scale)

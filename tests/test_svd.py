@@ -56,10 +56,10 @@ def test_shuffled_blocks_give_the_same(spark, monkeypatch):
 
 def test_restart(spark):
     rng = np.random.default_rng(4)
-    q, _ = np.linalg.qr(rng.standard_normal((200, 200)))
-    p, _ = np.linalg.qr(rng.standard_normal((200, 200)))
-    a = q @ np.diag(np.linspace(10, 1, 200)) @ p
-    result = pl.svd(frame(spark, a), 2, n=200, method="krylov", block=6, max_basis=30, right_vectors=True)
+    q, _ = np.linalg.qr(rng.standard_normal((120, 120)))
+    p, _ = np.linalg.qr(rng.standard_normal((120, 120)))
+    a = q @ np.diag(10 * 0.93 ** np.arange(120)) @ p
+    result = pl.svd(frame(spark, a), 2, n=120, method="krylov", block=8, max_basis=24, right_vectors=True)
     assert result.report.first()["restarts"] > 0
     check(spark, a, result, 2)
 
@@ -102,6 +102,22 @@ def test_rank_deficient_with_empty_rows(spark, method):
     np.testing.assert_allclose(u[:10], 0, atol=1e-12)
 
 
+@pytest.mark.parametrize("method", ["exact", "krylov"])
+def test_blocks_without_cells(spark, method, monkeypatch):
+    monkeypatch.setattr(blocks, "SMALL_TILE_CELLS", 20)
+    a = np.zeros((64, 64))
+    a[1::4, 2::4] = random_sparse(16, 0.9, 14)
+    result = pl.svd(frame(spark, a), 3, n=64, method=method, block=8, right_vectors=True)
+    assert dense(result.u).shape == dense(result.v).shape == (64, 3)
+    check(spark, a, result, 3)
+
+
+def test_zero_matrix(spark):
+    empty = spark.createDataFrame([(0, 1, 0.0)], "i int, j int, ppmi double")
+    result = pl.svd(empty, 2, n=4)
+    assert result.values == [0.0, 0.0] and result.u.count() == 4
+
+
 def test_weighting(spark):
     a = random_sparse(30, 0.4, 10)
     result = pl.svd(frame(spark, a), 5, n=30)
@@ -115,9 +131,8 @@ def test_weighting(spark):
 
 
 def test_same_seed_same_result(spark):
-    a = random_sparse(90, 0.2, 12)
-    first = pl.svd(frame(spark, a), 3, n=90, method="krylov", block=10)
-    second = pl.svd(frame(spark, a), 3, n=90, method="krylov", block=10)
+    cells = frame(spark, random_sparse(60, 0.2, 12))
+    first, second = (pl.svd(cells, 3, n=60, method="krylov", block=30) for _ in range(2))
     np.testing.assert_allclose(dense(first.u), dense(second.u), atol=1e-10)
 
 
