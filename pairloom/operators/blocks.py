@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 
 from pairloom.scratch import BROADCAST_BYTES, delete, scratch_folder
 
-BLOCK_BYTES = 32 * 1024 * 1024
-TILE_CELLS = 1_000_000
+# Limits of one row: a task holds a few rows at a time in the JVM and in Python.
+BLOCK_BYTES = 8 * 1024 * 1024
+TILE_CELLS = 65_536
+# Fewer cells than this are not worth a tile, fewer than a million not a partition of a large matrix.
 SMALL_TILE_CELLS = 32_768
+PARTITION_CELLS = 1_000_000
 COMBINE_BYTES = 128 * 1024 * 1024
 # Terms of one slice of a product; about what a core's cache holds.
 _PRODUCT_TERMS = 200_000
@@ -47,9 +50,8 @@ class Grid:
     @classmethod
     def plan(cls, n: int, cells: int, columns: int, parallelism: int) -> Grid:
         by_bytes = math.ceil(n * columns * 8 / BLOCK_BYTES)
-        by_cells = math.ceil(math.sqrt(cells / TILE_CELLS))
-        by_cores = min(math.ceil(math.sqrt(2 * parallelism)), math.ceil(math.sqrt(cells / SMALL_TILE_CELLS)))
-        return cls(n, max(1, min(n, max(by_bytes, by_cells, by_cores))))
+        by_cores = min(math.ceil(math.sqrt(4 * parallelism)), math.ceil(math.sqrt(cells / SMALL_TILE_CELLS)))
+        return cls(n, max(1, min(n, max(by_bytes, by_cores))))
 
     def height(self, block: int) -> int:
         return (self.n - block + self.side - 1) // self.side
@@ -59,7 +61,7 @@ class Grid:
 
 
 def tile_table(cells: DataFrame, grid: Grid, count: int, parallelism: int, columns: int) -> DataFrame:
-    """Pack cells ``(i, j, value)`` into tiles.
+    """Pack cells ``(i, j, value)`` into tiles; a tile with many cells becomes several rows.
 
     Range partitioning on (tile, row) gives equal shares of cells, also when one tile or one word
     holds many of them. Dense blocks above the broadcast limit are joined by shuffle, for which the
@@ -73,7 +75,7 @@ def tile_table(cells: DataFrame, grid: Grid, count: int, parallelism: int, colum
         F.floor(F.col("j") / side).cast("int").alias("col"),
         F.col("value").cast("double").alias("value"),
     )
-    parts = max(1, min(max(parallelism, count // TILE_CELLS), math.ceil(count / (SMALL_TILE_CELLS // 2))))
+    parts = max(1, min(max(parallelism, count // PARTITION_CELLS), math.ceil(count / (SMALL_TILE_CELLS // 2))))
     order = ["row_block", "col_block", "row", "col"]
     packed = (
         dealt.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order).mapInArrow(_pack, _TILE_SCHEMA)
@@ -127,11 +129,10 @@ def multiply(
 
     def products(batches):
         def terms():
-            for row in _rows_of(batches):
-                block, rows, cols, by_col, vals, data = row
+            for block, data, rows, cols, vals, *by_col in _rows_of(batches):
                 rows, cols, vals = _ints(rows), _ints(cols), np.frombuffer(vals)
                 if transposed:
-                    order = _ints(by_col)
+                    order = _ints(by_col[0])
                     rows, cols, vals = cols[order], rows[order], vals[order]
                 out = np.zeros((grid.height(block), columns))
                 _add_product(out, rows, cols, vals, np.frombuffer(data).reshape(-1, columns))
@@ -139,7 +140,8 @@ def multiply(
 
         return _partial_sums(terms())
 
-    partial = joined.select(outward, "rows", "cols", "by_col", "vals", "data").mapInArrow(products, _BLOCK_SCHEMA)
+    needed = ["data", "rows", "cols", "vals", *(["by_col"] if transposed else [])]
+    partial = joined.select(outward, *needed).mapInArrow(products, _BLOCK_SCHEMA)
     if every_block:
         partial = partial.unionByName(random_blocks(tiles.sparkSession, grid, columns, 0.0, 0))
     return _sum_blocks(partial)
