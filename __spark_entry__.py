@@ -105,10 +105,20 @@ def pairs_same_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs_split_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every group above four rows is cut, as a very active patient's would be."""
+    """Nearly every patient is counted as a busy one, and days above four words are cut."""
     return pl.cooccurrence(order_events(spark, sf_dir), max_group_rows=4)
 
 
+def pairs_busy_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The event log has few words that come back every day."""
+    return pl.cooccurrence(log_events(spark, sf_dir), window_days=7, max_group_rows=16)
+
+
+def pairs_busy_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some patients busy, some not."""
+    return pl.cooccurrence(order_events(spark, sf_dir), window_days=400, max_group_rows=24)
+
+
 def pairs_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pl.cooccurrence(log_events(spark, sf_dir))
 
@@ -553,6 +563,8 @@ def oracle_sql() -> dict[str, str]:
         "pairs_orders_wide": f"WITH {_pairs_cte(window=400)} SELECT i, j, count FROM counts",
         "pairs_same_day": f"WITH {_pairs_cte(window=0)} SELECT i, j, count FROM counts",
         "pairs_split_groups": pairs,
+        "pairs_busy_events": f"WITH {_pairs_cte(_LOG_EVENTS, 7)} SELECT i, j, count FROM counts",
+        "pairs_busy_wide": f"WITH {_pairs_cte(window=400)} SELECT i, j, count FROM counts",
         "pairs_events": f"WITH {_pairs_cte(_LOG_EVENTS)} SELECT i, j, count FROM counts",
         "pairs_events_w3": f"WITH {_pairs_cte(_LOG_EVENTS, 3)} SELECT i, j, count FROM counts",
         "pairs_file_scope": f"WITH {_pairs_cte(extra='AND a.okey % 2 = b.okey % 2')} SELECT i, j, count FROM counts",

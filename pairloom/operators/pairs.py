@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions import band_start, high, low, required
 from pairloom.scratch import Staged, broadcast_if_small, stage
 
-# Most distinct (day, word) rows of one patient and band that a single join key may hold
-# on either side. Larger groups are cut into a square of smaller keys.
+# Most distinct (day, word) rows that one join key may hold on either side.
 MAX_GROUP_ROWS = 4096
 
 
@@ -28,7 +27,7 @@ def daily_counts(
     spread over all tasks, and copies are added up before the shuffle.
     """
     return events.groupBy(
-        *scope,
+        *[required(F.col(column), column).alias(column) for column in scope],
         required(F.col(patient), patient).cast("bigint").alias("patient"),
         required(F.col(day), day).cast("bigint").alias("day"),
         required(F.col(word), word).cast("int").alias("word"),
@@ -50,70 +49,128 @@ def cooccurrence(
     Two events of the same word count on the diagonal; ``n`` copies of one event give
     ``n (n - 1) / 2``. Columns in ``scope`` must be equal too.
 
-    The day axis is cut into bands of ``window_days + 1`` days. A later event keeps its own band,
-    an earlier one is sent to its own and the next, so the range join becomes an equi-join that
-    meets every pair once. Groups above ``max_group_rows`` are split further, see
-    :func:`_split_groups`. Join output goes straight into the partial aggregate; only partial
-    sums per cell are shuffled.
+    Patients are counted in one of two ways with the same result. Most have few events in any
+    window, see :func:`_banded_pairs`. Those with more than ``max_group_rows`` distinct (day, word)
+    rows around a band of days are counted against sums over the window, see :func:`_summed_pairs`.
+    In both, joined rows go straight into the partial sum per cell; pairs are not shuffled.
     """
     if window_days < 0:
         raise ValueError("window_days must not be negative")
     counts = stage(daily_counts(events, patient, day, word, scope), "daily").df
-    width = window_days + 1
-    group = [*scope, "patient", "band"]
+    owner = [*scope, "patient"]
+    copies = counts.filter("n > 1").select(
+        F.col("word").alias("i"), F.col("word").alias("j"), F.expr("n * (n - 1) div 2").alias("weight")
+    )
 
+    busy = _busy_patients(counts, owner, window_days, max_group_rows)
+    n_busy = busy.count()
+    if n_busy == 0:
+        weights = _banded_pairs(counts, owner, window_days)
+    else:
+        patients = broadcast_if_small(busy.df, n_busy, 32 + 32 * len(owner))
+        rest = counts.join(patients, owner, "left_anti")
+        many = counts.join(patients, owner, "left_semi")
+        weights = _banded_pairs(rest, owner, window_days).unionByName(
+            _summed_pairs(many, owner, window_days, max_group_rows)
+        )
+    return weights.unionByName(copies).groupBy("i", "j").agg(F.sum("weight").alias("count"))
+
+
+def _banded_pairs(counts: DataFrame, owner: list[str], window: int) -> DataFrame:
+    """Weighted pairs ``(i, j, weight)`` by a range join of the events with each other.
+
+    The day axis is cut into bands of ``window + 1`` days. A later event keeps its own band, an
+    earlier one is sent to its own and the next, so the range join becomes an equi-join that meets
+    every pair once.
+    """
+    width = window + 1
     own_band = band_start(F.col("day"), width)
-    later = counts.withColumn("band", own_band)
-    earlier = counts.withColumn("band", F.explode(F.array(own_band, own_band + width)))
-    earlier, later, keys = _split_groups(earlier, later, group, width, max_group_rows)
-
-    a, b = earlier.alias("a"), later.alias("b")
+    a = counts.withColumn("band", F.explode(F.array(own_band, own_band + width))).alias("a")
+    b = counts.withColumn("band", own_band).alias("b")
     days_apart = F.col("b.day") - F.col("a.day")
-    one_order = (days_apart > 0) | (F.col("a.word") < F.col("b.word"))
-    condition = days_apart.between(0, window_days) & one_order
-    for key in keys:
+    condition = days_apart.between(0, window) & ((days_apart > 0) | (F.col("a.word") < F.col("b.word")))
+    for key in [*owner, "band"]:
         condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    across = a.join(b, condition).select(
-        low(F.col("a.word"), F.col("b.word")).alias("i"),
-        high(F.col("a.word"), F.col("b.word")).alias("j"),
-        (F.col("a.n") * F.col("b.n")).alias("weight"),
+    return a.join(b, condition).select(*_cell(), (F.col("a.n") * F.col("b.n")).alias("weight"))
+
+
+def _busy_patients(counts: DataFrame, owner: list[str], window: int, limit: int) -> Staged:
+    """Patients with more than ``limit`` rows in some band and the one before it.
+
+    Two neighbours can pass the limit only if one of them passes half of it, so the counts are cut
+    there before the neighbours meet.
+    """
+    width = window + 1
+    bands = counts.groupBy(*owner, band_start(F.col("day"), width).alias("band")).agg(F.count(F.lit(1)).alias("rows"))
+    both = bands.filter(F.col("rows") * 2 > limit).withColumn(
+        "band", F.explode(F.array(F.col("band"), F.col("band") + width))
     )
-    copies = counts.filter("n > 1").select(
-        F.col("word").alias("i"), F.col("word").alias("j"), F.expr("n * (n - 1) div 2").alias("weight")
+    around = both.groupBy(*owner, "band").agg(F.sum("rows").alias("rows"))
+    return stage(around.filter(F.col("rows") > limit).select(*owner).distinct(), "busy-patients")
+
+
+def _summed_pairs(counts: DataFrame, owner: list[str], window: int, limit: int) -> DataFrame:
+    """Weighted pairs of patients with many events: each event meets each word in its window once.
+
+    For every day of the patient with a word ahead in the window, ``later`` is the number of that
+    word's events after the day and ``same`` the number on it. A word that comes back every day is
+    then one partner of an event, not one per day. Only days that have events are looked at, so
+    there are never more sums than pairs. The sums run per patient and word, the join per patient
+    and day, and days above ``limit`` words are split: no task holds a whole patient.
+    """
+    back = Window.partitionBy(*owner).orderBy("day").rangeBetween(-window, 0)
+    # At most window + 1 days each.
+    days = counts.select(*owner, "day").distinct().withColumn("reach", F.collect_list("day").over(back))
+    reach = stage(days, "days")
+    reach_of = broadcast_if_small(reach.df, reach.count(), 64 + 32 * len(owner) + 8 * (window + 1))
+
+    by_word = Window.partitionBy(*owner, "word").orderBy("day")
+    rows = counts.join(reach_of, [*owner, "day"]).withColumn("previous", F.lag("day").over(by_word))
+    unseen = F.filter("reach", lambda at: F.col("previous").isNull() | (at > F.col("previous")))
+    ahead = rows.select(*owner, "word", "day", "n", F.explode(unseen).alias("at"))
+    ahead = ahead.withColumn("same", F.when(F.col("at") == F.col("day"), F.col("n")))
+    later = F.sum("same").over(Window.partitionBy(*owner, "word").orderBy("at").rangeBetween(1, max(window, 1)))
+    sums = ahead.select(
+        *owner,
+        F.col("at").alias("day"),
+        "word",
+        F.coalesce("same", F.lit(0)).alias("same"),
+        (F.coalesce(later, F.lit(0)) if window else F.lit(0)).cast("bigint").alias("later"),
     )
-    return across.unionByName(copies).groupBy("i", "j").agg(F.sum("weight").alias("count"))
+    sums = stage(sums, "window-sums").df
+    left, right, keys = _split_days(counts, sums, [*owner, "day"], limit)
+
+    a, b = left.alias("a"), right.alias("b")
+    partners = F.col("b.later") + F.when(F.col("a.word") < F.col("b.word"), F.col("b.same")).otherwise(0)
+    condition = partners > 0
+    for key in keys:
+        condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
+    return a.join(b, condition).select(*_cell(), (F.col("a.n") * partners).alias("weight"))
 
 
-def _split_groups(
-    earlier: DataFrame, later: DataFrame, group: list[str], width: int, limit: int
+def _split_days(
+    left: DataFrame, right: DataFrame, group: list[str], limit: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Cut the groups with many rows into ``parts x parts`` join keys of about ``limit`` rows a side.
+    """Cut the days with many words into ``parts x parts`` join keys of about ``limit`` rows a side.
 
-    A row hashes to one part of its own side and is repeated for every part of the other side, so
-    each pair of rows still meets in exactly one key. The table of large groups decides only how
-    the work is cut, never what is counted.
+    A row hashes to one part of its own side and is repeated for every part of the other, so each
+    two rows still meet in exactly one key. The table of large days decides only how the work is
+    cut, never what is counted.
     """
-    large = _large_groups(later, group, width, limit)
-    rows = large.count()
-    if rows == 0:
-        return earlier, later, group
-    large_groups = broadcast_if_small(large.df, rows, 64 + 16 * len(group))
+    sizes = right.groupBy(*group).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit)
+    large = stage(sizes.select(*group, F.expr(f"(rows + {limit - 1}) div {limit}").alias("parts")), "large-days")
+    n_large = large.count()
+    if n_large == 0:
+        return left, right, group
+    parts_of = broadcast_if_small(large.df, n_large, 32 + 32 * len(group))
     parts = F.coalesce(F.col("parts"), F.lit(1))
-    own = F.pmod(F.xxhash64("day", "word"), parts).cast("int")
+    own = F.pmod(F.xxhash64("word"), parts).cast("int")
     every = F.explode(F.sequence(F.lit(0), parts.cast("int") - 1))
-    earlier = earlier.join(large_groups, group, "left").withColumn("row_part", own).withColumn("col_part", every)
-    later = later.join(large_groups, group, "left").withColumn("col_part", own).withColumn("row_part", every)
-    return earlier, later, [*group, "row_part", "col_part"]
+    left = left.join(parts_of, group, "left").withColumn("row_part", own).withColumn("col_part", every)
+    right = right.join(parts_of, group, "left").withColumn("col_part", own).withColumn("row_part", every)
+    return left, right, [*group, "row_part", "col_part"]
 
 
-def _large_groups(later: DataFrame, group: list[str], width: int, limit: int) -> Staged:
-    """Groups to split, with their number of parts.
-
-    The earlier side of a band also holds the band before it. Its total can pass ``limit`` only
-    if one of the two passes half of it, so the counts are cut there before the neighbours meet.
-    """
-    bands = later.groupBy(*group).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") * 2 > limit)
-    both = bands.withColumn("band", F.explode(F.array(F.col("band"), F.col("band") + width)))
-    sizes = both.groupBy(*group).agg(F.sum("rows").alias("rows")).filter(F.col("rows") > limit)
-    parts = F.expr(f"(rows + {limit - 1}) div {limit}")
-    return stage(sizes.select(*group, parts.alias("parts")), "large-groups")
+def _cell() -> list:
+    a, b = F.col("a.word"), F.col("b.word")
+    return [low(a, b).alias("i"), high(a, b).alias("j")]

@@ -72,7 +72,9 @@ def test_dense_group_is_split(spark):
 def test_scope(spark):
     events = [(1, 0, 5, "a"), (1, 1, 6, "a"), (1, 2, 7, "b"), (1, 3, 8, "b")]
     frame = spark.createDataFrame(events, EVENTS + ", input string")
-    assert as_dict(pl.cooccurrence(frame, scope=["input"])) == brute(events, 30, lambda row: row[3])
+    for limit in (1, 4096):
+        apart = pl.cooccurrence(frame, scope=["input"], max_group_rows=limit)
+        assert as_dict(apart) == brute(events, 30, lambda row: row[3])
     assert as_dict(pl.cooccurrence(frame)) == brute(events, 30)
 
 
