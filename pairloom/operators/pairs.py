@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions import band_start, high, low, required
@@ -12,6 +12,12 @@ from pairloom.scratch import Staged, broadcast_if_small, stage
 
 # Most distinct (day, word) rows that one join key may hold on either side.
 MAX_GROUP_ROWS = 4096
+# Bands up to this size need no look at the pairs they make.
+SPARSE_BAND_ROWS = 16
+# Work of one task of a pair join.
+TASK_PAIRS = 20_000_000
+TASK_ROWS = 1_000_000
+MAX_TASKS = 50_000
 
 
 def daily_counts(
@@ -58,25 +64,25 @@ def cooccurrence(
         raise ValueError("window_days must not be negative")
     counts = stage(daily_counts(events, patient, day, word, scope), "daily").df
     owner = [*scope, "patient"]
-    copies = counts.filter("n > 1").select(
-        F.col("word").alias("i"), F.col("word").alias("j"), F.expr("n * (n - 1) div 2").alias("weight")
-    )
 
-    busy = _busy_patients(counts, owner, window_days, max_group_rows)
-    n_busy = busy.count()
+    bands = _dense_bands(counts, owner, window_days, max_group_rows)
+    squares = bands.df.agg(F.sum(F.col("rows") * F.col("rows")).alias("pairs")).first()["pairs"]
+    parts = _parts(counts.sparkSession, 2 * (squares or 0), counts.count())
+    busy = _busy_patients(bands.df, owner, window_days, max_group_rows) if squares else None
+    n_busy = busy.count() if busy else 0
     if n_busy == 0:
-        weights = _banded_pairs(counts, owner, window_days)
-    else:
-        patients = broadcast_if_small(busy.df, n_busy, 32 + 32 * len(owner))
-        rest = counts.join(patients, owner, "left_anti")
-        many = counts.join(patients, owner, "left_semi")
-        weights = _banded_pairs(rest, owner, window_days).unionByName(
-            _summed_pairs(many, owner, window_days, max_group_rows)
-        )
-    return weights.unionByName(copies).groupBy("i", "j").agg(F.sum("weight").alias("count"))
-
-
-def _banded_pairs(counts: DataFrame, owner: list[str], window: int) -> DataFrame:
+        return _cell_sums(_banded_pairs(counts, owner, window_days, parts))
+    patients = broadcast_if_small(busy.df, n_busy, 32 + 32 * len(owner))
+    rest = counts.join(patients, owner, "left_anti")
+    many = counts.join(patients, owner, "left_semi")
+    # Each side is summed on its own: a union of single pairs would cut their generated code in two.
+    apart = _cell_sums(_banded_pairs(rest, owner, window_days, parts)).unionByName(
+        _cell_sums(_summed_pairs(many, owner, window_days, max_group_rows))
+    )
+    return apart.groupBy("i", "j").agg(F.sum("count").alias("count"))
+
+
+def _banded_pairs(counts: DataFrame, owner: list[str], window: int, parts: int) -> DataFrame:
     """Weighted pairs ``(i, j, weight)`` by a range join of the events with each other.
 
     The day axis is cut into bands of ``window + 1`` days. A later event keeps its own band, an
@@ -85,26 +91,33 @@ def _banded_pairs(counts: DataFrame, owner: list[str], window: int) -> DataFrame
     """
     width = window + 1
     own_band = band_start(F.col("day"), width)
-    a = counts.withColumn("band", F.explode(F.array(own_band, own_band + width))).alias("a")
-    b = counts.withColumn("band", own_band).alias("b")
-    days_apart = F.col("b.day") - F.col("a.day")
-    condition = days_apart.between(0, window) & ((days_apart > 0) | (F.col("a.word") < F.col("b.word")))
-    for key in [*owner, "band"]:
+    keys = [*owner, "band"]
+    a = _spread(counts.withColumn("band", F.explode(F.array(own_band, own_band + width))), keys, parts).alias("a")
+    b = _spread(counts.withColumn("band", own_band), keys, parts).alias("b")
+    n, days_apart = F.col("a.n"), F.col("b.day") - F.col("a.day")
+    itself = (days_apart == 0) & (F.col("a.word") == F.col("b.word"))
+    once = (days_apart > 0) | (F.col("a.word") < F.col("b.word")) | (itself & (n > 1))
+    condition = days_apart.between(0, window) & once
+    for key in keys:
         condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return a.join(b, condition).select(*_cell(), (F.col("a.n") * F.col("b.n")).alias("weight"))
+    return a.join(b.hint("merge"), condition).select(*_cell(), F.when(itself, _copies(n)).otherwise(n * F.col("b.n")).alias("weight"))
 
 
-def _busy_patients(counts: DataFrame, owner: list[str], window: int, limit: int) -> Staged:
+def _dense_bands(counts: DataFrame, owner: list[str], window: int, limit: int) -> Staged:
+    """Rows per patient and band, for the bands with enough rows to matter."""
+    band = band_start(F.col("day"), window + 1).alias("band")
+    bands = counts.groupBy(*owner, band).agg(F.count(F.lit(1)).alias("rows"))
+    return stage(bands.filter((F.col("rows") > SPARSE_BAND_ROWS) | (F.col("rows") * 2 > limit)), "bands")
+
+
+def _busy_patients(bands: DataFrame, owner: list[str], window: int, limit: int) -> Staged:
     """Patients with more than ``limit`` rows in some band and the one before it.
 
     Two neighbours can pass the limit only if one of them passes half of it, so the counts are cut
     there before the neighbours meet.
     """
-    width = window + 1
-    bands = counts.groupBy(*owner, band_start(F.col("day"), width).alias("band")).agg(F.count(F.lit(1)).alias("rows"))
-    both = bands.filter(F.col("rows") * 2 > limit).withColumn(
-        "band", F.explode(F.array(F.col("band"), F.col("band") + width))
-    )
+    meets = F.explode(F.array(F.col("band"), F.col("band") + window + 1))
+    both = bands.filter(F.col("rows") * 2 > limit).withColumn("band", meets)
     around = both.groupBy(*owner, "band").agg(F.sum("rows").alias("rows"))
     return stage(around.filter(F.col("rows") > limit).select(*owner).distinct(), "busy-patients")
 
@@ -138,39 +151,68 @@ def _summed_pairs(counts: DataFrame, owner: list[str], window: int, limit: int)
         (F.coalesce(later, F.lit(0)) if window else F.lit(0)).cast("bigint").alias("later"),
     )
     sums = stage(sums, "window-sums").df
-    left, right, keys = _split_days(counts, sums, [*owner, "day"], limit)
+    left, right, keys, parts = _split_days(counts, sums, [*owner, "day"], limit)
 
-    a, b = left.alias("a"), right.alias("b")
-    partners = F.col("b.later") + F.when(F.col("a.word") < F.col("b.word"), F.col("b.same")).otherwise(0)
-    condition = partners > 0
+    a, b = _spread(left, keys, parts).alias("a"), _spread(right, keys, parts).alias("b")
+    n, this, other = F.col("a.n"), F.col("a.word"), F.col("b.word")
+    same_day = F.when(this < other, n * F.col("b.same")).when(this == other, _copies(n)).otherwise(0)
+    weight = n * F.col("b.later") + same_day
+    condition = weight > 0
     for key in keys:
         condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return a.join(b, condition).select(*_cell(), (F.col("a.n") * partners).alias("weight"))
+    return a.join(b.hint("merge"), condition).select(*_cell(), weight.alias("weight"))
 
 
 def _split_days(
     left: DataFrame, right: DataFrame, group: list[str], limit: int
-) -> tuple[DataFrame, DataFrame, list[str]]:
+) -> tuple[DataFrame, DataFrame, list[str], int]:
     """Cut the days with many words into ``parts x parts`` join keys of about ``limit`` rows a side.
 
     A row hashes to one part of its own side and is repeated for every part of the other, so each
     two rows still meet in exactly one key. The table of large days decides only how the work is
     cut, never what is counted.
     """
-    sizes = right.groupBy(*group).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > limit)
-    large = stage(sizes.select(*group, F.expr(f"(rows + {limit - 1}) div {limit}").alias("parts")), "large-days")
-    n_large = large.count()
+    n_rows, n_own = F.count(F.lit(1)).alias("rows"), F.count_if(F.col("same") > 0).alias("own")
+    sizes = stage(right.groupBy(*group).agg(n_rows, n_own), "days-sizes").df
+    facts = sizes.agg(
+        F.sum(F.col("rows") * F.col("own")).alias("pairs"),
+        F.sum("rows").alias("rows"),
+        F.count_if(F.col("rows") > limit).alias("large"),
+    ).first()
+    tasks = _parts(right.sparkSession, facts["pairs"] or 0, facts["rows"] or 0)
+    n_large = facts["large"]
     if n_large == 0:
-        return left, right, group
-    parts_of = broadcast_if_small(large.df, n_large, 32 + 32 * len(group))
+        return left, right, group, tasks
+    large = sizes.filter(F.col("rows") > limit).select(*group, F.expr(f"(rows + {limit - 1}) div {limit} AS parts"))
+    parts_of = broadcast_if_small(large, n_large, 32 + 32 * len(group))
     parts = F.coalesce(F.col("parts"), F.lit(1))
     own = F.pmod(F.xxhash64("word"), parts).cast("int")
     every = F.explode(F.sequence(F.lit(0), parts.cast("int") - 1))
     left = left.join(parts_of, group, "left").withColumn("row_part", own).withColumn("col_part", every)
     right = right.join(parts_of, group, "left").withColumn("col_part", own).withColumn("row_part", every)
-    return left, right, [*group, "row_part", "col_part"]
+    return left, right, [*group, "row_part", "col_part"], tasks
+
+
+def _parts(spark: SparkSession, pairs: int, rows: int) -> int:
+    """Tasks for a join that multiplies rows: by the pairs it makes, not only by the bytes it reads."""
+    most = max(MAX_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return max(1, min(most, max(-(-pairs // TASK_PAIRS), -(-rows // TASK_ROWS))))
+
+
+def _spread(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    """Partition by the join keys. One part leaves the choice to adaptive execution."""
+    return rows.repartition(parts, *keys) if parts > 1 else rows
+
+
+def _cell_sums(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("i", "j").agg(F.sum("weight").alias("count"))
+
+
+def _copies(n: Column) -> Column:
+    """Pairs among ``n`` copies of one event."""
+    return F.shiftright(n * (n - 1), 1)
 
 
-def _cell() -> list:
+def _cell() -> list[Column]:
     a, b = F.col("a.word"), F.col("b.word")
     return [low(a, b).alias("i"), high(a, b).alias("j")]
