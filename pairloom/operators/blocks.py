@@ -29,6 +29,7 @@ TILE_CELLS = 65_536
 # Fewer cells than this are not worth a tile, fewer than a million not a partition of a large matrix.
 SMALL_TILE_CELLS = 32_768
 PARTITION_CELLS = 1_000_000
+DRIVER_BYTES = 64 * 1024 * 1024
 COMBINE_BYTES = 128 * 1024 * 1024
 # Terms of one slice of a product; about what a core's cache holds.
 _PRODUCT_TERMS = 200_000
@@ -217,10 +218,16 @@ class BlockStore:
 
             return _partial_sums(terms())
 
+        partial = joined.mapInArrow(products, _BLOCK_SCHEMA)
+        # One task gives at most one product per pair of tables, and there are at most as many tasks as
+        # blocks read. If even all of these are few they need no shuffle to be added up.
+        bound = 8 * self.grid.side * len(left) * sum(widths[a] * widths[b] for a in left for b in right)
+        if bound > DRIVER_BYTES:
+            partial = _sum_blocks(partial)
         totals = {(a, b): np.zeros((widths[a], widths[b])) for a in left for b in right}
-        for row in _sum_blocks(joined.mapInArrow(products, _BLOCK_SCHEMA)).collect():
-            seq, other = row["block"] // pairs, right[row["block"] % pairs]
-            totals[seq, other] = np.frombuffer(row["data"]).reshape(widths[seq], widths[other])
+        for row in partial.collect():
+            pair = row["block"] // pairs, right[row["block"] % pairs]
+            totals[pair] += np.frombuffer(row["data"]).reshape(totals[pair].shape)
         return totals
 
 

@@ -66,10 +66,12 @@ def cooccurrence(
     owner = [*scope, "patient"]
 
     bands = _dense_bands(counts, owner, window_days, max_group_rows)
-    squares = bands.df.agg(F.sum(F.col("rows") * F.col("rows")).alias("pairs")).first()["pairs"]
-    parts = _parts(counts.sparkSession, 2 * (squares or 0), counts.count())
-    busy = _busy_patients(bands.df, owner, window_days, max_group_rows) if squares else None
-    n_busy = busy.count() if busy else 0
+    facts = bands.df.agg(F.sum(F.col("rows") * F.col("rows")).alias("squares"), F.max("rows").alias("most")).first()
+    parts = _parts(counts.sparkSession, 2 * (facts["squares"] or 0), counts.count())
+    busy, n_busy = None, 0
+    if (facts["most"] or 0) * 2 > max_group_rows:
+        busy = _busy_patients(bands.df, owner, window_days, max_group_rows)
+        n_busy = busy.count()
     if n_busy == 0:
         return _cell_sums(_banded_pairs(counts, owner, window_days, parts))
     patients = broadcast_if_small(busy.df, n_busy, 32 + 32 * len(owner))
@@ -100,7 +102,9 @@ def _banded_pairs(counts: DataFrame, owner: list[str], window: int, parts: int)
     condition = days_apart.between(0, window) & once
     for key in keys:
         condition = condition & (F.col(f"a.{key}") == F.col(f"b.{key}"))
-    return a.join(b.hint("merge"), condition).select(*_cell(), F.when(itself, _copies(n)).otherwise(n * F.col("b.n")).alias("weight"))
+    weight = F.when(itself, _copies(n)).otherwise(n * F.col("b.n"))
+    # Merge join on both: a broadcast would follow the few bytes read, not the many pairs made.
+    return a.join(b.hint("merge"), condition).select(*_cell(), weight.alias("weight"))
 
 
 def _dense_bands(counts: DataFrame, owner: list[str], window: int, limit: int) -> Staged:
@@ -183,7 +187,8 @@ def _split_days(
     n_large = facts["large"]
     if n_large == 0:
         return left, right, group, tasks
-    large = sizes.filter(F.col("rows") > limit).select(*group, F.expr(f"(rows + {limit - 1}) div {limit} AS parts"))
+    cuts = F.expr(f"(rows + {limit - 1}) div {limit}").alias("parts")
+    large = sizes.filter(F.col("rows") > limit).select(*group, cuts)
     parts_of = broadcast_if_small(large, n_large, 32 + 32 * len(group))
     parts = F.coalesce(F.col("parts"), F.lit(1))
     own = F.pmod(F.xxhash64("word"), parts).cast("int")

@@ -41,8 +41,9 @@ def compare(spark, connection, name: str, sf_dir: str) -> str:
         return f"types {types}"
     unequal = (have != want) & ~(have.isna() & want.isna())
     if unequal.any().any():
-        first = unequal.any(axis=1).idxmax()
-        return f"{int(unequal.any(axis=1).sum())} rows, first {have.loc[first].to_dict()} and {want.loc[first].to_dict()}"
+        rows = unequal.any(axis=1)
+        first = rows.idxmax()
+        return f"{int(rows.sum())} rows, first {have.loc[first].to_dict()} and {want.loc[first].to_dict()}"
     return ""
 
 

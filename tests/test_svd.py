@@ -48,6 +48,7 @@ def test_shuffled_blocks_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(blocks, "SMALL_TILE_CELLS", 200)
     monkeypatch.setattr(blocks, "TILE_CELLS", 150)
     monkeypatch.setattr(blocks, "COMBINE_BYTES", 1)
+    monkeypatch.setattr(blocks, "DRIVER_BYTES", 0)
     monkeypatch.setattr(blocks, "_PRODUCT_TERMS", 100)
     a = random_sparse(131, 0.2, 2)
     result = pl.svd(frame(spark, a), 4, n=131, method="lanczos", block=16, right_vectors=True)
