@@ -19,7 +19,7 @@ LARGEST_EXACT_ORDER = 4096
 # Passes cost about the same for any narrow block, and a wider block needs fewer of them.
 MIN_BLOCK = 48
 
-# Solver names of the replaced tool and the method that stands for each.
+# Accepted solver names and the method that stands for each.
 SOLVERS = {
     "auto": "auto",
     "cross": "exact",
