@@ -7,6 +7,7 @@ mapping: the part name is the code, and the size modulo eight the source.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -547,7 +548,7 @@ LEFT JOIN x{rounds} x ON x.i = r.i, lam"""
     return _PART_PPMI + ", " + ", ".join(steps) + ", " + last
 
 
-def oracle_sql() -> dict[str, str]:
+def _own_sql() -> dict[str, str]:
     pairs = f"WITH {_COUNTS} SELECT i, j, count FROM counts"
     energy = f"{_CODE_PPMI} SELECT round(sum(ppmi * ppmi), 4) + 0.0 AS energy FROM ppmi"
     order_rows = f"""WITH {_ORDER_EVENTS} SELECT patient AS "PatientOrder", CAST(day AS INTEGER) AS "NumDays",
@@ -647,8 +648,22 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _text_queries() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the text subpackage, which may be absent together with its pipeline."""
+    if importlib.util.find_spec("pairloom.llm") is None or importlib.util.find_spec("corpus_pipeline") is None:
+        return {}, {}
+    import corpus_pipeline
+    from pairloom.llm import oracles, queries
+
+    return {**queries.QUERIES, "pipeline": corpus_pipeline.run}, oracles.ORACLES
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: globals()[name] for name in oracle_sql()}
+    return {name: globals()[name] for name in _own_sql()} | _text_queries()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return _own_sql() | _text_queries()[1]
 
 
 def entry(spark: SparkSession) -> DataFrame:
