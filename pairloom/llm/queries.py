@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.license_scan import scan_licenses
 from pairloom.llm.mixing import mix_sources
+from pairloom.llm.packing import pack_documents
 from pairloom.llm.secret_scan import scan_secrets
+from pairloom.llm.sharding import shard_documents
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +22,14 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op2_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op3_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
@@ -36,6 +46,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
         op1_license_scan,
+        op2_pack_documents,
+        op3_shard_documents,
         op4_secret_scan,
         op7_mix_sources,
         op9_exact_dedup,
