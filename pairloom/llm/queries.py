@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.license_scan import scan_licenses
@@ -12,6 +13,8 @@ from pairloom.llm.mixing import mix_sources
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.secret_scan import scan_secrets
 from pairloom.llm.sharding import shard_documents
+from pairloom.llm.vector_join import nearest_neighbours
+from pairloom.llm.warc import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,6 +37,16 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = write_archives(_table(spark, sf_dir, "pages"))
+    return read_archives(manifest).drop("url")
+
+
+def op6_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries are the rows whose id is divisible by 50."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +62,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_pack_documents,
         op3_shard_documents,
         op4_secret_scan,
+        op5_warc,
+        op6_vector_join,
         op7_mix_sources,
         op9_exact_dedup,
     )
