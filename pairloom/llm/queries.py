@@ -13,6 +13,7 @@ from pairloom.llm.mixing import mix_sources
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.secret_scan import scan_secrets
 from pairloom.llm.sharding import shard_documents
+from pairloom.llm.toxicity import fit_toxicity, score_toxicity
 from pairloom.llm.vector_join import nearest_neighbours
 from pairloom.llm.warc import read_archives, write_archives
 
@@ -51,6 +52,11 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score_toxicity(docs, fit_toxicity(docs, _table(spark, sf_dir, "labels")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -65,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_warc,
         op6_vector_join,
         op7_mix_sources,
+        op8_toxicity,
         op9_exact_dedup,
     )
 }
