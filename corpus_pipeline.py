@@ -1,4 +1,9 @@
-"""Corpus pipeline: each stage reads the documents that the one before it wrote."""
+"""Corpus pipeline: each stage reads the documents that the one before it wrote.
+
+All stages read ``doc_id``, ``text`` and ``source``, and keep any other column as it is, whatever
+its name. A null text counts as empty; an empty text is a clean document, and of several the exact
+dedup keeps one. A null id is an id of its own. An empty table goes through as an empty table.
+"""
 
 from __future__ import annotations
 
@@ -7,37 +12,69 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.mixing import mix_sources
-from pairloom.llm.text import ascii_lower, has_repeats
+from pairloom.llm.ngram_join import ngram_join
+from pairloom.llm.packing import pack_documents
+from pairloom.llm.text import ascii_lower, free_name, has_repeats
+from pairloom.llm.toxicity import fit_toxicity
 from pairloom.scratch import stage
 
 
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier does not take for toxic. It learns from the labels of ``sf_dir``."""
+    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return docs.filter(model.score(F.col("text")) < 0.5)
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays, the one with the largest id.
 
     Rows that repeat both id and text leave one row.
     """
     decided = stage(exact_duplicates(docs), "pipeline-exact").df
-    kept = decided.filter("kept").select(F.col("doc_id").alias("kept_id"), F.col("text_sha256").alias("kept_hash"))
-    same = F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.sha2(ascii_lower(F.col("text")), 256) == F.col("kept_hash"))
+    id_, hash_, content = (free_name(docs, name) for name in ("kept_id", "kept_hash", "content"))
+    kept = decided.filter("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(hash_))
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.sha2(ascii_lower(F.col("text")), 256) == F.col(hash_))
     left = docs.join(kept, same, "left_semi")
-    if has_repeats(kept, "kept_id", "kept_hash"):
-        left = left.withColumn("_content", ascii_lower(F.col("text"))).dropDuplicates(["doc_id", "_content"]).drop("_content")
+    if has_repeats(kept, id_, hash_):
+        left = left.withColumn(content, ascii_lower(F.col("text"))).dropDuplicates(["doc_id", content]).drop(content)
     return left
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays. Rows that repeat an id stay or go together."""
+    decided = stage(ngram_join(docs), "pipeline-near").df
+    id_ = free_name(docs, "kept_id")
+    kept = decided.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_))
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: not at all, once or twice."""
-    taken = mix_sources(docs).select(F.col("doc_id").alias("taken_id"), "copies")
-    # Rows that repeat an id are alike in size and source order; the most of their copies holds for each.
-    copies = stage(taken.groupBy("taken_id").agg(F.max("copies").alias("copies")), "pipeline-mix").df
-    joined = docs.join(copies.filter("copies > 0"), F.col("doc_id").eqNullSafe(F.col("taken_id")))
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    """Whole documents as often as the mix takes the block of their first word: not at all, once or twice.
+
+    A document without words has no block and stays once.
+    """
+    id_, copies, copy = (free_name(docs, name) for name in ("taken_id", "copies", "copy"))
+    taken = mix_sources(docs)
+    times = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
+    taken = taken.groupBy(F.col("doc_id").alias(id_)).agg(F.max(times).alias(copies))
+    taken = stage(taken.filter(F.col(copies) > 0), "pipeline-mix").df
+    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Length buckets and batches of the mixed documents; a document taken twice is packed twice."""
+    return pack_documents(docs)
 
 
 STAGES = [
+    ("toxicity", reject_toxic),
     ("exact dedup", drop_copies),
+    ("ngram join", drop_near_copies),
     ("mix sources", mix),
+    ("packing", pack),
 ]
+# A classifier, hashes and a dynamic program decide: tests compare the stages with plain Python instead.
 ORACLE_SQL = None
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.license_scan import scan_licenses
 from pairloom.llm.mixing import mix_sources
+from pairloom.llm.ngram_join import ngram_join
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.secret_scan import scan_secrets
 from pairloom.llm.sharding import shard_documents
@@ -61,6 +62,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -73,5 +78,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_mix_sources,
         op8_toxicity,
         op9_exact_dedup,
+        op10_ngram_join,
     )
 }

@@ -37,3 +37,11 @@ def spaced_words(text: Column) -> Column:
 def has_repeats(df: DataFrame, *columns: str) -> bool:
     """Whether rows repeat a key. Counts only ride through the shuffle."""
     return not df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column of ``df`` has it."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
