@@ -1,9 +1,81 @@
-"""SQL that gives the rows of the queries that SQL can express."""
+"""SQL that gives the rows of the queries that SQL can express.
+
+The others are compared with plain Python in the tests: hashes, classifiers and dynamic programs.
+"""
 
 from __future__ import annotations
 
+import math
+
+from pairloom.llm.license_scan import BASE_PHRASES, TEMPLATES
+
 _LOWER = """translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
+
+def _quoted(values) -> str:
+    return ", ".join(f"'{value}'" for value in values)
+
+
+def _licenses() -> str:
+    """Blocks of 64 words at every 32nd against each template, in full."""
+    templates = []
+    for label, text in TEMPLATES:
+        words = sorted({w for w in "".join(c if c.isalnum() else " " for c in text.lower()).split()})
+        templates.append(f"('{label}', [{_quoted(words)}], {math.ceil(0.8 * len(words) - 1e-9)})")
+    phrases = []
+    for phrase, label in BASE_PHRASES:
+        words = phrase.split()
+        there = " AND ".join(f"words[pos + {k}] = '{word}'" for k, word in enumerate(words, 1))
+        phrases.append(f"SELECT row, pos, '{label}' AS label FROM places WHERE {there}")
+    return f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row,
+    regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words
+  FROM documents),
+places AS (SELECT row, words, unnest(range(0, len(words))) AS pos FROM docs),
+base AS ({" UNION ALL ".join(phrases)}),
+templates(label, wanted, need) AS (VALUES {", ".join(templates)}),
+blocks AS (SELECT row, list_distinct(words[pos + 1:pos + 64]) AS held FROM places WHERE pos % 32 = 0),
+matches AS (
+  SELECT row, label, len(list_intersect(wanted, held)) / len(wanted) AS share
+  FROM blocks, templates WHERE len(list_intersect(wanted, held)) >= need),
+by_base AS (
+  SELECT row, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM base GROUP BY 1),
+by_all AS (
+  SELECT row, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS share
+  FROM (SELECT row, label, share FROM matches UNION ALL SELECT row, label, 1.0 FROM base) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  CAST(coalesce(share, 0) AS DOUBLE) AS score
+FROM docs LEFT JOIN by_base USING (row) LEFT JOIN by_all USING (row)
+"""
+
+
+_WARC = """
+WITH bodies AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+digests AS (SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest FROM bodies),
+firsts AS (SELECT payload_digest, min(page_id) AS first FROM digests WHERE payload_bytes >= 100 GROUP BY 1)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM digests LEFT JOIN firsts USING (payload_digest)
+"""
+
+_NEAREST = """
+WITH parts AS (SELECT vec_id, unnest(embedding) AS x FROM embeddings WHERE vec_id IS NOT NULL),
+usable AS (
+  SELECT vec_id FROM parts GROUP BY 1 HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND bool_or(x <> 0)),
+vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings JOIN usable USING (vec_id)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 _EXACT = f"""
 WITH rows AS (SELECT doc_id, {_LOWER.format("text")} AS content FROM documents),
 groups AS (SELECT content, max(doc_id) AS keep_id, count(*) AS group_size FROM rows GROUP BY 1)
@@ -11,6 +83,30 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
 FROM rows JOIN groups USING (content)
 """
 
+_NEAR = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+starts AS (SELECT doc_id, words, unnest(range(0, greatest(1, len(words) - 3))) AS pos FROM docs WHERE len(words) > 0),
+sets AS (SELECT DISTINCT doc_id, words[pos + 1:pos + 4] AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY 1),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 85 * (x.n + y.n - c)),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM docs UNION SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other),
+components AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1),
+degrees AS (SELECT a AS doc_id, count(*) AS n_links FROM links GROUP BY 1)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0) AS n_links
+FROM docs JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_license_scan": _licenses(),
+    "op5_warc": _WARC,
+    "op6_vector_join": _NEAREST,
     "op9_exact_dedup": _EXACT,
+    "op10_ngram_join": _NEAR,
 }
