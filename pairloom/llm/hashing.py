@@ -43,16 +43,18 @@ _IS_WORD[list(_BLANKS)] = False
 _SIGNS = _NUMBERS.copy()
 _SIGNS[[b for b in range(128) if not chr(b).isalnum()]] = _NUMBERS[0x20]
 
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
+class _Powers:
+    """Powers of the base and of its inverse, as many as the longest piece so far needs."""
 
+    def __init__(self) -> None:
+        self._up = self._down = np.empty(0, np.uint64)
 
-def _power(which: str, count: int) -> np.ndarray:
-    if len(_powers[which]) < count:
-        base = _BASE if which == "up" else _INVERSE
-        steps = np.full(max(count, PIECE + 4096), base)
-        steps[0] = 1
-        _powers[which] = np.multiply.accumulate(steps)
-    return _powers[which][:count]
+    def get(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self._up) < count:
+            steps = np.full((2, count), [[_BASE], [_INVERSE]])
+            steps[:, 0] = 1
+            self._up, self._down = np.multiply.accumulate(steps, axis=1)
+        return self._up[:count], self._down[:count]
 
 
 def _raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -85,19 +87,20 @@ def _spaced(data: np.ndarray, offsets: np.ndarray, first: int, last: int) -> tup
     return out, starts
 
 
-def _words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _words_of(data: np.ndarray, powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
     """Hashes and starts of the words in some bytes."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = _IS_WORD[data]
     edges = np.diff(inside)
     starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_NUMBERS[data] * _power("up", len(data)), out=sums[1:])
+    up, down = powers.get(max(1, len(data)))
+    np.cumsum(_NUMBERS[data] * up[: len(data)], out=sums[1:])
     lengths = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * _power("down", len(data))[starts] + lengths * _U(0xD6E8FEB86659FD93)), starts
+    return mix((sums[ends] - sums[starts]) * down[starts] + lengths * _U(0xD6E8FEB86659FD93)), starts
 
 
-def _long_words(text: np.ndarray) -> np.ndarray:
+def _long_words(text: np.ndarray, powers: _Powers) -> np.ndarray:
     """Word hashes of one long text, a piece at a time; pieces end at a blank."""
     out, at = [], 0
     while at < len(text):
@@ -105,7 +108,7 @@ def _long_words(text: np.ndarray) -> np.ndarray:
         while end < len(text) and _IS_WORD[text[end]]:
             step = np.flatnonzero(~_IS_WORD[text[end : end + PIECE]])
             end = end + int(step[0]) if len(step) else min(end + PIECE, len(text))
-        out.append(_words_of(text[at:end])[0])
+        out.append(_words_of(text[at:end], powers)[0])
         at = end
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -113,13 +116,14 @@ def _long_words(text: np.ndarray) -> np.ndarray:
 def word_hashes(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """``(first row, hashes, ends)``: the words of some rows in order, and where each row's words end."""
     data, offsets = _raw(texts)
+    powers = _Powers()
     for first, last in runs(offsets, PIECE):
         if last - first == 1 and offsets[last] - offsets[first] > PIECE:
-            hashes = _long_words(data[offsets[first] : offsets[last]])
+            hashes = _long_words(data[offsets[first] : offsets[last]], powers)
             yield first, hashes, np.array([len(hashes)])
             continue
         spaced, starts = _spaced(data, offsets, first, last)
-        hashes, words = _words_of(spaced)
+        hashes, words = _words_of(spaced, powers)
         yield first, hashes, np.append(np.searchsorted(words, starts[1:]), len(words))
 
 

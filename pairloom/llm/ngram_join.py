@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import shingles, word_hashes
+from pairloom.llm.text import has_repeats
 from pairloom.scratch import broadcast_if_small, stage
 
 _ROW = "id long, n long, k1 long, k2 long, prefix array<long>"
@@ -274,7 +275,10 @@ def ngram_join(
         classes.agg(F.min("row").alias("node"), F.min("id").alias("first"), F.first("n").alias("n"), F.count(F.lit(1)).alias("members")),
         "ngram-classes",
     ).df
-    one_each = found.join(classes.select(F.col("node").alias("row")), "row", "left_semi")
+    # Copies are few or many, but their rows are narrow; the sets themselves stay where they are while the list is small.
+    again = classes.filter("members > 1").select("k1", "k2", "node")
+    copies = stage(found.select("row", "k1", "k2").join(again, ["k1", "k2"]).filter("row <> node").select("row"), "ngram-copies")
+    one_each = found.filter("n > 0").join(broadcast_if_small(copies.df, copies.count(), 16), "row", "left_anti")
     entries = one_each.select(F.col("row").alias("node"), "n", F.posexplode("prefix").alias("pos", "token"))
     often = entries.groupBy("token").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1")
     columns = stage(entries.join(often, "token"), "ngram-columns").df
@@ -292,7 +296,9 @@ def ngram_join(
         inside = inside.join(cluster.select(F.col("node").alias("b"), F.col("cluster").alias("cb")), "b", "left")
         # Those of one cluster meet in a tile.
         pairs = inside.filter("ca IS NULL OR cb IS NULL OR ca <> cb").select("a", "b")
-    pairs = stage(pairs, "ngram-pairs").df
+    pairs = stage(pairs, "ngram-pairs")
+    few_pairs = broadcast_if_small(pairs.df, pairs.count(), 32)
+    pairs = pairs.df
 
     involved = pairs.select(F.explode(F.array("a", "b")).alias("node"))
     if has_hot:
@@ -301,13 +307,17 @@ def ngram_join(
     wanted = stage(wanted.select("node", "id", "k1", "k2"), "ngram-wanted")
     ids = wanted.df.select(F.col("id").alias("wanted_id"))
     texts = rows.join(broadcast_if_small(ids, wanted.count(), 32), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
-    sets = _full_sets(texts, size).join(wanted.df.drop("id"), ["k1", "k2"]).groupBy("node").agg(F.first("tokens").alias("tokens"))
+    keys = broadcast_if_small(wanted.df.drop("id"), wanted.count(), 48)
+    sets = _full_sets(texts, size).join(keys, ["k1", "k2"]).select("node", "tokens")
+    if has_repeats(found.filter("n > 0"), "id", "k1", "k2"):
+        sets = sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
     sets = stage(sets, "ngram-sets").df
 
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
     overlap = F.size(F.array_intersect("ta", "tb"))
-    measured = pairs.join(left, "a").join(right, "b").select("a", "b", overlap.alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
+    # Sets of a pair meet where the second one is; while pairs are few the first needs no shuffle.
+    measured = left.join(few_pairs, "a").join(right, "b").select("a", "b", overlap.alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
     linked = measured.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("both") - F.col("common")))
     links = stage(linked.select("a", "b"), "ngram-links").df
     members = classes.select("node", "members")
