@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import DataFrame, SparkSession, Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 import pairloom as pl  # noqa: E402
@@ -236,9 +236,11 @@ def dense_index_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _repeated_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = _table(spark, sf_dir, "part").withColumn("line", F.col("p_partkey"))
+    """Four rows a word, in the order of their part keys."""
+    parts = _table(spark, sf_dir, "part").withColumn("line", F.col("p_partkey").cast("bigint"))
+    words = max(1, parts.count() // 4)
     return parts.select(
-        (F.col("p_partkey") % 500).alias("WordIndex"),
+        (F.col("p_partkey") % words).cast("bigint").alias("WordIndex"),
         (F.col("p_size") % 8).cast("bigint").alias("Source"),
         F.col("p_name").alias("Code"),
         "line",
@@ -269,66 +271,87 @@ def rollup_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- SVD
 
 
-def _full_svd(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, pl.SvdResult]:
-    scores = code_scores(spark, sf_dir)
-    size = pl.matrix_order(scores).first()["n"]
-    return scores, pl.svd(scores, size, **options)
+def balance_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer by nation, with the account balance as the value.
+
+    A customer is in one nation, so the columns are orthogonal: a nation's singular value is the
+    root of its squared balances, and the left vector has its customers' balances over that. The
+    order grows with the customers.
+    """
+    return _table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("int").alias("i"),
+        F.col("c_nationkey").cast("int").alias("j"),
+        F.col("c_acctbal").cast("double").alias("ppmi"),
+    )
+
+
+def _balance_svd(spark: SparkSession, sf_dir: str, **options) -> tuple[DataFrame, pl.SvdResult]:
+    """The five largest triplets, of as many as there are nations."""
+    cells = stage(balance_cells(spark, sf_dir), "balances").df
+    return cells, pl.svd(cells, 5, **options)
+
+
+def _lengths(vectors: DataFrame) -> DataFrame:
+    square = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x * x)
+    return vectors.select("i", F.sqrt(square).alias("length")).select("i", _rounded("length", 2))
 
 
 def svd_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _full_svd(spark, sf_dir)
-    energy = result.sigma.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy"))
-    return energy.select(_rounded("energy", 4))
+    _, result = _balance_svd(spark, sf_dir)
+    energy = result.sigma.agg((F.sum(F.col("sigma") * F.col("sigma")) / 1e6).alias("energy"))
+    return energy.select(_rounded("energy", 3))
 
 
 def svd_reconstruct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores, result = _full_svd(spark, sf_dir, right_vectors=True)
-    return pl.reconstruct(scores, result).select("i", "j", _rounded("approximation"))
+    """Cells of the five nations come back as they are, the others as zero."""
+    cells, result = _balance_svd(spark, sf_dir, right_vectors=True)
+    return pl.reconstruct(cells, result).select("i", "j", _rounded("approximation", 2))
 
 
 def svd_orthonormal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _full_svd(spark, sf_dir)
-    left = pl.to_long(result.u).select("i", F.col("component").alias("a"), F.col("value").alias("x"))
-    right = pl.to_long(result.u).select("i", F.col("component").alias("b"), F.col("value").alias("y"))
-    products = left.join(right, "i").groupBy("a", "b").agg(F.sum(F.col("x") * F.col("y")).alias("product"))
-    return products.select("a", "b", _rounded("product"))
+    """Inner products of the columns of U S."""
+    _, result = _balance_svd(spark, sf_dir)
+    long = pl.to_long(pl.embeddings(result, 1.0))
+    left = long.select("i", F.col("component").alias("a"), F.col("value").alias("x"))
+    right = long.select("i", F.col("component").alias("b"), F.col("value").alias("y"))
+    products = left.join(right, "i").groupBy("a", "b").agg((F.sum(F.col("x") * F.col("y")) / 1e6).alias("product"))
+    return products.select("a", "b", _rounded("product", 3))
 
 
 def svd_row_energy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """At full rank the squared length of row i of U S is that of row i of the matrix."""
-    _, result = _full_svd(spark, sf_dir)
-    energy = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x * x).alias("energy")
-    return pl.embeddings(result, 1.0).select("i", energy).select("i", _rounded("energy"))
+    """Length of every row of U S."""
+    _, result = _balance_svd(spark, sf_dir)
+    return _lengths(pl.embeddings(result, 1.0))
 
 
 def embeddings_weighted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column c of U sqrt(S) has the squared length sigma[c]; the squares add up to the matrix energy."""
-    _, result = _full_svd(spark, sf_dir)
+    """Column c of U sqrt(S) has the squared length sigma[c]."""
+    _, result = _balance_svd(spark, sf_dir)
     lengths = pl.to_long(pl.embeddings(result, 0.5)).groupBy("component")
     sigma = lengths.agg(F.sum(F.col("value") * F.col("value")).alias("sigma"))
-    energy = sigma.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy"))
-    return energy.select(_rounded("energy", 4))
+    return sigma.select("component", _rounded("sigma", 2))
 
 
 def svd_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = code_scores(spark, sf_dir)
-    return pl.svd(scores, 10).components.select("component", "converged")
+    _, result = _balance_svd(spark, sf_dir)
+    return result.components.select("component", _rounded("sigma", 2), "converged")
 
 
 def svd_smallest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _full_svd(spark, sf_dir, which="smallest")
-    values = result.sigma.agg(
-        F.sum(F.col("sigma") * F.col("sigma")).alias("energy"),
-        (F.array_sort(F.collect_list("sigma")) == F.transform(
-            F.array_sort(F.collect_list(F.struct("component", "sigma"))), lambda s: s["sigma"]
-        )).alias("ascending"),
-    )
-    return values.select(_rounded("energy", 4), "ascending")
+    """The three smallest of a diagonal matrix, which stand apart from the rest."""
+    spread = F.abs("c_acctbal") / 20000.0
+    value = F.when(F.col("c_custkey") < 3, F.lit(1.0)).otherwise(F.lit(5.0)) + spread
+    key = F.col("c_custkey").cast("int")
+    cells = _table(spark, sf_dir, "customer").select(key.alias("i"), key.alias("j"), value.alias("ppmi"))
+    result = pl.svd(stage(cells, "diagonal").df, 3, which="smallest")
+    return result.sigma.select("component", _rounded("sigma", 5))
 
 
 def svd_top_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest triplets of the part matrix, whose order grows with the data."""
-    return pl.svd(part_scores(spark, sf_dir), 5).components.select("component", "converged")
+    result = pl.svd(part_scores(spark, sf_dir), 5)
+    first = F.lit(result.values[0]).alias("first")
+    return result.components.select("component", "converged", first).select("component", "converged", _rounded("first", 4))
 
 
 def svd_dominant_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,10 +378,16 @@ def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def factor_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores = code_scores(spark, sf_dir)
-    exact = pl.svd(scores, 3, method="cross")
-    krylov = pl.svd(scores, 3, method="trlanczos", block=16)
-    return pl.compare_factors(exact.u, krylov.u).select("component", "failed")
+    """Left vectors beside those that the balances give, with the odd ones put in the place of the next."""
+    cells, result = _balance_svd(spark, sf_dir)
+    sums = cells.groupBy("j").agg(F.sqrt(F.sum(F.col("ppmi") * F.col("ppmi"))).alias("sigma"))
+    top = sums.orderBy(F.col("sigma").desc(), "j").limit(5)
+    place = F.row_number().over(Window.orderBy(F.col("sigma").desc(), "j")) - 1
+    # Five rows.
+    owned = cells.join(F.broadcast(top.select("j", "sigma", place.alias("c"))), "j")
+    entry = F.col("ppmi") / F.col("sigma")
+    given = [F.when(F.col("c") == (c + 1 if c % 2 else c), entry).otherwise(F.lit(0.0)) for c in range(5)]
+    return pl.compare_factors(result.u, owned.select("i", F.array(*given).alias("features"))).select("component", "failed")
 
 
 def cosine_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -393,20 +422,18 @@ def roundtrip_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def roundtrip_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _full_svd(spark, sf_dir)
+    _, result = _balance_svd(spark, sf_dir)
     path = scratch_folder(spark, "written-embeddings")
     sources.write_embeddings(pl.embeddings(result, 1.0), path)
-    vectors = sources.read_embeddings(spark, path)
-    energy = F.aggregate("features", F.lit(0.0), lambda acc, x: acc + x * x).alias("energy")
-    return vectors.select("i", energy).select("i", _rounded("energy"))
+    return _lengths(sources.read_embeddings(spark, path))
 
 
 def roundtrip_long_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, result = _full_svd(spark, sf_dir)
+    _, result = _balance_svd(spark, sf_dir)
     path = scratch_folder(spark, "written-long-embeddings")
     sources.write_long_embeddings(pl.embeddings(result, 1.0), path)
-    energy = spark.read.parquet(path).groupBy("i").agg(F.sum(F.col("value") * F.col("value")).alias("energy"))
-    return energy.select("i", _rounded("energy"))
+    square = F.sqrt(F.sum(F.col("value") * F.col("value"))).alias("length")
+    return spark.read.parquet(path).groupBy("i").agg(square).select("i", _rounded("length", 2))
 
 
 def csv_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,15 +475,28 @@ def job_reduce_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.reduce_matrix(spark, matrix, mapping, scratch_folder(spark, "reduced"))
 
 
+def job_reduce_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mapping repeats words; the line number says which row is the last."""
+    matrix = stage(pl.cooccurrence(order_events(spark, sf_dir)), "counts").path
+    mapping = stage(_repeated_mapping(spark, sf_dir), "mapping").path
+    return plans.reduce_matrix(spark, matrix, mapping, scratch_folder(spark, "reduced"), (0, 3, 4), order_col="line")
+
+
+def _embedded_sigma(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
+    """Column 0 of the written U sqrt(S) has the squared length sigma[0]."""
+    counts, output = stage(pl.cooccurrence(order_events(spark, sf_dir)), "counts"), scratch_folder(spark, "embeddings")
+    plans.embed_matrix(spark, counts.path, output, 1, weighted=True, tol=1e-10, **options)
+    first = pl.to_long(sources.read_embeddings(spark, output)).filter("component = 0")
+    return first.agg(F.sum(F.col("value") * F.col("value")).alias("sigma")).select(_rounded("sigma", 4))
+
+
 def job_embed_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column c of the written embeddings has the squared length sigma[c]; the squares add up to the energy."""
-    counts = stage(pl.rollup(order_matrix(spark, sf_dir), part_mapping(spark, sf_dir)), "counts")
-    output, size = scratch_folder(spark, "embeddings"), pl.matrix_order(counts.df).first()["n"]
-    plans.embed_matrix(spark, counts.path, output, size, symmetric=True, weighted=True)
-    lengths = pl.to_long(sources.read_embeddings(spark, output)).groupBy("component")
-    sigma = lengths.agg(F.sum(F.col("value") * F.col("value")).alias("sigma"))
-    energy = sigma.agg(F.sum(F.col("sigma") * F.col("sigma")).alias("energy"))
-    return energy.select(_rounded("energy", 4))
+    return _embedded_sigma(spark, sf_dir, symmetric=True)
+
+
+def job_embed_triangular(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Without expansion, contexts that are never a row are left out."""
+    return _embedded_sigma(spark, sf_dir, on_zero_context="drop")
 
 
 def gen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -529,35 +569,43 @@ _PART_PPMI = f"WITH {_COUNTS}, {_SYM.format(source='counts')}, {_pmi_cte('sym')}
 _CODE_COUNTS = f"WITH {_COUNTS}, {_CODES.format(source='counts')}"
 _CODE_PPMI = f"{_CODE_COUNTS}, {_SYM.format(source='reduced')}, {_pmi_cte('sym')}"
 _PPMI_ROWS = "SELECT i, j, round(ppmi, 6) + 0.0 AS ppmi FROM ppmi"
-_ROW_ENERGY = f"""{_CODE_PPMI}, size AS (SELECT max(greatest(i, j)) AS top FROM ppmi)
-SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(sum(ppmi * ppmi), 0), 6) + 0.0 AS energy
-FROM (SELECT unnest(range(CAST(top + 1 AS BIGINT))) AS i FROM size) r LEFT JOIN ppmi p ON p.i = r.i GROUP BY r.i"""
 
 
-def _dominant_sql(rounds: int = 10) -> str:
+def _power_sql(scores: str, last: str, rounds: int = 10) -> str:
     """Power iteration: each round multiplies by the matrix and its transpose and normalizes."""
     steps = ["x0 AS (SELECT i, sum(ppmi) AS x FROM ppmi GROUP BY i)"]
     for r in range(rounds):
         steps.append(f"y{r} AS (SELECT j, sum(ppmi * x) AS y FROM ppmi JOIN x{r} USING (i) GROUP BY j)")
         steps.append(f"z{r} AS (SELECT i, sum(ppmi * y) AS z FROM ppmi JOIN y{r} USING (j) GROUP BY i)")
         steps.append(f"x{r + 1} AS (SELECT i, z / (SELECT sqrt(sum(z * z)) FROM z{r}) AS x FROM z{r})")
-    last = f"""lam AS (SELECT sqrt(sqrt(sum(z * z))) AS sigma FROM z{rounds - 1})
-SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(x, 0) * sigma, 4) + 0.0 AS value
+    largest = f"lam AS (SELECT sqrt(sqrt(sum(z * z))) AS sigma FROM z{rounds - 1})"
+    return f"{scores}, {', '.join(steps)}, {largest} {last}"
+
+
+_DOMINANT_ROWS = """SELECT CAST(r.i AS INTEGER) AS i, round(coalesce(x, 0) * sigma, 4) + 0.0 AS value
 FROM (SELECT unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS i FROM ppmi) r
-LEFT JOIN x{rounds} x ON x.i = r.i, lam"""
-    return _PART_PPMI + ", " + ", ".join(steps) + ", " + last
+LEFT JOIN x10 x ON x.i = r.i, lam"""
+_DOMINANT_SIGMA = "SELECT round(sigma, 4) + 0.0 AS sigma FROM lam"
+
+_TOP_BALANCES = """WITH cells AS (SELECT c_custkey AS i, c_nationkey AS j, c_acctbal AS v FROM customer),
+  sums AS (SELECT j, sum(v * v) AS square FROM cells GROUP BY j),
+  top AS (SELECT j, square, CAST(row_number() OVER (ORDER BY square DESC, j) - 1 AS INTEGER) AS component
+          FROM sums ORDER BY square DESC, j LIMIT 5)"""
+_BALANCE_LENGTHS = f"""{_TOP_BALANCES}, rows AS (
+    SELECT CAST(unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS INTEGER) AS i FROM cells)
+  SELECT r.i, round(coalesce(abs(v), 0), 2) + 0.0 AS length
+  FROM rows r LEFT JOIN (SELECT i, v FROM cells JOIN top USING (j)) c ON c.i = r.i"""
 
 
 def _own_sql() -> dict[str, str]:
     pairs = f"WITH {_COUNTS} SELECT i, j, count FROM counts"
-    energy = f"{_CODE_PPMI} SELECT round(sum(ppmi * ppmi), 4) + 0.0 AS energy FROM ppmi"
     order_rows = f"""WITH {_ORDER_EVENTS} SELECT patient AS "PatientOrder", CAST(day AS INTEGER) AS "NumDays",
       word AS "WordIndex", CAST(1 AS INTEGER) AS "window" FROM ev"""
     both_windows = f"""WITH {_pairs_cte(name='wide')}, narrow AS (
       SELECT least(a.word, b.word) AS i, greatest(a.word, b.word) AS j, CAST(count(*) AS BIGINT) AS count
       FROM ev a JOIN ev b ON a.patient = b.patient AND a.id < b.id AND abs(a.day - b.day) <= 29 GROUP BY 1, 2)"""
     repeated = """last AS (
-      SELECT p_partkey % 500 AS word, arg_max(p_size % 8, p_partkey) AS src, arg_max(p_name, p_partkey) AS code
+      SELECT p_partkey % (SELECT greatest(1, count(*) // 4) FROM part) AS word, arg_max(p_size % 8, p_partkey) AS src, arg_max(p_name, p_partkey) AS code
       FROM part GROUP BY 1)"""
     return {
         "pairs_orders": pairs,
@@ -608,23 +656,29 @@ def _own_sql() -> dict[str, str]:
           words AS (SELECT word, CAST(idx AS INTEGER) AS idx FROM last JOIN codes USING (code) WHERE src IN (0, 3, 4))
           SELECT least(a.idx, b.idx) AS i, greatest(a.idx, b.idx) AS j, CAST(sum(count) AS BIGINT) AS count
           FROM counts m JOIN words a ON m.i = a.word JOIN words b ON m.j = b.word GROUP BY 1, 2""",
-        "svd_energy": energy,
-        "svd_reconstruct": f"{_CODE_PPMI} SELECT i, j, round(ppmi, 6) + 0.0 AS approximation FROM ppmi",
-        "svd_orthonormal": f"""{_CODE_PPMI}, idx AS (
-            SELECT CAST(unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS INTEGER) AS k FROM ppmi)
-          SELECT x.k AS a, y.k AS b, CASE WHEN x.k = y.k THEN 1.0 ELSE 0.0 END::DOUBLE AS product
-          FROM idx x, idx y""",
-        "svd_row_energy": _ROW_ENERGY,
-        "embeddings_weighted": energy,
-        "svd_report": "SELECT CAST(unnest(range(10)) AS INTEGER) AS component, true AS converged",
-        "svd_smallest": f"{_CODE_PPMI} SELECT round(sum(ppmi * ppmi), 4) + 0.0 AS energy, true AS ascending FROM ppmi",
-        "svd_top_parts": "SELECT CAST(unnest(range(5)) AS INTEGER) AS component, true AS converged",
-        "svd_dominant_parts": _dominant_sql(),
+        "svd_energy": f"{_TOP_BALANCES} SELECT round(sum(square) / 1e6, 3) + 0.0 AS energy FROM top",
+        "svd_reconstruct": f"""{_TOP_BALANCES} SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,
+          CASE WHEN top.j IS NULL THEN 0.0 ELSE round(v, 2) + 0.0 END::DOUBLE AS approximation
+          FROM cells LEFT JOIN top USING (j)""",
+        "svd_orthonormal": f"""{_TOP_BALANCES} SELECT x.component AS a, y.component AS b,
+          CASE WHEN x.j = y.j THEN round(x.square / 1e6, 3) ELSE 0.0 END::DOUBLE AS product FROM top x, top y""",
+        "svd_row_energy": _BALANCE_LENGTHS,
+        "embeddings_weighted": f"{_TOP_BALANCES} SELECT component, round(sqrt(square), 2) + 0.0 AS sigma FROM top",
+        "svd_report": f"{_TOP_BALANCES} SELECT component, round(sqrt(square), 2) + 0.0 AS sigma, true AS converged FROM top",
+        "svd_smallest": """WITH diagonal AS (
+            SELECT CASE WHEN c_custkey < 3 THEN 1.0 ELSE 5.0 END + abs(c_acctbal) / 20000.0 AS v FROM customer)
+          SELECT CAST(row_number() OVER (ORDER BY v) - 1 AS INTEGER) AS component, round(v::DOUBLE, 5) + 0.0 AS sigma
+          FROM diagonal ORDER BY v LIMIT 3""",
+        "svd_top_parts": _power_sql(
+            _PART_PPMI,
+            "SELECT CAST(unnest(range(5)) AS INTEGER) AS component, true AS converged, round(sigma, 4) + 0.0 AS first FROM lam",
+        ),
+        "svd_dominant_parts": _power_sql(_PART_PPMI, _DOMINANT_ROWS),
         "matrix_diff": f"""{both_windows}
           SELECT i, j, coalesce(w.count, 0) AS left_count, coalesce(n.count, 0) AS right_count
           FROM wide w FULL JOIN narrow n USING (i, j) WHERE w.count IS DISTINCT FROM n.count""",
         "diff_summary": f"WITH {_COUNTS} SELECT count(*) AS cells, CAST(0 AS BIGINT) AS mismatches FROM counts",
-        "factor_compare": "SELECT CAST(unnest(range(3)) AS INTEGER) AS component, false AS failed",
+        "factor_compare": f"{_TOP_BALANCES} SELECT component, component % 2 = 1 AS failed FROM top",
         "cosine_neighbours": """SELECT a.vec_id, round(list_cosine_distance(CAST(a.embedding AS DOUBLE[]),
             CAST(b.embedding AS DOUBLE[])), 6) + 0.0 AS distance
           FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""",
@@ -634,14 +688,20 @@ def _own_sql() -> dict[str, str]:
         "roundtrip_matrix": pairs,
         "roundtrip_mapping": """SELECT p_partkey AS "WordIndex", CAST(p_size % 8 AS BIGINT) AS "Source",
           p_name AS "Code" FROM part""",
-        "roundtrip_embeddings": _ROW_ENERGY,
-        "roundtrip_long_embeddings": _ROW_ENERGY,
+        "roundtrip_embeddings": _BALANCE_LENGTHS,
+        "roundtrip_long_embeddings": _BALANCE_LENGTHS,
         "csv_events": order_rows,
         "pairs_csv": pairs,
         "job_count_events": pairs,
         "job_add_counts": pairs,
         "job_reduce_matrix": f"{_CODE_COUNTS} SELECT i, j, count FROM reduced",
-        "job_embed_matrix": energy,
+        "job_reduce_repeated": f"""WITH {_COUNTS}, {repeated}, codes AS (
+            SELECT DISTINCT p_name AS code, dense_rank() OVER (ORDER BY p_name) - 1 AS idx FROM part),
+          words AS (SELECT word, CAST(idx AS INTEGER) AS idx FROM last JOIN codes USING (code) WHERE src IN (0, 3, 4))
+          SELECT least(a.idx, b.idx) AS i, greatest(a.idx, b.idx) AS j, CAST(sum(count) AS BIGINT) AS count
+          FROM counts m JOIN words a ON m.i = a.word JOIN words b ON m.j = b.word GROUP BY 1, 2""",
+        "job_embed_matrix": _power_sql(_PART_PPMI, _DOMINANT_SIGMA),
+        "job_embed_triangular": _power_sql(f"WITH {_COUNTS}, {_pmi_cte('counts')}", _DOMINANT_SIGMA),
         "gen_events": """SELECT c_custkey AS "PatientOrder", CAST(99 AS BIGINT) AS n_events, true AS days_ok,
           true AS words_ok FROM customer""",
         "gen_matrix": "SELECT CAST(0 AS BIGINT) AS violations, true AS share_ok",

@@ -13,10 +13,11 @@ from pairloom.operators.matrix import (
 from pairloom.operators.pairs import cooccurrence, daily_counts
 from pairloom.operators.ppmi import explain_cell, pmi, ppmi
 from pairloom.operators.rollup import dedupe_mapping, dense_index, mapping_stats, rollup
-from pairloom.operators.svd import SvdResult, embeddings, reconstruct, svd, to_long
+from pairloom.operators.svd import ConvergenceError, SvdResult, embeddings, reconstruct, svd, to_long
 from pairloom.operators.validate import cell_invariants, compare_factors, diff_summary, matrix_diff
 
 __all__ = [
+    "ConvergenceError",
     "SvdResult",
     "cell_invariants",
     "column_marginals",

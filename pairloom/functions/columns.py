@@ -1,4 +1,8 @@
-"""Column expressions shared by the operators. All stay inside whole-stage codegen."""
+"""Column expressions shared by the operators.
+
+All are built-in functions. Those on array columns (:func:`dot`, :func:`cosine_distance`) walk
+their arrays by an interpreted lambda; the others are part of the generated code.
+"""
 
 from __future__ import annotations
 
@@ -48,5 +52,16 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def cosine_distance(a: Column, b: Column) -> Column:
-    """1 - cos(a, b)."""
-    return F.lit(1.0) - dot(a, b) / F.sqrt(dot(a, a) * dot(b, b))
+    """1 - cos(a, b) in one walk over the arrays; null when either has no length or is all zeros."""
+    zero = F.lit(0.0)
+    sums = F.aggregate(
+        F.arrays_zip(a.alias("x"), b.alias("y")),
+        F.struct(zero.alias("xy"), zero.alias("xx"), zero.alias("yy")),
+        lambda acc, term: F.struct(
+            (acc["xy"] + term["x"] * term["y"]).alias("xy"),
+            (acc["xx"] + term["x"] * term["x"]).alias("xx"),
+            (acc["yy"] + term["y"] * term["y"]).alias("yy"),
+        ),
+        lambda acc: acc["xy"] / F.nullif(F.sqrt(acc["xx"] * acc["yy"]), zero),
+    )
+    return F.lit(1.0) - sums

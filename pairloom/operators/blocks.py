@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pairloom.scratch import BROADCAST_BYTES, delete, scratch_folder
 
 # Limits of one row: a task holds a few rows at a time in the JVM and in Python.
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 32 * 1024 * 1024
 TILE_CELLS = 65_536
 # Fewer cells than this are not worth a tile, fewer than a million not a partition of a large matrix.
 SMALL_TILE_CELLS = 32_768
@@ -61,12 +61,11 @@ class Grid:
         return np.arange(block, self.n, self.side, dtype=np.int32)
 
 
-def tile_table(cells: DataFrame, grid: Grid, count: int, parallelism: int, columns: int) -> DataFrame:
+def tile_table(cells: DataFrame, grid: Grid, count: int, parallelism: int) -> DataFrame:
     """Pack cells ``(i, j, value)`` into tiles; a tile with many cells becomes several rows.
 
     Range partitioning on (tile, row) gives equal shares of cells, also when one tile or one word
-    holds many of them. Dense blocks above the broadcast limit are joined by shuffle, for which the
-    packed tiles are laid out once by tile, so that later passes move the dense blocks only.
+    holds many of them.
     """
     side = F.lit(grid.side)
     dealt = cells.select(
@@ -76,14 +75,25 @@ def tile_table(cells: DataFrame, grid: Grid, count: int, parallelism: int, colum
         F.floor(F.col("j") / side).cast("int").alias("col"),
         F.col("value").cast("double").alias("value"),
     )
-    parts = max(1, min(max(parallelism, count // PARTITION_CELLS), math.ceil(count / (SMALL_TILE_CELLS // 2))))
     order = ["row_block", "col_block", "row", "col"]
-    packed = (
-        dealt.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order).mapInArrow(_pack, _TILE_SCHEMA)
-    )
-    if not _fits_broadcast(grid, columns):
-        packed = packed.repartition(parts, *order[:2]).sortWithinPartitions(*order[:2])
-    return packed
+    parts = _tile_parts(count, parallelism)
+    return dealt.repartitionByRange(parts, *order[:3]).sortWithinPartitions(*order).mapInArrow(_pack, _TILE_SCHEMA)
+
+
+def _tile_parts(count: int, parallelism: int) -> int:
+    return max(1, min(max(parallelism, count // PARTITION_CELLS), math.ceil(count / (SMALL_TILE_CELLS // 2))))
+
+
+def laid_out(tiles: DataFrame, grid: Grid, count: int, parallelism: int, columns: int) -> DataFrame:
+    """Stored tiles as the passes want them.
+
+    Dense blocks above the broadcast limit are joined by shuffle, for which the tiles are laid out
+    once by tile, so that later passes move the dense blocks only.
+    """
+    if _fits_broadcast(grid, columns):
+        return tiles
+    tile = ["row_block", "col_block"]
+    return tiles.repartition(_tile_parts(count, parallelism), *tile).sortWithinPartitions(*tile)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,19 +252,6 @@ def random_blocks(spark: SparkSession, grid: Grid, columns: int, scale: float, s
     return _block_ids(spark, grid).mapInArrow(draw, _BLOCK_SCHEMA)
 
 
-def identity_blocks(spark: SparkSession, grid: Grid) -> DataFrame:
-    """Block table of the identity matrix of order ``n``; for small ``n`` only."""
-
-    def ones(batches):
-        for (block,) in _rows_of(batches):
-            index = grid.indexes(block)
-            rows = np.zeros((len(index), grid.n))
-            rows[np.arange(len(index)), index] = 1.0
-            yield _block_row(block, rows)
-
-    return _block_ids(spark, grid).mapInArrow(ones, _BLOCK_SCHEMA)
-
-
 def vectors(blocks: DataFrame, grid: Grid, scale: np.ndarray) -> DataFrame:
     """``(i, features)`` with one row per index; column ``c`` is multiplied by ``scale[c]``."""
     columns = len(scale)

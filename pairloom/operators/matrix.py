@@ -10,10 +10,15 @@ from pyspark.sql import functions as F
 from pairloom.functions import required
 
 
+def _cells(matrix: DataFrame) -> DataFrame:
+    """The cells; a null index or count fails the query."""
+    return matrix.select(*[required(F.col(name), name).alias(name) for name in ("i", "j", "count")])
+
+
 def combine(*matrices: DataFrame) -> DataFrame:
     """Sum of count matrices, for example of shards counted apart or loaded later."""
     union = reduce(DataFrame.unionByName, matrices)
-    return union.groupBy("i", "j").agg(F.sum(required(F.col("count"), "count")).alias("count"))
+    return _cells(union).groupBy("i", "j").agg(F.sum("count").alias("count"))
 
 
 def symmetrize(matrix: DataFrame) -> DataFrame:
@@ -21,7 +26,7 @@ def symmetrize(matrix: DataFrame) -> DataFrame:
 
     One scan without shuffle. Input that already holds both (i, j) and (j, i) gives duplicate cells.
     """
-    return matrix.selectExpr(
+    return _cells(matrix).selectExpr(
         """inline(CASE WHEN i <> j
                        THEN array(struct(i, j, count), struct(j AS i, i AS j, count))
                        ELSE array(struct(i, j, count * 2 AS count)) END)"""
@@ -30,13 +35,13 @@ def symmetrize(matrix: DataFrame) -> DataFrame:
 
 def marginals(matrix: DataFrame, symmetric: bool = False) -> DataFrame:
     """Row sums ``(i, marginal)``; with ``symmetric`` those of the expanded triangular matrix."""
-    cells = symmetrize(matrix) if symmetric else matrix
+    cells = symmetrize(matrix) if symmetric else _cells(matrix)
     return cells.groupBy("i").agg(F.sum("count").alias("marginal"))
 
 
 def column_marginals(matrix: DataFrame) -> DataFrame:
     """Column sums ``(j, marginal)``."""
-    return matrix.groupBy("j").agg(F.sum("count").alias("marginal"))
+    return _cells(matrix).groupBy("j").agg(F.sum("count").alias("marginal"))
 
 
 def smoothed_total(sums: DataFrame, alpha: float = 0.75) -> DataFrame:
@@ -47,12 +52,13 @@ def smoothed_total(sums: DataFrame, alpha: float = 0.75) -> DataFrame:
 
 def total_count(matrix: DataFrame) -> DataFrame:
     """One row ``(total)``: sum of all counts."""
-    return matrix.agg(F.sum("count").alias("total"))
+    return _cells(matrix).agg(F.sum("count").alias("total"))
 
 
 def matrix_order(matrix: DataFrame) -> DataFrame:
     """One row ``(n)``: highest index of either axis plus one; null for an empty matrix."""
-    return matrix.agg((F.greatest(F.max("i"), F.max("j")) + 1).alias("n"))
+    index = [required(F.col(name), name).alias(name) for name in ("i", "j")]
+    return matrix.select(*index).agg((F.greatest(F.max("i"), F.max("j")) + 1).alias("n"))
 
 
 def row_slice(matrix: DataFrame, start: int, end: int) -> DataFrame:

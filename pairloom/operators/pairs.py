@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pairloom.functions import band_start, high, low, required
@@ -17,7 +17,6 @@ SPARSE_BAND_ROWS = 16
 # Work of one task of a pair join.
 TASK_PAIRS = 20_000_000
 TASK_ROWS = 1_000_000
-MAX_TASKS = 50_000
 
 
 def daily_counts(
@@ -67,7 +66,7 @@ def cooccurrence(
 
     bands = _dense_bands(counts, owner, window_days, max_group_rows)
     facts = bands.df.agg(F.sum(F.col("rows") * F.col("rows")).alias("squares"), F.max("rows").alias("most")).first()
-    parts = _parts(counts.sparkSession, 2 * (facts["squares"] or 0), counts.count())
+    parts = _parts(2 * (facts["squares"] or 0), counts.count())
     busy, n_busy = None, 0
     if (facts["most"] or 0) * 2 > max_group_rows:
         busy = _busy_patients(bands.df, owner, window_days, max_group_rows)
@@ -183,7 +182,7 @@ def _split_days(
         F.sum("rows").alias("rows"),
         F.count_if(F.col("rows") > limit).alias("large"),
     ).first()
-    tasks = _parts(right.sparkSession, facts["pairs"] or 0, facts["rows"] or 0)
+    tasks = _parts(facts["pairs"] or 0, facts["rows"] or 0)
     n_large = facts["large"]
     if n_large == 0:
         return left, right, group, tasks
@@ -198,10 +197,9 @@ def _split_days(
     return left, right, [*group, "row_part", "col_part"], tasks
 
 
-def _parts(spark: SparkSession, pairs: int, rows: int) -> int:
+def _parts(pairs: int, rows: int) -> int:
     """Tasks for a join that multiplies rows: by the pairs it makes, not only by the bytes it reads."""
-    most = max(MAX_TASKS, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return max(1, min(most, max(-(-pairs // TASK_PAIRS), -(-rows // TASK_ROWS))))
+    return max(1, -(-pairs // TASK_PAIRS), -(-rows // TASK_ROWS))
 
 
 def _spread(rows: DataFrame, keys: list[str], parts: int) -> DataFrame:

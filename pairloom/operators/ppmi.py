@@ -42,6 +42,7 @@ def pmi(
         contexts = stage(column_marginals(matrix).withColumnRenamed("j", "i"), "column-marginals")
     total = smoothed_total(contexts.df, alpha).first()["smoothed_total"] or 0.0
 
+    # Nulls have failed in the marginals, which read every cell.
     cells = symmetrize(matrix) if symmetric else matrix
     if merge_duplicates:
         cells = combine(cells)

@@ -18,11 +18,18 @@ _POSITION_BITS = 33
 
 
 def dedupe_mapping(mapping: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One row per word, the last by ``order_col``. Equal or absent order falls back on Source and Code."""
+    """One row per word, the last by ``order_col``; equal order falls back on Source and Code.
+
+    Without ``order_col`` nothing says which row is the last, so a word with several fails the query.
+    """
     rank = [F.col(order_col)] if order_col else []
     last = F.max_by(F.struct("Source", "Code"), F.struct(*rank, "Source", "Code")).alias("last")
     word = required(F.col("WordIndex"), "WordIndex").alias("WordIndex")
-    return mapping.groupBy(word).agg(last).select("WordIndex", "last.Source", "last.Code")
+    words = mapping.groupBy(word).agg(last, F.count(F.lit(1)).alias("rows"))
+    if order_col is None:
+        message = F.concat(F.lit("several rows and no order for word "), F.col("WordIndex").cast("string"))
+        words = words.withColumn("last", F.when(F.col("rows") == 1, F.col("last")).otherwise(F.raise_error(message)))
+    return words.select("WordIndex", "last.Source", "last.Code")
 
 
 def dense_index(mapping: DataFrame) -> DataFrame:
@@ -84,7 +91,7 @@ def rollup(
     cells = matrix.select(
         required(F.col("i"), "i").cast("bigint").alias("word_i"),
         required(F.col("j"), "j").cast("bigint").alias("word_j"),
-        "count",
+        required(F.col("count"), "count").alias("count"),
     )
     mapped = cells.join(renamed("word_i", "new_i"), "word_i").join(renamed("word_j", "new_j"), "word_j")
     return mapped.groupBy(

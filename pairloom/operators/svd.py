@@ -9,39 +9,37 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions import dot
+from pairloom.functions import dot, required
 from pairloom.operators import blocks as bl
 from pairloom.operators.blocks import BlockStore, Grid
+from pairloom.scratch import stage
 
-# Up to this order the start block is the whole identity, which makes the result exact after one pass.
-SMALL_ORDER = 1024
-LARGEST_EXACT_ORDER = 4096
-# Passes cost about the same for any narrow block, and a wider block needs fewer of them.
-MIN_BLOCK = 48
-
-# Accepted solver names and the method that stands for each.
-SOLVERS = {
-    "auto": "auto",
-    "cross": "exact",
-    "lapack": "exact",
-    "exact": "exact",
-    "cyclic": "krylov",
-    "lanczos": "krylov",
-    "trlanczos": "krylov",
-    "krylov": "krylov",
-}
+# A block holds so many columns more than are wanted; they speed up the last of the wanted ones.
+OVERSAMPLE = 11
+# The driver holds square matrices of this side at most.
+MOST_BASIS = 4096
+
+# Accepted solver names. All stand for the one solver there is.
+SOLVERS = ("auto", "cross", "lapack", "cyclic", "lanczos", "trlanczos", "krylov")
 
 # Directions of a new block below this share of its norm (squared) are rounding noise.
 _NOISE = 1e-13
+# Singular values below this share of the largest are zero to working precision: A A' squares them.
+_ZERO = 1e-6
+
+
+class ConvergenceError(RuntimeError):
+    """The solver stopped before every wanted component had converged."""
 
 
 @dataclass(frozen=True)
 class SvdResult:
     """Factors as tables: ``u`` and ``v`` are ``(i, features)``, ``sigma`` is ``(component, sigma)``.
 
-    ``v`` is None unless asked for. ``report`` has one row: method, n, cells, k, passes, restarts,
-    tolerance, converged components and the largest relative residual. ``components`` has the
-    residual and the convergence flag of each component.
+    Only converged components are in the factors. ``v`` is None unless asked for. ``report`` has one
+    row: which, n, cells, k, passes, restarts, tolerance, converged components and the largest
+    relative residual. ``components`` has the residual and the convergence flag of each component
+    that was found.
     """
 
     u: DataFrame
@@ -64,23 +62,34 @@ def svd(
     block: int | None = None,
     max_basis: int | None = None,
     right_vectors: bool = False,
+    allow_unconverged: bool = False,
     seed: int = 7,
 ) -> SvdResult:
     """The ``k`` largest (or smallest) singular triplets of the square matrix ``(i, j, value)``.
 
+    Fewer than ``k`` of the largest come back when the matrix has a lower rank. If others have not
+    converged after ``max_passes`` a :class:`ConvergenceError` says so; with ``allow_unconverged``
+    the converged ones come back without them. Every order takes the same way, and ``method`` only
+    accepts the names of solvers that callers may know.
+
     ``matrix`` should be a stored table with unique cells; rows without cells are allowed. ``n``
     defaults to the highest index plus one. The solver works on ``A A'`` so that the left vectors,
     which are the embeddings, come out orthonormal. A component has converged when
-    ``|A A' u - s^2 u|`` is at most ``tol * s^2`` (``tol * max s^2`` for the smallest). Each pass
-    multiplies one block of ``block`` columns by ``A A'``; the basis restarts at ``max_basis``
-    columns. Signs are fixed: the entry of largest magnitude of each left vector is positive.
+    ``|A A' u - s^2 u|``, measured on the final vectors, is at most ``tol * s^2``
+    (``tol * max s^2`` for the smallest). Each pass multiplies one block of ``block`` columns by
+    ``A A'``; the basis restarts at ``max_basis`` columns. Signs are fixed: the entry of largest
+    magnitude of each left vector is positive.
+
+    The smallest triplets of a large matrix converge only when they stand apart from the rest, as a
+    Krylov space of ``A A'`` resolves them by their squares; else the error is the usual outcome.
     """
     if which not in ("largest", "smallest"):
         raise ValueError(f"unknown which {which!r}")
     if method not in SOLVERS:
         raise ValueError(f"unknown method {method!r}")
     spark = matrix.sparkSession
-    cells = matrix.select("i", "j", F.col(value_col).alias("value"))
+    index = [required(F.col(name), name).alias(name) for name in ("i", "j")]
+    cells = matrix.select(*index, required(F.col(value_col), value_col).alias("value"))
     facts = cells.agg(
         F.count_if(F.col("value") != 0).alias("cells"),
         F.greatest(F.max("i"), F.max("j")).alias("top"),
@@ -95,57 +104,67 @@ def svd(
     if not 1 <= k <= n:
         raise ValueError(f"k must be between 1 and the matrix order {n}")
 
-    solver = SOLVERS[method]
-    if solver == "auto":
-        solver = "exact" if n <= SMALL_ORDER else "krylov"
-    if solver == "exact" and n > LARGEST_EXACT_ORDER:
-        raise ValueError(f"method {method!r} is for matrices up to order {LARGEST_EXACT_ORDER}")
-
-    width = n if solver == "exact" else min(n, block or max(MIN_BLOCK, k // 2 + 8))
+    width = min(n, block or k + OVERSAMPLE)
+    basis = min(max(max_basis or 16 * width, k + 2 * width), MOST_BASIS)
+    if k + 2 * width > basis:
+        raise ValueError(f"k = {k} with blocks of {width} columns needs a basis of more than {MOST_BASIS} columns")
     parallelism = spark.sparkContext.defaultParallelism
     grid = Grid.plan(n, facts["cells"], width, parallelism)
     store = BlockStore(spark, grid)
-    tiles = bl.tile_table(cells, grid, facts["cells"], parallelism, width).persist(StorageLevel.MEMORY_AND_DISK)
+    packed = stage(bl.tile_table(cells, grid, facts["cells"], parallelism), "svd-tiles")
+    tiles = bl.laid_out(packed.df, grid, facts["cells"], parallelism, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if solver == "exact":
-            start = bl.identity_blocks(spark, grid)
-        elif which == "smallest":
+        if which == "smallest":
             start = bl.random_blocks(spark, grid, width, 1.0 / np.sqrt(n), seed)
         else:
             # Starting inside the range of A keeps rows without cells at exactly zero.
             noise = bl.random_blocks(spark, grid, width, 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300), seed)
             start = bl.multiply(tiles, noise, grid, width, transposed=False, every_block=True)
         krylov = _Krylov(tiles, store, store.write(start, width), k, which, tol)
-        krylov.run(max_passes, max(max_basis or 16 * width, k + 2 * width))
-        left = store.write(store.combine(krylov.ritz_factors()), k)
+        krylov.run(max_passes, basis)
+        found = krylov.wanted()
+        theta, residual = krylov.theta[:found], np.empty(0)
+        if found:
+            left = store.write(store.combine(krylov.ritz_factors(found)), found)
+            residual = krylov.measured_residual(left, found)
+        done = residual <= tol
+        wanted = k if which == "smallest" or not krylov.exhausted else found
+        if not allow_unconverged and (found < wanted or not done.all()):
+            raise ConvergenceError(
+                f"{int(done.sum())} of {wanted} components converged to {tol} in {krylov.passes} passes; "
+                "raise max_passes, block or tol, or take the converged ones with allow_unconverged"
+            )
+        if done.any() and not done.all():
+            left = store.write(store.combine({left: np.eye(found)[:, done]}), int(done.sum()))
         store.drop(*krylov.basis)
-        sigma = np.sqrt(np.maximum(krylov.theta, 0.0))
-        signs = bl.column_signs(store.read(left), grid, k)
-        right = None
-        if right_vectors:
+        sigma, k = np.sqrt(np.maximum(theta[done], 0.0)), int(done.sum())
+        none = spark.createDataFrame([], "i int, features array<double>")
+        signs = bl.column_signs(store.read(left), grid, k) if k else np.empty(0)
+        right = none if right_vectors else None
+        if right_vectors and k:
             image = bl.multiply(tiles, store.read(left), grid, k, transposed=True, every_block=True)
             image = store.write(image, k)
-            floor = max(sigma.max(), 1e-300) * 1e-12
+            floor = max(sigma.max(initial=0.0), 1e-300) * 1e-12
             scale = np.where(sigma > floor, signs / np.maximum(sigma, floor), 0.0)
             right = bl.vectors(store.read(image), grid, scale)
     finally:
         tiles.unpersist()
 
-    residual = krylov.relative_residual()
-    rows = [(c, float(s), float(r), bool(r <= tol)) for c, (s, r) in enumerate(zip(sigma, residual))]
+    rows = [
+        (c, float(np.sqrt(max(t, 0.0))), float(r), bool(r <= tol)) for c, (t, r) in enumerate(zip(theta, residual, strict=True))
+    ]
     summary = (
-        solver, which, n, facts["cells"], k, krylov.passes, krylov.restarts, max_passes, float(tol),
-        int(sum(row[3] for row in rows)), float(residual.max()),
+        which, n, facts["cells"], krylov.k, krylov.passes, krylov.restarts, max_passes, float(tol), k, float(residual.max(initial=0.0)),
     )
     report_schema = (
-        "method string, which string, n int, cells long, k int, passes int, restarts int, max_passes int, "
+        "which string, n int, cells long, k int, passes int, restarts int, max_passes int, "
         "tol double, converged int, max_residual double"
     )
     components = spark.createDataFrame(rows, "component int, sigma double, residual double, converged boolean")
     return SvdResult(
-        u=bl.vectors(store.read(left), grid, signs),
+        u=bl.vectors(store.read(left), grid, signs) if k else none,
         v=right,
-        sigma=components.select("component", "sigma"),
+        sigma=spark.createDataFrame(list(enumerate(map(float, sigma))), "component int, sigma double"),
         report=spark.createDataFrame([summary], report_schema),
         components=components,
         values=[float(s) for s in sigma],
@@ -165,25 +184,54 @@ class _Krylov:
         self.gram = np.zeros((0, 0))
         self.projection = np.zeros((0, 0))
         self.passes = self.restarts = 0
-
-    def ritz_factors(self) -> dict[int, np.ndarray]:
-        return self._by_block(self.ritz[:, : self.k])
+        self.exhausted = False
+
+    def wanted(self) -> int:
+        """Components to return: up to ``k``, of the largest only those that are not zero."""
+        if self.which == "smallest":
+            return len(self.theta)
+        return int((self.theta > max(self.top, 1e-300) * _ZERO**2).sum())
+
+    def ritz_factors(self, count: int) -> dict[int, np.ndarray]:
+        return self._by_block(self.ritz[:, :count])
+
+    def measured_residual(self, left: int, count: int) -> np.ndarray:
+        """``|A A' u - s^2 u|`` of the final vectors against ``s^2``, by one more pass."""
+        if not count:
+            return np.empty(0)
+        half = bl.multiply(self.tiles, self.store.read(left), self.store.grid, count, transposed=True)
+        image = bl.multiply(self.tiles, half, self.store.grid, count, transposed=False, every_block=True)
+        image = self.store.write(image, count)
+        theta = self.theta[:count]
+        rest = self.store.write(self.store.combine({image: np.eye(count), left: -np.diag(theta)}), count)
+        squares = np.diag(self.store.inner([rest], [rest])[rest, rest])
+        self.store.drop(image, rest)
+        scale = theta if self.which == "largest" else np.full(count, self.top)
+        return np.sqrt(np.maximum(squares, 0.0)) / np.maximum(scale, max(self.top, 1e-300) * 1e-14)
 
     def relative_residual(self) -> np.ndarray:
-        scale = np.maximum(self.theta, 0.0) if self.which == "largest" else np.full(self.k, self.top)
+        """As the last block tells; :meth:`measured_residual` has the last word."""
+        scale = np.maximum(self.theta, 0.0) if self.which == "largest" else np.full(len(self.theta), self.top)
         return np.where(self.residual == 0, 0.0, self.residual / np.maximum(scale, max(self.top, 1e-300) * 1e-14))
 
     def run(self, max_passes: int, max_basis: int) -> None:
+        refined = False
         while True:
             image, coefficients, norm, remainder = self._extend()
             enough = len(self.theta) == self.k
             if enough and (self.relative_residual() <= self.tol).all():
                 break
             whiten = _whitening(remainder, norm)
-            if self.passes >= max_passes or whiten.shape[1] == 0:
-                if not enough:
-                    raise RuntimeError("the Krylov space is smaller than k; use method='exact' or a larger block")
+            self.exhausted = whiten.shape[1] == 0
+            if self.passes >= max_passes or (self.exhausted and refined):
                 break
+            if self.exhausted:
+                # Nothing new to reach, but the start block may have been badly conditioned: once more
+                # from its Ritz vectors, which are nearly orthonormal.
+                refined = True
+                self.store.drop(image)
+                self._start_again()
+                continue
             factors = self._by_block(-coefficients @ whiten) | {image: whiten}
             block = self.store.write(self.store.combine(factors), whiten.shape[1])
             self.store.drop(image)
@@ -209,13 +257,11 @@ class _Krylov:
         theta, vectors = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(theta) if self.which == "smallest" else np.argsort(-theta)
         self.ritz, self.all_theta = whiten @ vectors[:, order], theta[order]
-        self.theta, self.top = self.all_theta[: self.k], max(float(theta.max()), 0.0)
+        self.theta, self.top = self.all_theta[: self.k], float(theta.max(initial=0.0))
 
         coefficients = whiten @ (whiten.T @ overlap)
         norm = products[image, image]
         remainder = norm - overlap.T @ coefficients
-        if len(self.gram) >= store.grid.n:
-            remainder = np.zeros_like(remainder)
         # The basis spans all earlier images, so the newest one's remainder is the whole residual.
         newest = self.ritz[-width:, : self.k]
         squares = np.einsum("ak,ab,bk->k", newest, remainder, newest)
@@ -231,6 +277,17 @@ class _Krylov:
         self.gram, self.projection = np.eye(keep), np.diag(self.all_theta[:keep])
         self.restarts += 1
 
+    def _start_again(self) -> None:
+        """Begin anew with all Ritz vectors as the start block."""
+        keep = self.ritz.shape[1]
+        if keep:
+            best = self.store.write(self.store.combine(self._by_block(self.ritz)), keep)
+            self.store.drop(*self.basis)
+            self.basis = [best]
+        else:
+            self.basis = self.basis[:1]
+        self.gram, self.projection = np.zeros((0, 0)), np.zeros((0, 0))
+
     def _by_block(self, factors: np.ndarray) -> dict[int, np.ndarray]:
         ends = np.cumsum([self.store.widths[seq] for seq in self.basis])[:-1]
         return dict(zip(self.basis, np.split(factors, ends)))

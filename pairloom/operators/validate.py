@@ -5,21 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.functions import required
+
 # Fixed value: a component whose cosine distance is above this counts as different.
 COSINE_LIMIT = 0.01
 
 
+def _side(matrix: DataFrame, name: str) -> DataFrame:
+    """Cells with the count under another name; a null index or count fails the query."""
+    index = [required(F.col(key), key).alias(key) for key in ("i", "j")]
+    return matrix.select(*index, required(F.col("count"), "count").alias(name))
+
+
 def matrix_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Cells that differ, ``(i, j, left_count, right_count)``; a missing cell is null on its side."""
-    a = left.select("i", "j", F.col("count").alias("left_count"))
-    b = right.select("i", "j", F.col("count").alias("right_count"))
+    a, b = _side(left, "left_count"), _side(right, "right_count")
     return a.join(b, ["i", "j"], "full_outer").filter(~F.col("left_count").eqNullSafe(F.col("right_count")))
 
 
 def diff_summary(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row ``(cells, mismatches)`` over the union of the cells."""
-    a = left.select("i", "j", F.col("count").alias("left_count"))
-    b = right.select("i", "j", F.col("count").alias("right_count"))
+    a, b = _side(left, "left_count"), _side(right, "right_count")
     same = F.col("left_count").eqNullSafe(F.col("right_count"))
     return a.join(b, ["i", "j"], "full_outer").agg(
         F.count(F.lit(1)).alias("cells"), F.count_if(~same).alias("mismatches")
