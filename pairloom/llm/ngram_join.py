@@ -229,7 +229,9 @@ def _multiply_tiles(tiles: DataFrame, sets: DataFrame, members: DataFrame, perce
         if tile is not None:
             yield done()
 
-    rows = tiles.join(members, "node").join(sets, "node").select("tile", "side", "same", "node", "members", "tokens")
+    placed = stage(tiles.join(members, "node"), "ngram-placed")
+    rows = sets.join(broadcast_if_small(placed.df, placed.count(), 64), "node")
+    rows = rows.select("tile", "side", "same", "node", "members", "tokens")
     return rows.repartition("tile").sortWithinPartitions("tile").mapInArrow(multiply, "a long, b long, links long")
 
 
