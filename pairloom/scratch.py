@@ -8,6 +8,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from dataclasses import dataclass
 from functools import cache
 
@@ -19,6 +22,9 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Folder of the job that runs, below the application's; empty outside of a job.
+_job: ContextVar[str] = ContextVar("job", default="")
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Folder for this application's intermediate tables."""
@@ -37,7 +43,22 @@ def _local_folder() -> str:
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder name for one intermediate table."""
-    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{scratch_root(spark)}{_job.get()}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def job_scratch(spark: SparkSession) -> Iterator[None]:
+    """Give the intermediate tables of a job a folder of their own and remove it when the job ends.
+
+    For jobs whose results are written; tables that are still read afterwards must not be inside.
+    """
+    folder = f"/job-{uuid.uuid4().hex}"
+    token = _job.set(folder)
+    try:
+        yield
+    finally:
+        _job.reset(token)
+        delete(spark, scratch_root(spark) + folder)
 
 
 @dataclass(frozen=True)

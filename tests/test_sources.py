@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import os
 
 import numpy as np
 import pytest
@@ -32,11 +33,65 @@ def test_events_text(spark, tmp_path, zipped):
     assert sorted(map(tuple, sources.read_events(spark, str(path), "csv").collect())) == EVENTS
 
 
-def test_bad_number_in_text_fails(spark, tmp_path):
+@pytest.mark.parametrize(
+    "line", ["1,x,5,1", "1,2,7", "1,2,7,1,9", "1,2,7,x", "1,2,,1", "1,2,7,", "1,2,3000000000,1", "9999999999999999999,2,7,1", "1.5,2,7,1"]
+)
+def test_malformed_line_fails(spark, tmp_path, line):
+    """Also when the columns that are read later are in order."""
     path = tmp_path / "bad.csv"
-    path.write_text("1,0,5,1\n1,x,5,1\n")
-    with pytest.raises(Exception, match="MALFORMED"):
+    path.write_text(f"1,0,5,1\n{line}\n")
+    with pytest.raises(Exception, match="malformed event line"):
         sources.read_events(spark, str(path), "csv").collect()
+    with pytest.raises(Exception, match="malformed event line"):
+        count_events(spark, str(path), str(tmp_path / "out"), file_format="csv")
+
+
+def test_text_numbers_at_their_limits(spark, tmp_path):
+    path = tmp_path / "events.csv"
+    path.write_text("9223372036854775807,-2147483648, 5 ,+1\n\n-9223372036854775808,2147483647,5,1\r\n")
+    have = sorted(map(tuple, sources.read_events(spark, str(path), "csv").collect()))
+    assert have == [(-(2**63), 2**31 - 1, 5, 1), (2**63 - 1, -(2**31), 5, 1)]
+
+
+def test_jobs_leave_no_scratch_tables(spark, tmp_path):
+    events = spark.createDataFrame([(1, 0, 5, 1), (1, 1, 6, 1)], "PatientOrder long, NumDays int, WordIndex int, window int")
+    events.write.parquet(str(tmp_path / "events"))
+    root = scratch_root(spark).removeprefix("file:")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    assert count_events(spark, str(tmp_path / "events"), str(tmp_path / "counts")).count() == 1
+    assert (set(os.listdir(root)) if os.path.isdir(root) else set()) == before
+
+
+def test_last_line_wins_through_the_job(spark, tmp_path):
+    mapping = [(0, 5, "zz", 0), (0, 1, "aa", 1), (1, 1, "bb", 2)]
+    spark.createDataFrame([(0, 1, 7)], "i int, j int, count long").write.parquet(str(tmp_path / "matrix"))
+    ordered = spark.createDataFrame(mapping, "WordIndex long, Source long, Code string, line long")
+    ordered.write.parquet(str(tmp_path / "ordered"))
+    ordered.drop("line").write.parquet(str(tmp_path / "plain"))
+    paths = str(tmp_path / "matrix"), str(tmp_path / "out")
+    have = reduce_matrix(spark, paths[0], str(tmp_path / "ordered"), paths[1], order_col="line")
+    assert list(map(tuple, have.collect())) == [(0, 1, 7)]
+    with pytest.raises(Exception, match="several rows and no order"):
+        reduce_matrix(spark, paths[0], str(tmp_path / "plain"), paths[1])
+
+
+def test_unconverged_embeddings_are_not_written(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    cells = [(i, j, int(rng.integers(1, 50))) for i in range(90) for j in range(i, 90) if rng.random() < 0.3]
+    spark.createDataFrame(cells, "i int, j int, count long").write.parquet(str(tmp_path / "matrix"))
+    with pytest.raises(pl.ConvergenceError):
+        embed_matrix(spark, str(tmp_path / "matrix"), str(tmp_path / "out"), 5, symmetric=True, max_passes=1, block=6)
+    assert not os.path.exists(tmp_path / "out")
+
+
+def test_triangular_input_through_the_job(spark, tmp_path):
+    cells = [(0, 1, 4), (0, 2, 3), (1, 2, 2), (1, 1, 1)]
+    spark.createDataFrame(cells, "i int, j int, count long").write.parquet(str(tmp_path / "matrix"))
+    paths = str(tmp_path / "matrix"), str(tmp_path / "out")
+    with pytest.raises(Exception, match="context without marginal"):
+        embed_matrix(spark, *paths, 1)
+    for options in ({"on_zero_context": "drop"}, {"context": "column", "on_zero_context": "drop"}):
+        assert embed_matrix(spark, *paths, 1, **options).u.count() == 3
 
 
 @pytest.mark.parametrize(

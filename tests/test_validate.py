@@ -43,3 +43,32 @@ def test_cosine_distance(spark):
     row = spark.sql("SELECT array(1D, 0D) AS a, array(1D, 1D) AS b")
     value = row.select(cosine_distance(F.col("a"), F.col("b"))).first()[0]
     assert value == pytest.approx(1 - 2**-0.5)
+
+
+@pytest.mark.parametrize("row", [(None, 1, 6), (1, None, 6), (1, 2, None)])
+@pytest.mark.parametrize(
+    "operator",
+    [
+        pl.symmetrize,
+        pl.marginals,
+        lambda m: pl.marginals(m, symmetric=True),
+        pl.column_marginals,
+        pl.total_count,
+        pl.combine,
+        lambda m: pl.ppmi(m, symmetric=True),
+        lambda m: pl.matrix_diff(m, m),
+        lambda m: pl.diff_summary(m, m),
+        lambda m: pl.rollup(m, m.sparkSession.createDataFrame([(1, 1, "a"), (2, 1, "b")], "WordIndex long, Source long, Code string")),
+    ],
+)
+def test_nulls_in_a_matrix_fail(spark, operator, row):
+    matrix = spark.createDataFrame([(1, 2, 3), row], "i int, j int, count long")
+    with pytest.raises(Exception, match="null in"):
+        operator(matrix).collect()
+
+
+def test_cosine_of_a_zero_vector_is_null(spark):
+    rows = [([1.0, 0.0], [1.0, 1.0]), ([0.0, 0.0], [1.0, 1.0]), ([], [])]
+    table = spark.createDataFrame(rows, "a array<double>, b array<double>")
+    have = [r[0] for r in table.select(cosine_distance(F.col("a"), F.col("b"))).collect()]
+    assert have[0] == pytest.approx(1 - 0.5**0.5) and have[1:] == [None, None]
