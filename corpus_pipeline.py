@@ -16,7 +16,7 @@ from pairloom.llm.ngram_join import ngram_join
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.text import ascii_lower, free_name, has_repeats
 from pairloom.llm.toxicity import fit_toxicity
-from pairloom.scratch import stage
+from pairloom.scratch import broadcast_if_small, stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +31,12 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat both id and text leave one row.
     """
     decided = stage(exact_duplicates(docs), "pipeline-exact").df
-    id_, hash_, content = (free_name(docs, name) for name in ("kept_id", "kept_hash", "content"))
-    kept = decided.filter("kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(hash_))
+    id_, hash_, content = (free_name(docs, name) for name in ("dropped_id", "dropped_hash", "content"))
+    dropped = decided.filter("NOT kept").select(F.col("doc_id").alias(id_), F.col("text_sha256").alias(hash_)).distinct()
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.sha2(ascii_lower(F.col("text")), 256) == F.col(hash_))
-    left = docs.join(kept, same, "left_semi")
-    if has_repeats(kept, id_, hash_):
+    # The list of dropped rows is the short one; documents move only when it is too large to broadcast.
+    left = docs.join(broadcast_if_small(dropped, dropped.count(), 128), same, "left_anti")
+    if has_repeats(decided.filter("kept"), "doc_id", "text_sha256"):
         left = left.withColumn(content, ascii_lower(F.col("text"))).dropDuplicates(["doc_id", content]).drop(content)
     return left
 
@@ -43,9 +44,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest id stays. Rows that repeat an id stay or go together."""
     decided = stage(ngram_join(docs), "pipeline-near").df
-    id_ = free_name(docs, "kept_id")
-    kept = decided.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias(id_))
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
+    id_ = free_name(docs, "dropped_id")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    dropped = decided.groupBy(F.col("doc_id").alias(id_)).agg(F.max(stays).alias("stays")).filter("NOT stays").select(id_)
+    dropped = broadcast_if_small(dropped, dropped.count(), 32)
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col(id_)), "left_anti")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +60,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = mix_sources(docs)
     times = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
     taken = taken.groupBy(F.col("doc_id").alias(id_)).agg(F.max(times).alias(copies))
-    taken = stage(taken.filter(F.col(copies) > 0), "pipeline-mix").df
-    joined = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_)))
+    taken = stage(taken.filter(F.col(copies) > 0), "pipeline-mix")
+    joined = docs.join(broadcast_if_small(taken.df, taken.count(), 48), F.col("doc_id").eqNullSafe(F.col(id_)))
     return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 

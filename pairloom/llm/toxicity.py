@@ -109,15 +109,14 @@ def _gram_sets(texts: Sequence[str]) -> list[np.ndarray]:
 
 def _chosen(sets: list[np.ndarray], labels: np.ndarray, most: int) -> np.ndarray:
     """Grams that tell the labels apart: those with a clear difference in log odds, at least 256 and at most ``most``."""
-    keys, ones = np.unique(np.concatenate([s for s, y in zip(sets, labels, strict=True) if y]), return_counts=True)
-    others, zeros = np.unique(np.concatenate([s for s, y in zip(sets, labels, strict=True) if not y]), return_counts=True)
-    at = np.minimum(np.searchsorted(others, keys), max(0, len(others) - 1))
-    in_zero = np.where(others[at] == keys, zeros[at], 0) if len(others) else np.zeros(len(keys))
-    # Grams of unlabelled-looking text matter only where they also stand in the other class.
-    only = others[~np.isin(others, keys)]
-    all_keys = np.concatenate([keys, only])
-    a = np.concatenate([ones, np.zeros(len(only))])
-    b = np.concatenate([in_zero, zeros[~np.isin(others, keys)]])
+    all_keys = np.sort(np.concatenate(sets))
+    # Most grams stand in one text only and tell nothing.
+    again = all_keys[1:][all_keys[1:] == all_keys[:-1]]
+    all_keys = again[np.flatnonzero(np.diff(again, prepend=again[:1] + np.uint64(1)))] if len(again) else all_keys
+    a, b = np.zeros(len(all_keys)), np.zeros(len(all_keys))
+    for grams, label in zip(sets, labels, strict=True):
+        index = np.minimum(np.searchsorted(all_keys, grams), len(all_keys) - 1)
+        (a if label else b)[index[all_keys[index] == grams]] += 1
     n1, n0 = labels.sum(), len(labels) - labels.sum()
     odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
     clear = np.abs(odds) / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
@@ -201,8 +200,8 @@ def fit_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    sample: int = 3000,
-    sample_chars: int = 20_000,
+    sample: int = 2000,
+    sample_chars: int = 10_000,
     seed: int = 11,
     **options,
 ) -> ToxicityModel:
