@@ -1,7 +1,7 @@
 """Hashes of words and byte n-grams for whole Arrow columns of texts.
 
 Bytes get fixed random numbers, with capital ASCII letters sharing those of the small ones, so
-nothing has to be lower-cased first. Work goes in pieces of about a megabyte, so memory does not
+nothing has to be lower-cased first. Work goes in pieces of a quarter of a megabyte, so memory does not
 follow the batch, nor the length of a text.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)

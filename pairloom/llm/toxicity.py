@@ -99,12 +99,13 @@ def swapped(text: str, groups: Sequence[Sequence[str]]) -> list[str]:
 
 
 def _gram_sets(texts: Sequence[str]) -> list[np.ndarray]:
-    column, parts = pa.array(texts, pa.string()), [[] for _ in texts]
+    column, sets = pa.array(texts, pa.string()), [np.empty(0, np.uint64) for _ in texts]
     for first, grams, rows in byte_grams(column, GRAM):
         ends = np.searchsorted(rows, np.arange(rows[-1] + 2)) if len(rows) else [0]
         for k in range(len(ends) - 1):
-            parts[first + k].append(grams[ends[k] : ends[k + 1]])
-    return [np.unique(np.concatenate(p)) if p else np.empty(0, np.uint64) for p in parts]
+            # A long text comes in several pieces.
+            sets[first + k] = np.union1d(sets[first + k], grams[ends[k] : ends[k + 1]])
+    return sets
 
 
 def _chosen(sets: list[np.ndarray], labels: np.ndarray, most: int) -> np.ndarray:
@@ -200,7 +201,7 @@ def fit_toxicity(
     id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    sample: int = 2000,
+    sample: int = 2500,
     sample_chars: int = 10_000,
     seed: int = 11,
     **options,
