@@ -57,6 +57,18 @@ def test_one_of_linked_documents_stays(spark, sf_dir):
     assert have == Counter(r for r in rows if r[0] in kept)
 
 
+def test_near_copies_share_four_fifths_of_runs_of_five_words(spark, sf_dir):
+    words = [f"w{k}" for k in range(100)]
+    more = [f"more{k}" for k in range(30)]
+    rows = [(1, " ".join(words), None, None, 0), (2, " ".join(words + more[:22]), None, None, 0)]  # 96 of 118
+    rows += [(3, " ".join(f"x{w}" for w in words), None, None, 0), (4, " ".join([f"x{w}" for w in words] + more[:25]), None, None, 0)]  # 96 of 121
+    rows += [r for r in {r[0]: r for r in data.rows()}.values() if r[0] is None or r[0] > 4]
+    have = _rows(corpus_pipeline.drop_near_copies(spark, data.documents(spark, rows), sf_dir))
+    kept = {r[0] for r in near_copies(rows, 5, 80) if r[0] == r[2]}
+    assert have == Counter(r for r in rows if r[0] in kept)
+    assert 2 not in kept and {1, 3, 4} <= kept
+
+
 def test_mix_repeats_whole_documents(spark, sf_dir):
     rows = list({r[0]: r for r in data.rows()}.values())
     have = _rows(corpus_pipeline.mix(spark, data.documents(spark, rows), sf_dir))
