@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.hashing import byte_grams
 from pairloom.llm.text import whole
+from pairloom.scratch import stage
 
 # Groups of terms; a term is swapped for the others of its group, the last of which is neutral.
 IDENTITY_TERMS = (
@@ -110,7 +111,8 @@ def _gram_sets(texts: Sequence[str]) -> list[np.ndarray]:
 
 def _chosen(sets: list[np.ndarray], labels: np.ndarray, most: int) -> np.ndarray:
     """Grams that tell the labels apart: those with a clear difference in log odds, at least 256 and at most ``most``."""
-    all_keys = np.sort(np.concatenate(sets))
+    all_keys = np.concatenate(sets)
+    all_keys.sort()
     # Most grams stand in one text only and tell nothing.
     again = all_keys[1:][all_keys[1:] == all_keys[:-1]]
     all_keys = again[np.flatnonzero(np.diff(again, prepend=again[:1] + np.uint64(1)))] if len(again) else all_keys
@@ -135,6 +137,19 @@ def _matrix(sets: list[np.ndarray], keys: np.ndarray) -> tuple[np.ndarray, np.nd
     return rows, np.concatenate(found) if found else np.empty(0, np.int64)
 
 
+def _twins(texts: Sequence[str], groups: Sequence[Sequence[str]], keys: np.ndarray, some: int = 64) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which text each swapped text is of, and row and column of its known grams. All grams of ``some`` texts are held at a time."""
+    of, rows, columns = [], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for first in range(0, len(texts), some):
+        twins = [(first + k, twin) for k, text in enumerate(texts[first : first + some]) for twin in swapped(text, groups)]
+        if twins:
+            own_rows, own_columns = _matrix(_gram_sets([twin for _, twin in twins]), keys)
+            rows.append(own_rows + len(of))
+            columns.append(own_columns)
+            of += [k for k, _ in twins]
+    return np.array(of, np.int64), np.concatenate(rows), np.concatenate(columns)
+
+
 def train(
     texts: Sequence[str],
     labels: Sequence[int],
@@ -160,10 +175,9 @@ def train(
         return ToxicityModel(np.empty(0, np.uint64), np.empty(0), float(np.log((share + 1e-6) / (1 - share + 1e-6))))
     sets = _gram_sets(texts)
     keys = _chosen(sets, y.astype(bool), most_grams)
-    twins = [(k, twin) for k, text in enumerate(texts) for twin in swapped(text, identity_terms)]
     rows, columns = _matrix(sets, keys)
-    twin_rows, twin_columns = _matrix(_gram_sets([twin for _, twin in twins]), keys) if twins else (rows[:0], columns[:0])
-    of = np.array([k for k, _ in twins], np.int64)
+    del sets
+    of, twin_rows, twin_columns = _twins(texts, identity_terms, keys)
 
     def product(rows: np.ndarray, columns: np.ndarray, w: np.ndarray, size: int) -> np.ndarray:
         return np.bincount(rows, w[columns], size)
@@ -202,30 +216,40 @@ def fit_toxicity(
     text_col: str = "text",
     label_col: str = "toxic",
     sample: int = 2500,
-    sample_chars: int = 10_000,
+    sample_bytes: int = 25_000_000,
     seed: int = 11,
     **options,
 ) -> ToxicityModel:
-    """Train on at most ``sample`` labelled texts of either label, of at most ``sample_chars`` characters each.
+    """Train on at most ``sample`` labelled texts of either label, as many as hold about ``sample_bytes`` bytes.
 
     The sample is bounded whatever the size of the tables: rows with the smallest seeded hash of
-    their id. Rows of either label weigh as much as there are of them. Held-out rows, null labels
-    and labels without a document are left out; of labels that repeat an id, the largest counts.
+    their id, long or short, each with its whole text, up to and with the one that reaches
+    ``sample_bytes``. Rows of either label weigh as much as there are of them. Held-out rows, null
+    labels and labels without a document are left out; of labels that repeat an id, the largest
+    counts.
     """
+    spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("label_id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter(F.col("label").isin(0, 1) & ~held_out(F.col("label_id")))
     known = known.groupBy("label_id").agg(F.max("label").alias("label"))
     counts = {row["label"]: row["n"] for row in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Twice the sample by hash, as some are too long or have no document.
+    # Twice the sample by hash, as some have no document.
     draw = F.xxhash64(F.lit(seed), "label_id")
     drawn = [known.filter(F.col("label") == y).orderBy(draw, "label_id").limit(2 * sample) for y in (0, 1)]
     # Bounded by the sample.
     drawn = F.broadcast(drawn[0].unionByName(drawn[1]))
     texts = docs.select(F.col(id_col).alias("id"), whole(F.col(text_col)).alias("text"))
-    texts = texts.filter(F.length("text") <= sample_chars).join(drawn, F.col("id") == F.col("label_id"))
-    order = [F.xxhash64(F.lit(seed), "label_id"), "label_id", "text"]
-    parts = [texts.filter(F.col("label") == y).select("label_id", "label", "text").orderBy(*order).limit(sample) for y in (0, 1)]
-    rows = parts[0].unionByName(parts[1]).select("label", "text").toPandas()
+    texts = texts.join(drawn, F.col("id") == F.col("label_id")).select("label_id", "label", "text")
+    texts = stage(texts.withColumn("row", F.monotonically_increasing_id()), "toxicity-drawn").df
+    # Only numbers take part in the order; texts that are not taken stay where they are.
+    order = ["draw", "label_id", "tie"]
+    narrow = texts.select("row", "label", "label_id", draw.alias("draw"), F.xxhash64("text").alias("tie"), F.octet_length("text").alias("bytes"))
+    parts = [narrow.filter(F.col("label") == y).orderBy(*order).limit(sample) for y in (0, 1)]
+    taken = parts[0].unionByName(parts[1]).toPandas().sort_values(["label", *order])
+    before = taken.groupby("label")["bytes"].cumsum() - taken["bytes"]
+    taken = taken[before < sample_bytes].reset_index(drop=True)
+    wanted = spark.createDataFrame([(int(row), k) for k, row in enumerate(taken["row"])], "row long, k int")
+    rows = texts.join(F.broadcast(wanted), "row").select("k", "label", "text").toPandas().sort_values("k")
     y = rows["label"].to_numpy()
     each = np.array([counts.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)])
     return train(rows["text"].tolist(), y, weights=each[y] if len(y) else None, **options)

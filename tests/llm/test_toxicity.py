@@ -60,6 +60,25 @@ def test_held_out_labels_are_not_learnt(spark, corpus):
     assert np.array_equal(a.keys, b.keys) and np.array_equal(a.weights, b.weights) and a.bias == b.bias
 
 
+def test_long_labelled_texts_are_learnt_from(spark, monkeypatch):
+    rows = [(k, data.prose(1600, k) + (f" {' '.join(INSULTS)}" if k % 2 else ""), None, None, 0) for k in range(160)]
+    assert min(len(r[1]) for r in rows) > 10_000
+    docs = data.documents(spark, rows)
+    labels = spark.createDataFrame([(r[0], 1, r[0] % 2) for r in rows], "doc_id long, quality int, toxic int")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels)).collect()
+    unseen = [r for r in scored if r.held_out]
+    assert len(unseen) > 15 and sum(r.predicted == r.doc_id % 2 for r in unseen) / len(unseen) > 0.9
+    seen = []
+    monkeypatch.setattr("pairloom.llm.toxicity.train", lambda texts, labels, **_: seen.append((texts, list(labels))))
+    fit_toxicity(docs, labels, sample_bytes=50_000)
+    fit_toxicity(docs, labels, sample_bytes=1)
+    (texts, y), (first, both) = seen
+    assert set(texts) <= {r[1] for r in rows} and sorted(both) == [0, 1] and len(first) == 2
+    for label in (0, 1):
+        sizes = [len(text.encode()) for text, own in zip(texts, y, strict=True) if own == label]
+        assert sum(sizes) >= 50_000 > sum(sizes[:-1])
+
+
 def test_counterfactual_penalty():
     """A group that stands in most toxic examples and few others, when insults tell only some of them."""
     draw, texts, labels = random.Random(1), [], []
