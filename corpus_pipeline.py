@@ -11,10 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.exact_dedup import exact_duplicates
-from pairloom.llm.mixing import mix_sources
+from pairloom.llm.mixing import whole_copies
 from pairloom.llm.ngram_join import ngram_join
 from pairloom.llm.packing import pack_documents
-from pairloom.llm.text import ascii_lower, free_name, has_repeats
+from pairloom.llm.text import SPACED_WORD, ascii_lower, free_name, has_repeats, whole
 from pairloom.llm.toxicity import fit_toxicity
 from pairloom.scratch import broadcast_if_small, stage
 
@@ -55,17 +55,19 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Whole documents as often as the mix takes the block of their first word: not at all, once or twice.
+    """Whole documents, not at all, once or twice, so that the words of each source come within half of its longest
+    document of those that the mix takes.
 
-    A document without words has no block and stays once.
+    A document without words takes no part in the mix and stays once.
     """
-    id_, copies, copy = (free_name(docs, name) for name in ("taken_id", "copies", "copy"))
-    taken = mix_sources(docs)
-    times = F.when(F.col("size") > 0, F.col("copies")).otherwise(F.lit(1))
-    taken = taken.groupBy(F.col("doc_id").alias(id_)).agg(F.max(times).alias(copies))
-    taken = stage(taken.filter(F.col(copies) > 0), "pipeline-mix")
-    joined = docs.join(broadcast_if_small(taken.df, taken.count(), 48), F.col("doc_id").eqNullSafe(F.col(id_)))
-    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
+    id_, src, no, copies = (free_name(docs, name) for name in ("taken_id", "taken_source", "no_source", "copies"))
+    taken = whole_copies(docs).select(F.col("id").alias(id_), F.col("src").alias(src), F.col("no").alias(no), F.col("copies").alias(copies))
+    taken = stage(taken, "pipeline-mix")
+    source = F.col("source").cast("string")
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.coalesce(source, F.lit("")) == F.col(src)) & (source.isNull() == F.col(no))
+    joined = docs.join(broadcast_if_small(taken.df, taken.count(), 80), same, "left")
+    times = F.when(F.regexp_like(whole(F.col("text")), F.lit(SPACED_WORD)), F.coalesce(F.col(copies), F.lit(0))).otherwise(F.lit(1))
+    return joined.withColumn(copies, times).filter(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,14 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pairloom.llm.positions import with_running_sums
 from pairloom.llm.text import spaced_words
-from pairloom.scratch import stage
+from pairloom.scratch import broadcast_if_small, stage
 
 # Primes above any number of blocks in a shard; a stride prime to the count visits every block once.
 STRIDES = (
     1000000007, 1000000009, 1000000021, 1000000033, 1000000087, 1000000093, 1000000097, 1000000103,
     1000000123, 1000000181, 1000000207, 1000000223, 1000000241, 1000000271, 1000000289, 1000000297,
 )
+# A document taken once, in the sums of ``whole_copies``: parts of 1 / 2^24, with room for 2^38 documents.
+ONE = 1 << 24
 
 
 def apportion(parties: DataFrame, group: Sequence[str], weight: str, seats: str, order: Sequence[str]) -> DataFrame:
@@ -68,20 +71,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
     return levelled.select("src", "no", "size", target.alias("target"))
 
 
-def mix_sources(
-    docs: DataFrame,
-    *,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    weights: Sequence[float] = (3, 1, 2),
-    share: float = 1.5,
-    most: float = 2.0,
-    block_words: int = 64,
-    shard_words: int = 1 << 22,
-    least_shards: int = 64,
-    seed: int = 17,
-) -> DataFrame:
+def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``(id_col, size, source_size, target, taken, copies)``, a row for every row of ``docs``.
 
     Documents are dealt to shards by a seeded hash; a shard holds about ``shard_words`` words, so it
@@ -92,11 +82,52 @@ def mix_sources(
     ``taken`` counts a document's words in taken blocks, repeats included; ``copies`` is how often
     the block of its first word is taken, for readers that want whole documents.
 
-    A null source is a source of its own and comes last. A null text has no words. A document
+    Options are those of ``_taken_blocks``. A null source is a source of its own and comes last. A null text has no words. A document
     without words takes nothing, and a source without words has the target 0. Rows that repeat an
     id are separate documents. Other columns are not read. An empty table gives no rows. The result
     depends only on the rows and the seed.
     """
+    rows = _taken_blocks(docs, id_col=id_col, **options)
+    return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "copies")
+
+
+def whole_copies(docs: DataFrame, *, seed: int = 17, **options) -> DataFrame:
+    """``(id, src, no, copies)``: how often a reader of whole documents takes those of an id in a source; only those taken.
+
+    Each has the share ``taken / size`` of ``mix_sources``, and the shares of a source are rounded
+    as running sums from the longest document to the shortest, equal lengths in seeded order. The
+    words of a source are then off the taken ones by half of its longest document at most. Rows
+    that repeat an id in a source go together. A null source has the empty name and ``no`` set.
+    Documents without words are not listed.
+    """
+    rows = _taken_blocks(docs, seed=seed, **options).filter("size > 0").groupBy("id", "src", "no")
+    rows = rows.agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
+    # Whole numbers, so that sums do not depend on the partitions.
+    rows = rows.select("id", "src", "no", (-F.col("size")).alias("shorter"), F.xxhash64(F.lit(seed + 3), "id").alias("draw"), F.expr(f"taken * {ONE}L div size").alias("part_taken"))
+    placed = with_running_sums(rows, ["src", "no", "shorter", "draw", "id"], ["part_taken"])
+    starts = stage(placed.groupBy("src", "no").agg(F.min("part_taken_before").alias("start")), "mix-starts")
+    placed = placed.join(broadcast_if_small(starts.df, starts.count(), 64), ["src", "no"])
+    before = F.col("part_taken_before") - F.col("start") + F.lit(ONE // 2)
+    placed = placed.withColumn("before", before)
+    copies = F.expr(f"(before + part_taken) div {ONE}L - before div {ONE}L").cast("int")
+    return placed.select("id", "src", "no", copies.alias("copies")).filter("copies > 0")
+
+
+def _taken_blocks(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    weights: Sequence[float] = (3, 1, 2),
+    share: float = 1.5,
+    most: float = 2.0,
+    block_words: int = 64,
+    shard_words: int = 1 << 22,
+    least_shards: int = 64,
+    seed: int = 17,
+) -> DataFrame:
+    """Rows of ``mix_sources`` with their source (``src``, ``no``)."""
     spark = docs.sparkSession
     source = F.col(source_col).cast("string")
     sized = stage(
@@ -151,7 +182,9 @@ def mix_sources(
     inside = "least(start + size, ((k + 1) * words) div blocks) - greatest(start, (k * words) div blocks)"
     taken = F.expr(f"aggregate(sequence(first, last), 0L, (taken, k) -> taken + ({inside}) * ({times.format(k='k')}))")
     return joined.select(
-        F.col("id").alias(id_col),
+        "id",
+        "src",
+        "no",
         "size",
         "source_size",
         "target",

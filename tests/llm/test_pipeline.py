@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 
 import corpus_pipeline
+from pairloom.llm.mixing import mix_sources
 from tests.llm import data
 from tests.llm.test_ngram_join import brute as near_copies
 
@@ -76,6 +77,25 @@ def test_mix_repeats_whole_documents(spark, sf_dir):
     assert all(have[r] == 1 for r in rows if not data.spaced(r[1]))
 
 
+def test_mixed_words_come_near_the_targets(spark, sf_dir):
+    lengths = [(f"s{k % 3}" if k % 4 else None, 3000 + 517 * (k * k % 11) if k < 24 else 200 + k) for k in range(60)]
+    rows = [(k, data.prose(n, k), None, name, 0) for k, (name, n) in enumerate(lengths)]
+    rows += [(3, data.prose(900, 99), None, "s1", 0), (3, "", None, "s1", 0), (None, data.prose(700, 98), None, "s2", 0)]
+    docs = data.documents(spark, rows)
+    have = _rows(corpus_pipeline.mix(spark, docs, sf_dir))
+    assert have[3, "", None, "s1", 0] == 1
+    of = {r[0]: r[3] for r in rows if r[0] != 3}
+    target = {of[r.doc_id]: r.target for r in mix_sources(docs).collect() if r.doc_id in of}
+    for name, want in target.items():
+        units = Counter()
+        for row in rows:
+            if row[3] == name:
+                units[row[0]] += len(data.spaced(row[1]))
+        words = sum(n * len(data.spaced(row[1])) for row, n in have.items() if row[3] == name)
+        # Blocks of 64 words in 64 shards make up the taken words.
+        assert abs(words - want) <= max(units.values()) / 2 + 64
+
+
 def test_all_stages_keep_clashing_columns_and_take_empty_tables(spark, sf_dir):
     docs = data.with_clashes(data.documents(spark))
     for _, stage in corpus_pipeline.STAGES[:-1]:
