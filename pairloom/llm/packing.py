@@ -67,22 +67,24 @@ def pack_documents(
     """``(id_col, n_tokens, bucket, bound, batch, slot, padding)``, a row for every row of ``docs``.
 
     Tokens are words between blanks. Documents go to the length bucket with the smallest bound
-    that holds them; the bounds minimise the padding over the whole table. In a bucket, documents
+    that holds them, which is the longest length in it; the bounds minimise the padding over the
+    whole table among those that keep the bins of the histogram whole. In a bucket, documents
     in the order of their id fill batches of ``budget`` tokens, each padded to the bound; a document
     above the budget is a batch of its own. ``batch`` counts from 0 in each bucket, ``slot`` in each
     batch.
 
     The histogram that goes to the driver has at most ``fine`` lengths and ``fine`` more for each
-    doubling, whatever the number of documents; lengths above ``fine`` are rounded up to its edges.
+    doubling, whatever the number of documents. Lengths up to ``fine`` have a bin each, so without
+    longer ones no bounds are better; above, a bucket ends at the longest length in a bin.
     A null or empty text has no tokens and is packed like the others. A null id comes first; rows
     that repeat an id are packed one by one. Other columns are not read. An empty table gives no
     rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), spaced_words(F.col(text_col)).alias("n_tokens"))
     rows = stage(rows.withColumn("edge", _bin(F.col("n_tokens"), fine)), "pack-lengths").df
-    histogram = rows.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("edge")
-    bounds = optimal_buckets(histogram["edge"].tolist(), histogram["n"].tolist(), buckets)
-    bucket = sum((F.col("edge") > F.lit(bound)).cast("int") for bound in bounds[:-1]) if len(bounds) > 1 else F.lit(0)
+    histogram = rows.groupBy("edge").agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n")).toPandas().sort_values("longest")
+    bounds = optimal_buckets(histogram["longest"].tolist(), histogram["n"].tolist(), buckets)
+    bucket = sum((F.col("n_tokens") > F.lit(bound)).cast("int") for bound in bounds[:-1]) if len(bounds) > 1 else F.lit(0)
     bound = F.get(F.array(*map(F.lit, bounds)), F.col("bucket")).cast("long") if bounds else F.lit(0).cast("long")
     dealt = rows.select("id", "n_tokens", bucket.cast("int").alias("bucket")).withColumn("bound", bound)
     placed = stage(with_running_sums(dealt, ["bucket", "id", "n_tokens"], []), "pack-positions").df

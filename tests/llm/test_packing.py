@@ -56,3 +56,12 @@ def test_batches(spark, buckets, budget, fine):
     if fine == 4096:
         lengths = sorted({r[1] for r in have})
         assert {r[3] for r in have} - {max(r[3] for r in have)} <= set(lengths)
+
+
+@pytest.mark.parametrize("fine", [16, 4096])
+def test_every_bound_is_the_longest_length_of_its_bucket(spark, fine):
+    longest, bounds = defaultdict(int), {}
+    for row in pack_documents(data.documents(spark), buckets=5, fine=fine).collect():
+        longest[row.bucket] = max(longest[row.bucket], row.n_tokens)
+        bounds[row.bucket] = row.bound
+    assert dict(longest) == bounds
