@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.positions import with_running_sums
 from pairloom.llm.text import spaced_words
 from pairloom.scratch import broadcast_if_small, stage
 
@@ -91,7 +90,7 @@ def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFr
     return rows.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken", "copies")
 
 
-def whole_copies(docs: DataFrame, *, seed: int = 17, **options) -> DataFrame:
+def whole_copies(docs: DataFrame, *, seed: int = 17, chunk_rows: int = 4096, **options) -> DataFrame:
     """``(id, src, no, copies)``: how often a reader of whole documents takes those of an id in a source; only those taken.
 
     Each has the share ``taken / size`` of ``mix_sources``, and the shares of a source are rounded
@@ -102,13 +101,21 @@ def whole_copies(docs: DataFrame, *, seed: int = 17, **options) -> DataFrame:
     """
     rows = _taken_blocks(docs, seed=seed, **options).filter("size > 0").groupBy("id", "src", "no")
     rows = rows.agg(F.sum("size").alias("size"), F.sum("taken").alias("taken"))
-    # Whole numbers, so that sums do not depend on the partitions.
-    rows = rows.select("id", "src", "no", (-F.col("size")).alias("shorter"), F.xxhash64(F.lit(seed + 3), "id").alias("draw"), F.expr(f"taken * {ONE}L div size").alias("part_taken"))
-    placed = with_running_sums(rows, ["src", "no", "shorter", "draw", "id"], ["part_taken"])
-    starts = stage(placed.groupBy("src", "no").agg(F.min("part_taken_before").alias("start")), "mix-starts")
-    placed = placed.join(broadcast_if_small(starts.df, starts.count(), 64), ["src", "no"])
-    before = F.col("part_taken_before") - F.col("start") + F.lit(ONE // 2)
-    placed = placed.withColumn("before", before)
+    # Whole numbers, so that sums do not depend on the partitions. Chunks of documents of one length keep each window small.
+    part_taken = F.expr(f"taken * {ONE}L div size")
+    rows = stage(rows.select("id", "src", "no", "size", part_taken.alias("part_taken")), "mix-shares").df
+    same = ["src", "no", "size"]
+    lengths = rows.groupBy(*same).agg(F.ceil(F.count(F.lit(1)) / chunk_rows).cast("long").alias("chunks"))
+    lengths = stage(lengths.filter("chunks > 1"), "mix-lengths")
+    rows = rows.join(broadcast_if_small(lengths.df, lengths.count(), 64), same, "left")
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed + 3), "id"), F.coalesce("chunks", F.lit(1).cast("long"))))
+    chunks = rows.groupBy(*same, "chunk").agg(F.sum("part_taken").alias("part"))
+    ahead = Window.partitionBy("src", "no").orderBy(F.desc("size"), "chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = stage(chunks.select(*same, "chunk", F.coalesce(F.sum("part").over(ahead), F.lit(0)).alias("ahead")), "mix-chunks")
+    inside = Window.partitionBy(*same, "chunk").orderBy(F.xxhash64(F.lit(seed + 4), "id"), "id").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("inside", F.coalesce(F.sum("part_taken").over(inside), F.lit(0)))
+    placed = placed.join(broadcast_if_small(chunks.df, chunks.count(), 64), [*same, "chunk"])
+    placed = placed.withColumn("before", F.col("ahead") + F.col("inside") + F.lit(ONE // 2))
     copies = F.expr(f"(before + part_taken) div {ONE}L - before div {ONE}L").cast("int")
     return placed.select("id", "src", "no", copies.alias("copies")).filter("copies > 0")
 

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from pairloom.llm.mixing import apportion, mix_sources
+from pairloom.llm.mixing import apportion, mix_sources, whole_copies
 from tests.llm import data
 
 
@@ -74,3 +74,14 @@ def test_large_sources_come_near(spark, table):
     again = mix_sources(docs.repartition(5)).collect()
     assert sorted(map(tuple, have)) == sorted(map(tuple, again))
     assert sorted(map(tuple, mix_sources(docs, seed=3).collect())) != sorted(map(tuple, have))
+
+
+@pytest.mark.parametrize("chunk_rows", [4096, 3])
+def test_whole_documents_come_near(spark, chunk_rows):
+    rows = [(k, data.prose(40 + 100 * (k % 3), k), None, f"s{k % 2}", 0) for k in range(200)]
+    docs = data.documents(spark, rows)
+    copies = {r.id: r.copies for r in whole_copies(docs, chunk_rows=chunk_rows).collect()}
+    taken = mix_sources(docs).collect()
+    for part in (0, 1):
+        own = [r for r in taken if r.doc_id % 2 == part]
+        assert abs(sum(copies.get(r.doc_id, 0) * r.size - r.taken for r in own)) <= 240 / 2 + 1
