@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 
 from pairloom.llm.license_scan import BASE_PHRASES, TEMPLATES
+from pairloom.llm.url_filter import LONG_SUFFIXES, RULES
 
 _LOWER = """translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
 
@@ -103,10 +104,60 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(n_links, 0)
 FROM docs JOIN components USING (doc_id) LEFT JOIN sizes USING (doc_id) LEFT JOIN degrees USING (doc_id)
 """
 
+_MOMENTS = """least(0.999, greatest(0.001, sum((x - n * m) * (x - n * m) - n * (m * (1 - m))) / sum(n * (n - 1) * (m * (1 - m)))))"""
+
+
+def _level(name: str, groups: str) -> str:
+    """A level of host reputation: its groups with prior mean m become groups with a posterior mean."""
+    return f"""
+{name}_in AS ({groups}),
+{name}_rho AS (SELECT CASE WHEN sum(n * (n - 1) * (m * (1 - m))) > 0 THEN {_MOMENTS} ELSE 0.5 END AS rho FROM {name}_in),
+{name} AS (
+  SELECT *, (1 - rho) / rho AS strength, (x + (1 - rho) / rho * m) / (n + (1 - rho) / rho) AS posterior
+  FROM {name}_in, {name}_rho)"""
+
+
+def _urls() -> str:
+    rules = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in RULES)
+    long = _quoted(LONG_SUFFIXES)
+    return f"""
+WITH parts AS (
+  SELECT page_id, row_number() OVER () AS row,
+    {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1)")} AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages),
+rules(verdict, rule_host, rule_path) AS (VALUES {rules}),
+fits AS (
+  SELECT row, verdict, rule_host || rule_path AS rule,
+    row_number() OVER (PARTITION BY row ORDER BY length(rule_host || rule_path) DESC, rule_host || rule_path, verdict) AS k
+  FROM parts, rules
+  WHERE (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)),
+ruled AS (SELECT p.*, rule, verdict AS given FROM parts p LEFT JOIN fits f ON f.row = p.row AND k = 1),
+counts AS (
+  SELECT host, string_split(host, '.') AS l, CAST(count(given) AS DOUBLE) AS n, CAST(count(*) FILTER (given = 'block') AS DOUBLE) AS x
+  FROM ruled GROUP BY 1),
+hosts AS (
+  SELECT host, n, x, CASE WHEN array_to_string(l[-2:], '.') IN ({long}) THEN array_to_string(l[-2:], '.') ELSE l[-1] END AS suffix,
+    CASE WHEN array_to_string(l[-2:], '.') IN ({long}) THEN array_to_string(l[-3:], '.') ELSE array_to_string(l[-2:], '.') END AS domain
+  FROM counts),
+everything AS (SELECT (sum(x) + 0.5) / (sum(n) + 1) AS m FROM hosts),
+{_level("suffixes", "SELECT suffix, sum(n) AS n, sum(x) AS x, any_value(m) AS m FROM hosts, everything GROUP BY 1")},
+{_level("domains", "SELECT h.suffix, domain, sum(h.n) AS n, sum(h.x) AS x, any_value(s.posterior) AS m FROM hosts h JOIN suffixes s USING (suffix) GROUP BY 1, 2")},
+{_level("judged", "SELECT host, h.n, h.x, d.posterior AS m FROM hosts h JOIN domains d USING (suffix, domain)")},
+bounds AS (
+  SELECT host, n, posterior, posterior - 1.645 * sqrt(posterior * (1 - posterior) / (n + strength + 1)) AS bound FROM judged)
+SELECT page_id, r.host, path, rule,
+  coalesce(given, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+  CAST(n AS BIGINT) AS n_labelled, round(posterior, 6) AS bad_rate, round(bound, 6) AS bound
+FROM ruled r JOIN bounds USING (host)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": _licenses(),
     "op5_warc": _WARC,
     "op6_vector_join": _NEAREST,
     "op9_exact_dedup": _EXACT,
     "op10_ngram_join": _NEAR,
+    "op13_url_filter": _urls(),
 }

@@ -15,6 +15,7 @@ from pairloom.llm.packing import pack_documents
 from pairloom.llm.secret_scan import scan_secrets
 from pairloom.llm.sharding import shard_documents
 from pairloom.llm.toxicity import fit_toxicity, score_toxicity
+from pairloom.llm.url_filter import filter_urls
 from pairloom.llm.vector_join import nearest_neighbours
 from pairloom.llm.warc import read_archives, write_archives
 
@@ -66,6 +67,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -79,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_exact_dedup,
         op10_ngram_join,
+        op13_url_filter,
     )
 }
