@@ -153,11 +153,39 @@ FROM ruled r JOIN bounds USING (host)
 """
 
 
+_RANKED = f"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS row,
+    regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM documents),
+facts AS (SELECT count(*) AS nd, sum(len(terms)) AS nl FROM docs WHERE len(terms) > 0),
+wanted AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM benchmark),
+places AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs),
+held AS (
+  SELECT row, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf FROM places
+  WHERE term IN (SELECT term FROM wanted) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM held, facts GROUP BY term, nd),
+impacts AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // nl))) AS impact
+  FROM held JOIN weights USING (term), facts),
+scores AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id, CAST(sum(impact) AS BIGINT) AS score
+  FROM wanted JOIN impacts USING (term) GROUP BY item_id, row),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op1_license_scan": _licenses(),
     "op5_warc": _WARC,
     "op6_vector_join": _NEAREST,
     "op9_exact_dedup": _EXACT,
     "op10_ngram_join": _NEAR,
+    "op12_ranked_search": _RANKED,
     "op13_url_filter": _urls(),
 }

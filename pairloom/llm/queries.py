@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pairloom.llm.exact_dedup import exact_duplicates
+from pairloom.llm.lexical_search import rank_documents
 from pairloom.llm.license_scan import scan_licenses
 from pairloom.llm.mixing import mix_sources
 from pairloom.llm.ngram_join import ngram_join
@@ -67,6 +68,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_urls(_table(spark, sf_dir, "pages"))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_exact_dedup,
         op10_ngram_join,
+        op12_ranked_search,
         op13_url_filter,
     )
 }

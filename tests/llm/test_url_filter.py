@@ -92,8 +92,6 @@ def close(have, want):
 def test_against_brute_force(spark):
     have = data.check_table(filter_urls, pages(spark, awkward()))
     close(have, brute(awkward()))
-    verdicts = {(r[1], r[3]): r[4] for r in have}
-    assert verdicts["y.net", None] == "allow"
 
 
 def test_outcomes_of_the_caller(spark):
