@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pairloom.llm.collocations import mine_collocations
 from pairloom.llm.exact_dedup import exact_duplicates
 from pairloom.llm.lexical_search import rank_documents
 from pairloom.llm.license_scan import scan_licenses
@@ -68,6 +69,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rank_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_exact_dedup,
         op10_ngram_join,
+        op11_collocations,
         op12_ranked_search,
         op13_url_filter,
     )
