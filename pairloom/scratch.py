@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 from dataclasses import dataclass
@@ -61,6 +61,16 @@ def job_scratch(spark: SparkSession) -> Iterator[None]:
         delete(spark, scratch_root(spark) + folder)
 
 
+def kept_result(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``build`` gives, written and read again; the intermediate tables that it wrote are removed."""
+    path = scratch_folder(spark, name)
+    with job_scratch(spark):
+        df = build()
+        schema = df.schema
+        df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 @dataclass(frozen=True)
 class Staged:
     """A written intermediate table."""
