@@ -116,7 +116,11 @@ class _Best:
 
 
 def _search_bucket(ids: pa.Array, norms: np.ndarray, terms: np.ndarray, impacts: np.ndarray, at: np.ndarray, queries: list[np.ndarray], size: int, best: _Best) -> None:
-    """Look for better documents of each query in one bucket of vectors, which stand by falling norm."""
+    """Look for better documents of each query in one bucket of vectors of about equal norm.
+
+    A task may read several files, so a bucket may span two of them: its bound is its own largest norm.
+    """
+    longest = norms.max()
     rows = np.repeat(np.arange(len(norms)), np.diff(at))
     order = np.argsort(terms, kind="stable")
     starts = np.searchsorted(terms[order], np.arange(size + 1))
@@ -127,8 +131,8 @@ def _search_bucket(ids: pa.Array, norms: np.ndarray, terms: np.ndarray, impacts:
         largest[there] = np.maximum.reduceat(impacts_of, starts[there])
     for query, wanted in enumerate(queries):
         need = best.need[query]
-        # Cauchy-Schwarz for the bucket: its longest vector is the first.
-        if np.sqrt(len(wanted)) * norms[0] < need:
+        # Cauchy-Schwarz for the bucket.
+        if np.sqrt(len(wanted)) * longest < need:
             continue
         wanted = wanted[largest[wanted] > 0]
         wanted = wanted[np.argsort(-largest[wanted], kind="stable")]
@@ -137,7 +141,7 @@ def _search_bucket(ids: pa.Array, norms: np.ndarray, terms: np.ndarray, impacts:
             continue
         # Coordinates beyond the focus cannot reach what is needed, by their largest impacts or by their number.
         left = np.sqrt(len(wanted) - np.arange(len(wanted) + 1))
-        bound = np.minimum(rest, left * norms[0])
+        bound = np.minimum(rest, left * longest)
         focus = int(np.argmax(bound < need))
         if not focus:
             continue
@@ -221,7 +225,7 @@ def rank_documents(
 
     A document is the vector of its impacts on the terms of the items, an item a vector of ones, and the score their
     product. Vectors are ordered by their length over the whole table and cut into buckets of
-    ``bucket`` in that order. The ``head`` longest give each item a score that its result must reach. Then a
+    ``bucket`` in that order. About ``head`` of the longest give each item a score that its result must reach. Then a
     bucket is passed over for an item when Cauchy-Schwarz on its longest vector stays below that score. Inside,
     a focus of the item's coordinates is chosen such that the others cannot reach the score, by the largest
     impact of each or by Cauchy-Schwarz; only documents with a focus coordinate are looked at, filtered by their
@@ -249,6 +253,18 @@ def rank_documents(
     return found.select(F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")
 
 
+def _longest(vectors: DataFrame, head: int) -> DataFrame:
+    """About ``head`` of the longest vectors. Any choice gives a score that ``top`` documents reach, so a quantile will do;
+    of more vectors of equal length a share by hash is taken."""
+    rows = vectors.count()
+    if rows <= head:
+        return vectors
+    cut = vectors.agg(F.percentile_approx("norm", 1.0 - head / rows, 10_000).alias("cut")).first()["cut"]
+    longest = vectors.filter(F.col("norm") >= cut)
+    share = longest.count() // head
+    return longest if share < 2 else longest.filter(F.pmod(F.xxhash64("id", "norm", "terms"), F.lit(share)) == 0)
+
+
 def _ranked_block(spark: SparkSession, texts: DataFrame, wanted: list[list[bytes]], top: int, bucket: int, head: int) -> DataFrame:
     """``(query, rank, id, score)`` for one block of queries."""
     vocabulary = sorted({term for terms in wanted for term in terms})
@@ -266,8 +282,7 @@ def _ranked_block(spark: SparkSession, texts: DataFrame, wanted: list[list[bytes
     order = [F.col("norm").desc(), F.xxhash64("id", "terms")]
     vectors = _vectors(entries, weights, documents, length)
     vectors = stage(vectors.repartitionByRange(*order).sortWithinPartitions(*order), "search-vectors").df
-    first = vectors.orderBy(*order).limit(head)
-    seen = _search(first, queries, len(vocabulary), np.zeros(len(queries), np.int64), top, bucket)
+    seen = _search(_longest(vectors, head), queries, len(vocabulary), np.zeros(len(queries), np.int64), top, bucket)
     by_score = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last())
     # At most one row for each query: a score that ``top`` documents reach.
     reached = seen.withColumn("place", F.row_number().over(by_score)).filter(F.col("place") == top)

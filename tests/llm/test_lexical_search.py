@@ -4,9 +4,14 @@ import math
 import random
 import re
 from collections import Counter
+from dataclasses import replace
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
+from pairloom.llm import lexical_search
 from pairloom.llm.lexical_search import rank_documents, terms_of
 from tests.llm import data
 
@@ -66,9 +71,31 @@ def test_pruning_keeps_every_result(spark):
     assert data.listed(have) == brute(given, asked)
 
 
-def test_terms_of_a_long_text_are_not_cut(monkeypatch):
-    from pairloom.llm import lexical_search
+def test_the_order_of_files_does_not_matter(spark, monkeypatch):
+    """Vectors of several files in one task, in any order."""
+    real = lexical_search.stage
+
+    def shuffled(df, name):
+        out = real(df, name)
+        return replace(out, df=out.df.orderBy(F.rand(1)).coalesce(1)) if name == "search-vectors" else out
+
+    monkeypatch.setattr(lexical_search, "stage", shuffled)
+    draw = random.Random(8)
+    words = [f"w{k}" for k in range(40)]
+    given = [(k, " ".join(draw.choices(words, k=draw.randrange(1, 200))), None, None, 0) for k in range(500)]
+    asked = [(k, " ".join(draw.choices(words, k=draw.randrange(1, 12)))) for k in range(25)]
+    have = rank_documents(data.documents(spark, given), spark.createDataFrame(asked, ITEMS), bucket=64, head=32)
+    assert data.listed(have) == brute(given, asked)
 
+
+def test_a_bucket_is_bounded_by_its_own_longest_vector():
+    best = lexical_search._Best(np.array([5]), 1)
+    ids, norms = pa.array([1, 2]), np.array([1.0, 9.0])
+    lexical_search._search_bucket(ids, norms, np.array([0, 0]), np.array([1, 9]), np.array([0, 1, 2]), [np.array([0])], 1, best)
+    assert best.held == [[(-9, 2)]]
+
+
+def test_terms_of_a_long_text_are_not_cut(monkeypatch):
     monkeypatch.setattr(lexical_search, "_PIECE", 7)
     text = data.prose(200, 5) + "  " + "é" * 50 + "!!"
     assert [t.decode() for piece in terms_of(text.encode()) for t in piece] == terms(text)
