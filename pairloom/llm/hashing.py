@@ -149,9 +149,12 @@ def byte_grams(texts: pa.Array, size: int) -> Iterator[tuple[int, np.ndarray, np
         if last - first > 1 or offsets[last] - offsets[first] <= PIECE:
             spaced, starts = _spaced(data, offsets, first, last)
             grams = _grams(spaced, size)
-            # A run belongs to the text of its last byte but one, so the sign behind a text is the text's own.
-            ends = np.arange(size - 2, size - 2 + len(grams))
-            yield first, grams, np.maximum(0, np.searchsorted(starts, ends, side="right") - 1)
+            # A run of two texts belongs to neither; the sign between them is the end of one and the start of the other.
+            at = np.arange(len(grams))
+            rows = np.searchsorted(starts, at + 1, side="right") - 1
+            ends = starts + np.diff(offsets[first : last + 1])
+            inside = at + size - 1 <= ends[rows]
+            yield first, grams[inside], rows[inside]
             continue
         text = np.concatenate([[0x20], data[offsets[first] : offsets[last]], [0x20]]).astype(np.uint8)
         for at in range(0, len(text) - size + 1, PIECE):
