@@ -38,10 +38,11 @@ def test_cuts_are_minimax(spark, seed, buckets):
     ends = {0} | {before + size for size, before in rows}
     assert set(cuts) <= ends and cuts[-1] == at
     assert max(b - a for a, b in zip(cuts, cuts[1:], strict=False)) == smallest(sizes, 7)
+    assert all(a < b for a, b in zip(cuts, cuts[1:], strict=False)) or len(sizes) < 7
 
 
 def test_documents(spark):
-    rows = [r for r in data.rows() if r[0] != 11]
+    rows = data.rows()
     have = data.check_table(lambda docs: shard_documents(docs, shards=5), data.documents(spark, rows))
     assert len(have) == len(rows)
     by_shard, by_text = defaultdict(list), defaultdict(set)
@@ -69,3 +70,18 @@ def test_a_hot_group_is_one_shard(spark):
     have = shard_documents(data.documents(spark, rows), shards=4).collect()
     assert len({r.shard for r in have if r.doc_id < 1000}) == 1
     assert sorted(r.slot for r in have if r.shard == 0) == list(range(300))
+
+
+@pytest.mark.parametrize("first", [0, 700, 5000])
+def test_no_shard_is_empty_beside_a_hot_group(spark, first):
+    """A third of all bytes are equal texts, first, between or last; the others share the rest evenly."""
+    rows = [(first + k, "x" * 3000, None, None, 0) for k in range(500)]
+    rows += [(k if k < first else first + 500 + k, f"{k:04d}" + "y" * 2995, None, None, 0) for k in range(1000)]
+    have = shard_documents(data.documents(spark, rows), shards=16).collect()
+    sizes = defaultdict(int)
+    for row in have:
+        sizes[row.shard] += row.size
+    hot = {row.shard for row in have if first <= row.doc_id < first + 500 and row.size == 3001}
+    rest = sorted(size for shard, size in sizes.items() if shard not in hot)
+    assert len(sizes) == 16 and len(hot) == 1 and max(sizes.values()) < 1.56e6
+    assert rest[-1] <= 1.4 * rest[0], rest
