@@ -54,9 +54,10 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     Base matches always count. Access identifiers, secrets and endpoints that are weak by
     themselves are reported only when a complementary part lies in the same scope, a run of text
     without an empty line, and within ``reach`` characters: a weak identifier or an endpoint beside
-    a secret of either strength, a weak secret beside an identifier or an endpoint. The interval
-    join is a sweep over the parts of a text by their start, which knows the end of the last
-    complementary part before and the start of the next one; no pair of parts is made.
+    a secret of either strength, a weak secret beside an identifier or an endpoint. Linked parts do not
+    overlap, so a part of a long url is no secret beside it. The interval join is a sweep over the
+    starts and ends of the parts of a scope, which knows the end of the last complementary part
+    before and the start of the next one; no pair of parts is made.
 
     Spans are ``kind:start:end`` in code points, end exclusive, by start and then kind.
     ``base_sha256`` is the digest of the base spans joined by commas, ``spans`` has all. A null or
@@ -91,7 +92,11 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     by_start = Window.partitionBy("row").orderBy("start", "kind")
     so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     scoped = placed.withColumn("scope", F.sum(one_of("break").cast("int")).over(so_far))
-    in_scope = Window.partitionBy("row", "scope").orderBy("start", "kind")
+    # Each part stands twice, at its start and at its end, ends first: then what ends before a start precedes it, what
+    # starts after an end follows it, and no part finds itself or one that it overlaps.
+    sides = F.explode(F.array(*[F.struct(F.col(side).alias("at"), F.lit(k).alias("is_start")) for k, side in enumerate(("end", "start"))]))
+    sides = scoped.select("*", sides.alias("side")).select("*", "side.at", "side.is_start").drop("side")
+    in_scope = Window.partitionBy("row", "scope").orderBy("at", "is_start")
     before = in_scope.rowsBetween(Window.unboundedPreceding, -1)
     after = in_scope.rowsBetween(1, Window.unboundedFollowing)
 
@@ -99,10 +104,14 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         there = one_of(parts[0])
         for part in parts[1:]:
             there = there | one_of(part)
-        last, following = F.max(F.when(there, F.col("end"))).over(before), F.min(F.when(there, F.col("start"))).over(after)
-        return (F.col("start") - last <= reach) | (following - F.col("end") <= reach)
-
-    linked = scoped.withColumn("by_secret", near("secret")).withColumn("by_other", near("id", "endpoint"))
+        last = F.max(F.when(there & (F.col("is_start") == 0), F.col("at"))).over(before)
+        following = F.min(F.when(there & (F.col("is_start") == 1), F.col("at"))).over(after)
+        return F.when(F.col("is_start") == 1, F.col("at") - last <= reach).otherwise(following - F.col("at") <= reach)
+
+    linked = sides.withColumn("by_secret", near("secret")).withColumn("by_other", near("id", "endpoint"))
+    # Both sides of a part lie in one scope, so this needs no shuffle.
+    part = ["row", "scope", "id", "kind", "start", "end", "good"]
+    linked = linked.groupBy(*part).agg(*[F.max(F.coalesce(name, F.lit(False))).alias(name) for name in ("by_secret", "by_other")])
     weak = [order for order, (_, _, part, base) in enumerate(_KINDS) if not base and part != "break"]
     weak_secrets = [order for order in weak if _KINDS[order][2] == "secret"]
     is_base = F.coalesce(F.col("good"), F.lit(False)) & F.col("kind").isin([o for o, k in enumerate(_KINDS) if k[3]])
