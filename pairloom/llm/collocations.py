@@ -26,6 +26,7 @@ _PIECE = 1 << 20
 # Words of one sequence before the next begins, and entries that a task holds before it sends them on.
 _SEQUENCE = 1 << 18
 _HELD = 1 << 20
+_HELD_WORDS = 1 << 18
 _SLICES = 64
 _FREE, _TAKEN = -1, -2
 _WINDOW = 512
@@ -63,20 +64,22 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """``(lang, word, f)`` over whole texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        held: dict[str, Counter] = {}
 
-        def out() -> pa.RecordBatch:
-            arrays = [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()).cast(pa.string()), pa.array(list(held.values()), pa.int64())]
-            return pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "f"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, counts in held.items():
+                arrays = [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())]
+                counts.clear()
+                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "f"])
 
         for batch in batches:
             for lang, text in _texts(batch):
+                counts = held.setdefault(lang, Counter())
                 for tokens in tokens_of(text):
-                    held.update((lang, token) for token in tokens if token[0] not in _SIGNS)
-                    if len(held) > _HELD:
-                        yield out()
-                        held.clear()
-        yield out()
+                    counts.update(token for token in tokens if token[0] not in _SIGNS)
+                    if sum(map(len, held.values())) > _HELD_WORDS:
+                        yield from out()
+        yield from out()
 
     return rows.mapInArrow(count, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
 
@@ -179,10 +182,11 @@ class DoubleArrayTrie:
         first = np.flatnonzero(np.diff(parents, prepend=-1))
         sizes = np.diff(np.append(first, len(parents)))
         places = np.empty(len(parents), np.int64)
-        cursor = self._least
+        cursor, at, size = self._least, self._least, 0
         for k in np.argsort(-sizes, kind="stable")[: int((sizes > 1).sum())]:
             own = digits[first[k] : first[k] + sizes[k]]
-            at = cursor
+            # Where one of this size did not fit, another hardly will.
+            at, size = (at if len(own) == size else cursor), len(own)
             while True:
                 self._room(at + _WINDOW + self.radix)
                 free = at + np.flatnonzero(self._check[at : at + _WINDOW] == _FREE)
@@ -304,10 +308,11 @@ def _tries(pairs: DataFrame, states: int, most: int, *columns: str) -> Iterator[
             yield DoubleArrayTrie(part["a"].to_numpy(np.int64), part["b"].to_numpy(np.int64), states, states), part
 
 
-def _counted(rows: DataFrame, candidates: DataFrame, states: int, most: int) -> DataFrame:
-    """``(a, b, f)``: how often each candidate occurs. One pass over the sequences for each trie."""
-    spark, out = rows.sparkSession, None
-    for trie, part in _tries(candidates, states, most):
+def _counted(rows: DataFrame, candidates: DataFrame, states: int, most: int) -> tuple[DataFrame, DoubleArrayTrie | None]:
+    """``(a, b, f)``: how often each candidate occurs, and the trie if there is one only. One pass over the sequences for each trie."""
+    spark, out, only = rows.sparkSession, None, None
+    for number, (trie, part) in enumerate(_tries(candidates, states, most)):
+        only = None if number else trie
         of, code = trie.pairs(part["a"].to_numpy(np.int64), part["b"].to_numpy(np.int64))
         shared = spark.sparkContext.broadcast((trie, of.astype(np.int32), code.astype(np.int32)))
 
@@ -323,16 +328,18 @@ def _counted(rows: DataFrame, candidates: DataFrame, states: int, most: int) ->
         found = rows.mapInArrow(count, "a int, b int, f long")
         out = found if out is None else out.unionByName(found)
     out = spark.createDataFrame([], "a int, b int, f long") if out is None else out
-    return out.groupBy("a", "b").agg(F.sum("f").alias("f"))
+    return out.groupBy("a", "b").agg(F.sum("f").alias("f")), only
 
 
-def _recoded(rows: DataFrame, phrases: DataFrame, states: int, most: int) -> DataFrame:
+def _recoded(rows: DataFrame, phrases: DataFrame, states: int, most: int, only: DoubleArrayTrie | None) -> DataFrame:
     """``(ids)``: sequences of the frequent phrases that begin at each position, one word longer than before."""
     spark = rows.sparkSession
     rows = rows.select("ids", F.array().cast("array<int>").alias("longer"))
-    for trie, part in _tries(phrases, states, most, "id"):
+    # The trie of all candidates serves again when it was the only one.
+    tries = _tries(phrases, states, most, "id") if only is None else [(only, phrases.select("a", "b", "id").toPandas())]
+    for trie, part in tries:
         named = np.zeros(len(trie.check), np.int32)
-        named[trie.places] = part["id"]
+        named[trie.accept(part["a"].to_numpy(np.int64), part["b"].to_numpy(np.int64))] = part["id"]
         shared = spark.sparkContext.broadcast((trie, named))
 
         def fill(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -382,7 +389,7 @@ def mine_collocations(
     longest: int = 5,
     top: int = 2000,
     inside_percent: int = 100,
-    sketch_bits: int = 22,
+    sketch_bits: int = 24,
     trie_size: int = 500_000,
 ) -> DataFrame:
     """``(lang, rank, phrase, a, l, r, n, score)``: the ``top`` collocations of each language.
@@ -425,12 +432,14 @@ def mine_collocations(
         if sequences is None:
             sequences = stage(_encoded(rows, level, states, trie_size), "colloc-sequences")
         bits = min(sketch_bits, max(12, int(np.ceil(np.log2(max(1, facts["places"] / 8))))))
-        often = _often(sequences.df, bits, least)
-        candidates = stage(_candidates(sequences.df, bits, often), "colloc-candidates")
-        counted = _counted(sequences.df, candidates.df, states, trie_size).filter(F.col("f") >= least)
-        pairs = stage(_numbered(counted, ["a", "b"]), "colloc-pairs").df
+        # A task for each core: each sends its counters and candidates once, however many files it reads.
+        held = sequences.df.coalesce(spark.sparkContext.defaultParallelism)
+        often = _often(held, bits, least)
+        candidates = stage(_candidates(held, bits, often), "colloc-candidates")
+        counted, only = _counted(held, candidates.df, states, trie_size)
+        pairs = stage(_numbered(counted.filter(F.col("f") >= least), ["a", "b"]), "colloc-pairs").df
         if length < longest:
-            longer = stage(_recoded(sequences.df, pairs, states, trie_size), "colloc-sequences")
+            longer = stage(_recoded(sequences.df, pairs, states, trie_size, only), "colloc-sequences")
         first = level.select(F.col("id").alias("a"), "lang", "n", F.col("phrase").alias("start"), F.col("head").alias("heads"), F.col("f").alias("fa"))
         second = level.select(F.col("id").alias("b"), "last", F.col("tail").alias("tails"), F.col("f").alias("fb"))
         joined = _joined(_joined(pairs, first, facts["bytes"], "a"), second, facts["bytes"], "b")
