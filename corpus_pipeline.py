@@ -1,7 +1,7 @@
 """Corpus pipeline: each stage reads the documents that the one before it wrote.
 
 All stages read ``doc_id``, ``text`` and ``source``, and keep any other column as it is, whatever
-its name. A null text counts as empty; an empty text is a clean document, and of several the exact
+its name. Very long texts are taken whole. A null text counts as empty; an empty text is a clean document, and of several the exact
 dedup keeps one. A null id is an id of its own. An empty table goes through as an empty table.
 """
 
@@ -16,7 +16,7 @@ from pairloom.llm.ngram_join import ngram_join
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.text import SPACED_WORD, ascii_lower, free_name, has_repeats, whole
 from pairloom.llm.toxicity import fit_toxicity
-from pairloom.scratch import broadcast_if_small, stage
+from pairloom.scratch import broadcast_if_small, kept_result, stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -62,10 +62,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     id_, src, no, copies = (free_name(docs, name) for name in ("taken_id", "taken_source", "no_source", "copies"))
     taken = whole_copies(docs).select(F.col("id").alias(id_), F.col("src").alias(src), F.col("no").alias(no), F.col("copies").alias(copies))
-    taken = stage(taken, "pipeline-mix")
+    taken = stage(taken, "pipeline-mix").df
+    # Names of sources are strings of any length.
+    size = taken.agg(F.sum(F.octet_length(src) + 64).alias("bytes")).first()["bytes"] or 0
     source = F.col("source").cast("string")
     same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.coalesce(source, F.lit("")) == F.col(src)) & (source.isNull() == F.col(no))
-    joined = docs.join(broadcast_if_small(taken.df, taken.count(), 80), same, "left")
+    joined = docs.join(broadcast_if_small(taken, size, 1), same, "left")
     times = F.when(F.regexp_like(whole(F.col("text")), F.lit(SPACED_WORD)), F.coalesce(F.col(copies), F.lit(0))).otherwise(F.lit(1))
     return joined.withColumn(copies, times).filter(F.col(copies) > 0).withColumn(copies, F.explode(F.sequence(F.lit(1), F.col(copies)))).select(*docs.columns)
 
@@ -89,5 +91,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
-        docs = stage(function(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}").df
+        # What a stage wrote for itself goes when its documents are written.
+        docs = kept_result(spark, lambda function=function, docs=docs: function(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -21,15 +21,17 @@ def connected_components(links: DataFrame) -> DataFrame:
     pass is written, so a lost executor costs that pass only.
     """
     edges = links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    edges = stage(edges, "links").df
-    state = _state(edges)
+    held = stage(edges, "links")
+    edges, state = held.df, _state(held.df)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links").df
+        last, held = held, stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "links")
+        last.drop()
+        edges = held.df
         before, state = state, _state(edges)
         if state == before:
             break

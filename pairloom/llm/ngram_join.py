@@ -13,13 +13,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.llm.components import connected_components
-from pairloom.llm.hashing import shingles, word_hashes
-from pairloom.llm.text import has_repeats
-from pairloom.scratch import broadcast_if_small, stage
+from pairloom.llm.hashing import runs, shingles, word_hashes
+from pairloom.llm.lookup import lookup
+from pairloom.scratch import broadcast_if_small, kept_result, stage
 
 _ROW = "id long, n long, k1 long, k2 long, prefix array<long>"
 _SET = "id long, k1 long, k2 long, tokens array<long>"
 _SLICES = 64
+# Shingles of the pairs whose overlaps accumulate together.
+_PAIR_TOKENS = 1 << 20
 
 
 def _sets(ids: pa.Array, texts: pa.Array, size: int) -> Iterator[tuple[list, list[np.ndarray]]]:
@@ -113,6 +115,64 @@ def _may_link(percent: int) -> Column:
     return sizes & (after >= need)
 
 
+def _accumulated(pairs: DataFrame, percent: int, blocks: int) -> DataFrame:
+    """``(a, b)``: candidate pairs that link, of ``(a, b, ta, tb)``.
+
+    The columns are cut into ``blocks`` ranges of the shingles' hashes. The overlaps of all pairs of a batch
+    are counted one range after another and added up; a pair goes as soon as what it has and
+    the smaller rest of its two sets stay below the overlap that its sizes ask for.
+    """
+
+    def accumulate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = sum(np.diff(batch.column(name).offsets.to_numpy()).astype(np.int64) for name in ("ta", "tb"))
+            for first, last in runs(np.concatenate([[0], np.cumsum(sizes)]), _PAIR_TOKENS):
+                part = batch.slice(first, last - first)
+                a, b = (part.column(name).to_numpy() for name in ("a", "b"))
+                alive = _linked_pairs(*(_side(part.column(name)) for name in ("ta", "tb")), percent, blocks)
+                yield pa.RecordBatch.from_arrays([pa.array(a[alive]), pa.array(b[alive])], names=["a", "b"])
+
+    return pairs.select("a", "b", "ta", "tb").mapInArrow(accumulate, "a long, b long")
+
+
+def _side(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All shingles of one side in the order of their pairs, and the size of each set."""
+    offsets = lists.offsets.to_numpy()
+    return lists.values.to_numpy()[offsets[0] : offsets[-1]].view(np.uint64), np.diff(offsets).astype(np.int64)
+
+
+def _linked_pairs(left: tuple, right: tuple, percent: int, blocks: int) -> np.ndarray:
+    """Which pairs link; see :func:`_accumulated`."""
+    need = -(-percent * (left[1] + right[1]) // (100 + percent))
+    rests = [left[1].copy(), right[1].copy()]
+    alive = np.arange(len(need))
+    common = np.zeros(len(need), np.int64)
+    sides = []
+    for tokens, sizes in (left, right):
+        pair = np.repeat(np.arange(len(sizes)), sizes)
+        block = (tokens.astype(np.float64) / 2.0**64 * blocks).astype(np.int64).clip(0, blocks - 1)
+        order = np.lexsort((pair, block))
+        sides.append((pair[order], tokens[order], np.searchsorted(block[order], np.arange(blocks + 1))))
+    for k in range(blocks):
+        keep = np.zeros(len(need), bool)
+        keep[alive] = True
+        parts = []
+        for side, (pair, tokens, ends) in enumerate(sides):
+            own, held = pair[ends[k] : ends[k + 1]], tokens[ends[k] : ends[k + 1]]
+            rests[side] -= np.bincount(own, minlength=len(need))
+            parts.append((own[keep[own]], held[keep[own]]))
+        own, held = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        order = np.lexsort((held, own))
+        own, held = own[order], held[order]
+        # A set has no shingle twice, so neighbours that agree are of both sides.
+        same = (own[1:] == own[:-1]) & (held[1:] == held[:-1])
+        common += np.bincount(own[1:][same], minlength=len(need))
+        alive = alive[common[alive] + np.minimum(rests[0], rests[1])[alive] >= need[alive]]
+        if not len(alive):
+            break
+    return alive
+
+
 def _tile_links(left: list[np.ndarray], right: list[np.ndarray], percent: int, same: bool) -> np.ndarray:
     """Which rows of a tile link: the product of two incidence matrices, a run of columns at a time."""
     sizes_l, sizes_r = np.array([len(t) for t in left]), np.array([len(t) for t in right])
@@ -245,6 +305,7 @@ def ngram_join(
     sketch_bits: int = 20,
     cold: int = 128,
     block: int = 512,
+    column_blocks: int = 16,
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id, n_links)``, a row for every row of ``docs``.
 
@@ -258,8 +319,9 @@ def ngram_join(
     set of ``n``, the rarest ``n - ceil(n percent / 100) + 1`` are its prefix, and linked sets share
     one of their prefixes. Columns of the incidence matrix (prefix shingles) with up to ``cold``
     sets are multiplied by a join of the column with itself, which makes at most ``cold / 2`` pairs
-    per entry; size and place bounds discard pairs at once, and overlaps of the rest are counted
-    over their whole sets. Columns with more sets would make pairs by the square, so their sets are
+    per entry; size and place bounds discard pairs at once. Overlaps of the rest accumulate over
+    ``column_blocks`` blocks of all columns, and a pair goes when its sizes leave too little. Columns with
+    more sets would make pairs by the square, so their sets are
     gathered to clusters and multiplied block by block in numpy; a tile gives a few links that
     connect the same sets, and no pairs. Nothing is capped or left out.
 
@@ -268,6 +330,17 @@ def ngram_join(
     id are documents of their own. Other columns are not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    linked = kept_result(docs.sparkSession, lambda: _linked_rows(rows, size, percent, sketch_bits, cold, block, column_blocks), "ngram-result")
+    return linked.select(
+        F.col("id").alias(id_col),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+    )
+
+
+def _linked_rows(rows: DataFrame, size: int, percent: int, sketch_bits: int, cold: int, block: int, column_blocks: int) -> DataFrame:
+    """``(id, n, component, n_links)``; see :func:`ngram_join`."""
     counts = shingle_counts(rows.select("text"), size, sketch_bits)
     found = _prefixes(rows, counts, size, percent).withColumn("row", F.monotonically_increasing_id())
     found = stage(found, "ngram-rows").df
@@ -311,17 +384,17 @@ def ngram_join(
     texts = rows.join(broadcast_if_small(ids, wanted.count(), 32), F.col("id").eqNullSafe(F.col("wanted_id")), "left_semi")
     keys = broadcast_if_small(wanted.df.drop("id"), wanted.count(), 48)
     sets = _full_sets(texts, size).join(keys, ["k1", "k2"]).select("node", "tokens")
-    if has_repeats(found.filter("n > 0"), "id", "k1", "k2"):
-        sets = sets.groupBy("node").agg(F.first("tokens").alias("tokens"))
-    sets = stage(sets, "ngram-sets").df
+    sets = stage(sets, "ngram-sets")
+    if sets.count() > wanted.count():
+        # Texts are chosen by id, and rows that repeat one may hold the sets of several nodes, or one set twice.
+        sets = stage(sets.df.groupBy("node").agg(F.first("tokens").alias("tokens")), "ngram-sets")
+    sets = sets.df
 
     left = sets.select(F.col("node").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("node").alias("b"), F.col("tokens").alias("tb"))
-    overlap = F.size(F.array_intersect("ta", "tb"))
     # Sets of a pair meet where the second one is; while pairs are few the first needs no shuffle.
-    measured = left.join(few_pairs, "a").join(right, "b").select("a", "b", overlap.alias("common"), (F.size("ta") + F.size("tb")).alias("both"))
-    linked = measured.filter(F.lit(100) * F.col("common") >= F.lit(percent) * (F.col("both") - F.col("common")))
-    links = stage(linked.select("a", "b"), "ngram-links").df
+    met = left.join(few_pairs, "a").join(right, "b")
+    links = stage(_accumulated(met, percent, column_blocks), "ngram-links").df
     members = classes.select("node", "members")
     ends = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degrees = ends.join(members, F.col("b") == F.col("node")).select("a", F.col("members").alias("links"))
@@ -337,11 +410,9 @@ def ngram_join(
     placed = rooted.join(smallest, "root").select("node", "component")
     placed = classes.join(placed, "node", "left").join(degrees, "node", "left")
     component = F.when(F.col("component").isNull(), F.col("first")).otherwise(F.least("first", "component"))
-    placed = placed.select("k1", "k2", component.alias("component"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
-    result = found.select("id", "n", "k1", "k2").join(placed, ["k1", "k2"], "left")
-    return result.select(
-        F.col("id").alias(id_col),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-    )
+    placed = placed.select("k1", "k2", "members", component.alias("component"), (F.coalesce("links", F.lit(0)) + F.col("members") - 1).alias("n_links"))
+    # A class may hold a third of all rows, which stay where they are; rows without a set have none.
+    placed = stage(placed, "ngram-classes").df
+    have = lookup(found.filter("n > 0").select("id", "n", "k1", "k2"), placed, ["k1", "k2"], "members").select("id", "n", "component", "n_links")
+    none = found.filter("n = 0").select("id", "n", F.lit(None).cast("long").alias("component"), F.lit(0).cast("long").alias("n_links"))
+    return have.unionByName(none)

@@ -4,12 +4,13 @@ import random
 from collections import defaultdict
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import shingles, word_hashes
-from pairloom.llm.ngram_join import ngram_join
+from pairloom.llm.ngram_join import _linked_pairs, ngram_join
 from tests.llm import data
 
 
@@ -46,6 +47,28 @@ def test_against_brute_force(spark, options):
     assert have == brute(data.rows(), options.get("size", 4), options.get("percent", 85))
 
 
+def test_one_id_on_several_texts(spark):
+    """Rows (5, a), (9, b), (5, b), (7, c), all linked; and ids that stand on texts of other nodes."""
+    base = data.prose(90, 70)
+    a, b, c = base, base + " b", base + " c"
+    for texts in ([(5, a), (9, b), (5, b), (7, c)], [(5, a), (5, b), (9, b), (5, a), (7, c), (7, "else " + data.prose(40, 3)), (None, c)]):
+        rows = [(k, text, None, None, 0) for k, text in texts]
+        for options in ({}, {"cold": 1, "block": 2}):
+            assert data.listed(ngram_join(data.documents(spark, rows), **options)) == brute(rows)
+
+
+@pytest.mark.parametrize("blocks", [1, 5, 16])
+def test_blocks_accumulate(blocks):
+    draw = np.random.default_rng(blocks)
+    sets = []
+    for _ in range(2):
+        sets.append([np.unique(draw.choice(np.arange(60, dtype=np.uint64) << np.uint64(58), draw.integers(1, 40))) for _ in range(300)])
+    sides = [(np.concatenate(s), np.array([len(x) for x in s])) for s in sets]
+    for percent in (30, 60, 85):
+        want = [k for k, (x, y) in enumerate(zip(*sets, strict=True)) if 100 * len(np.intersect1d(x, y)) >= percent * len(np.union1d(x, y))]
+        assert _linked_pairs(*sides, percent, blocks).tolist() == want
+
+
 def test_a_group_of_many_near_copies(spark):
     draw = random.Random(3)
     base = data.prose(90, 77).split()
