@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -14,19 +13,19 @@ from pyspark.sql import functions as F
 
 from pairloom.llm.hashing import mix
 from pairloom.llm.positions import with_running_sums
+from pairloom.llm.text import ascii_lower
 from pairloom.scratch import BROADCAST_BYTES, stage
 
 # Signs that end a piece, and words between blanks inside of one; A to Z lower-cased.
 _TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]+|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
-_SIGNS = frozenset(b".,;:!?\x0a\x0b\x0c\x0d")
+WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 UNKNOWN_LANG = "und"
 
 _PIECE = 1 << 20
 # Words of one sequence before the next begins, and entries that a task holds before it sends them on.
 _SEQUENCE = 1 << 18
 _HELD = 1 << 20
-_HELD_WORDS = 1 << 18
 _SLICES = 64
 _FREE, _TAKEN = -1, -2
 _WINDOW = 512
@@ -61,27 +60,9 @@ def _sequences(batches: Iterator[pa.RecordBatch], name: str = "ids") -> Iterator
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
-    """``(lang, word, f)`` over whole texts."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, Counter] = {}
-
-        def out() -> Iterator[pa.RecordBatch]:
-            for lang, counts in held.items():
-                arrays = [pa.array([lang] * len(counts), pa.string()), pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())]
-                counts.clear()
-                yield pa.RecordBatch.from_arrays(arrays, names=["lang", "word", "f"])
-
-        for batch in batches:
-            for lang, text in _texts(batch):
-                counts = held.setdefault(lang, Counter())
-                for tokens in tokens_of(text):
-                    counts.update(token for token in tokens if token[0] not in _SIGNS)
-                    if sum(map(len, held.values())) > _HELD_WORDS:
-                        yield from out()
-        yield from out()
-
-    return rows.mapInArrow(count, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+    """``(lang, word, f)`` over whole texts, summed in each task before the shuffle."""
+    words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0))
+    return rows.select("lang", F.explode(words).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("f"))
 
 
 def _collapsed(ids: np.ndarray) -> np.ndarray:
@@ -415,9 +396,9 @@ def mine_collocations(
     """
     spark = docs.sparkSession
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN_LANG))
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
-    rows = docs.select(lang.alias("lang"), text.alias("text"))
+    rows = docs.select(lang.alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     words = stage(word_counts(rows), "colloc-words").df
+    rows = rows.withColumn("text", F.col("text").cast("binary"))
     # One row for each language.
     totals = stage(words.groupBy("lang").agg(F.sum("f").alias("n")), "colloc-totals")
     level = _numbered(words.filter(F.col("f") >= least).withColumnRenamed("word", "phrase"), ["lang", "phrase"])

@@ -64,7 +64,6 @@ def test_against_brute_force(spark):
 def test_many_tries_dictionaries_and_crowded_counters(spark, monkeypatch, longest, percent, top):
     """Small limits change the number of passes, not the rows."""
     monkeypatch.setattr(co, "_HELD", 50)
-    monkeypatch.setattr(co, "_HELD_WORDS", 5)
     monkeypatch.setattr(co, "_SEQUENCE", 200)
     monkeypatch.setattr(co, "_PIECE", 11)
     given = phrases(150)
