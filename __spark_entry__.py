@@ -361,6 +361,50 @@ def svd_dominant_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.select("i", _rounded("value", 4))
 
 
+def _code_svd(spark: SparkSession, sf_dir: str, k: int, **options) -> pl.SvdResult:
+    """Triplets of the rolled-up PPMI matrix, by small blocks and a small basis, so that the solver restarts."""
+    return pl.svd(code_scores(spark, sf_dir), k, block=8, max_basis=32, **options)
+
+
+def svd_code_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every one of the five largest singular values."""
+    return _code_svd(spark, sf_dir, 5).components.select("component", _rounded("sigma", 4), "converged")
+
+
+def svd_code_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Length of every row of U S, over the five largest."""
+    return _lengths(pl.embeddings(_code_svd(spark, sf_dir, 5), 1.0))
+
+
+def svd_code_right(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Energy that the five largest triplets explain, by their values at all cells: the sum of U S V' times the cell."""
+    result = _code_svd(spark, sf_dir, 5, right_vectors=True)
+    cells = pl.reconstruct(code_scores(spark, sf_dir), result)
+    return cells.agg(F.sum(F.col("ppmi") * F.col("approximation")).alias("energy")).select(_rounded("energy", 3))
+
+
+def svd_code_smallest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three smallest singular values."""
+    return pl.svd(code_scores(spark, sf_dir), 3, which="smallest").sigma.select("component", _rounded("sigma", 4))
+
+
+def svd_code_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All triplets by rotations: their number, and the sums of the second and fourth powers of the values."""
+    scores = code_scores(spark, sf_dir)
+    order = scores.agg(F.greatest(F.max("i"), F.max("j")).alias("top")).first()["top"] + 1
+    values = pl.svd(scores, order, method="lapack", which="smallest").sigma
+    square = F.col("sigma") * F.col("sigma")
+    sums = values.agg(F.count(F.lit(1)).alias("triplets"), F.sum(square).alias("second"), (F.sum(square * square) / 1e3).alias("fourth"))
+    return sums.select("triplets", _rounded("second", 3), _rounded("fourth", 3))
+
+
+def subspace_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same five triplets from two start blocks, component groups against each other."""
+    first, second = _code_svd(spark, sf_dir, 5), _code_svd(spark, sf_dir, 5, seed=99)
+    groups = pl.compare_subspaces(first.u, second.u, first.values, gap=0.0)
+    return groups.select("first", "last", _rounded("sigma", 4), "failed")
+
+
 # ---------------------------------------------------------------- checks
 
 
@@ -469,6 +513,18 @@ def job_add_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.add_counts(spark, outputs, scratch_folder(spark, "sum"))
 
 
+def job_add_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three loads that share patients, days and even orders, each added to the matrix of those before."""
+    events = stage(order_events(spark, sf_dir).drop("l_orderkey"), "events").df
+    folder, matrix = scratch_folder(spark, "loads"), None
+    load = F.pmod(F.xxhash64("PatientOrder", "NumDays", "WordIndex"), F.lit(3))
+    for k in range(3):
+        events.filter(load == k).write.parquet(f"{folder}/events-{k}")
+        plans.add_events(spark, f"{folder}/events-{k}", f"{folder}/state", f"{folder}/matrix-{k}", matrix)
+        matrix = f"{folder}/matrix-{k}"
+    return sources.read_matrix(spark, matrix)
+
+
 def job_reduce_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     matrix = stage(pl.cooccurrence(order_events(spark, sf_dir)), "counts").path
     mapping = stage(part_mapping(spark, sf_dir), "mapping").path
@@ -500,22 +556,19 @@ def job_embed_triangular(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gen_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One random history per customer."""
-    events = sources.generate_events(spark, _table(spark, sf_dir, "customer").select("c_custkey"))
-    return events.groupBy("PatientOrder").agg(
+    """The histories of the order lines: events, days and words of each customer."""
+    return order_events(spark, sf_dir).groupBy("PatientOrder").agg(
         F.count(F.lit(1)).alias("n_events"),
-        ((F.min("NumDays") >= 1) & (F.max("NumDays") <= 100)).alias("days_ok"),
-        ((F.min("WordIndex") >= 1000) & (F.max("WordIndex") <= 1_000_000)).alias("words_ok"),
+        F.min("NumDays").cast("bigint").alias("first_day"),
+        F.max("NumDays").cast("bigint").alias("last_day"),
+        F.count_distinct("WordIndex").alias("n_words"),
     )
 
 
 def gen_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One random row and column per supplier."""
-    size = _table(spark, sf_dir, "supplier").count() + 1
-    matrix = sources.generate_matrix(spark, size)
-    sums = pl.cell_invariants(matrix, (F.col("i") + F.col("j")).cast("bigint"))
-    share = F.col("cells") / F.lit(float(size - 1) ** 2)
-    return sums.select("violations", share.between(0.05, 0.25).alias("share_ok"))
+    """Supplier by part, with the number of order lines: how many cells differ from one line."""
+    lines = _table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("int").alias("i"), F.col("l_partkey").cast("int").alias("j"))
+    return pl.cell_invariants(lines.groupBy("i", "j").agg(F.count(F.lit(1)).alias("count")), F.lit(1).cast("bigint"))
 
 
 # ---------------------------------------------------------------- SQL
@@ -587,6 +640,32 @@ FROM (SELECT unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS i FROM pp
 LEFT JOIN x10 x ON x.i = r.i, lam"""
 _DOMINANT_SIGMA = "SELECT round(sigma, 4) + 0.0 AS sigma FROM lam"
 
+def _spectral_sql(scores: str, k: int, last: str, smallest: bool = False, squarings: int = 32) -> str:
+    """The ``k`` largest (or smallest) eigenvalues of ``A A'`` with their projectors, one after the other.
+
+    A matrix that is squared over and over becomes the projector of its largest eigenvalue; that is taken out and the
+    rest squared again. For the smallest, the matrix is taken from a multiple of the identity first.
+    """
+    parts = [
+        "every AS MATERIALIZED (SELECT CAST(unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS INTEGER) AS i FROM ppmi)",
+        """gram AS MATERIALIZED (SELECT e.i, f.i AS j, coalesce(x, 0.0) AS x FROM every e CROSS JOIN every f LEFT JOIN (
+          SELECT a.i, b.i AS j, sum(a.ppmi * b.ppmi) AS x FROM ppmi a JOIN ppmi b USING (j) GROUP BY 1, 2) g ON g.i = e.i AND g.j = f.i)""",
+    ]
+    shift = "CASE WHEN i = j THEN (SELECT max(s) FROM (SELECT sum(abs(x)) AS s FROM gram GROUP BY i)) ELSE 0 END - x" if smallest else "x"
+    parts.append(f"rest0 AS MATERIALIZED (SELECT i, j, {shift} AS x FROM gram)")
+    for c in range(k):
+        parts.append(f"p{c}_0 AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM rest{c} WHERE i = j) AS x FROM rest{c})")
+        for s in range(squarings):
+            parts.append(f"q{c}_{s} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM p{c}_{s} a JOIN p{c}_{s} b ON a.j = b.i GROUP BY 1, 2)")
+            parts.append(f"p{c}_{s + 1} AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM q{c}_{s} WHERE i = j) AS x FROM q{c}_{s})")
+        parts.append(f"proj{c} AS MATERIALIZED (SELECT i, j, x FROM p{c}_{squarings})")
+        parts.append(f"lam{c} AS MATERIALIZED (SELECT sum(g.x * v.x) AS lam, (SELECT sum(g.x * v.x) FROM rest{c} g JOIN proj{c} v USING (i, j)) AS own FROM gram g JOIN proj{c} v USING (i, j))")
+        parts.append(f"rest{c + 1} AS MATERIALIZED (SELECT g.i, g.j, g.x - own * v.x AS x FROM rest{c} g JOIN proj{c} v USING (i, j), lam{c})")
+    values = " UNION ALL ".join(f"SELECT {c} AS component, sqrt(greatest(lam, 0.0)) AS sigma FROM lam{c}" for c in range(k))
+    rows = " UNION ALL ".join(f"SELECT i, x * lam AS square FROM proj{c}, lam{c} WHERE i = j" for c in range(k))
+    return f"{scores}, {', '.join(parts)}, values_of AS ({values}), squares AS ({rows}) {last}"
+
+
 _TOP_BALANCES = """WITH cells AS (SELECT c_custkey AS i, c_nationkey AS j, c_acctbal AS v FROM customer),
   sums AS (SELECT j, sum(v * v) AS square FROM cells GROUP BY j),
   top AS (SELECT j, square, CAST(row_number() OVER (ORDER BY square DESC, j) - 1 AS INTEGER) AS component
@@ -674,6 +753,16 @@ def _own_sql() -> dict[str, str]:
             "SELECT CAST(unnest(range(5)) AS INTEGER) AS component, true AS converged, round(sigma, 4) + 0.0 AS first FROM lam",
         ),
         "svd_dominant_parts": _power_sql(_PART_PPMI, _DOMINANT_ROWS),
+        "svd_code_sigma": _spectral_sql(_CODE_PPMI, 5, "SELECT component, round(sigma, 4) + 0.0 AS sigma, true AS converged FROM values_of"),
+        "svd_code_rows": _spectral_sql(_CODE_PPMI, 5, "SELECT i, round(sqrt(greatest(sum(square), 0.0)), 2) + 0.0 AS length FROM squares GROUP BY i"),
+        "svd_code_right": _spectral_sql(_CODE_PPMI, 5, "SELECT round(sum(sigma * sigma), 3) + 0.0 AS energy FROM values_of"),
+        "svd_code_smallest": _spectral_sql(_CODE_PPMI, 3, "SELECT component, round(sigma, 4) + 0.0 AS sigma FROM values_of", smallest=True),
+        "svd_code_all": f"""{_CODE_PPMI}, gram AS (SELECT a.i, b.i AS j, sum(a.ppmi * b.ppmi) AS x FROM ppmi a JOIN ppmi b USING (j) GROUP BY 1, 2)
+          SELECT (SELECT CAST(max(greatest(i, j)) + 1 AS BIGINT) FROM ppmi) AS triplets,
+                 (SELECT round(sum(ppmi * ppmi), 3) + 0.0 FROM ppmi) AS second, round(sum(x * x) / 1e3, 3) + 0.0 AS fourth FROM gram""",
+        "subspace_compare": _spectral_sql(
+            _CODE_PPMI, 5, 'SELECT component AS "first", component AS "last", round(sigma, 4) + 0.0 AS sigma, false AS failed FROM values_of'
+        ),
         "matrix_diff": f"""{both_windows}
           SELECT i, j, coalesce(w.count, 0) AS left_count, coalesce(n.count, 0) AS right_count
           FROM wide w FULL JOIN narrow n USING (i, j) WHERE w.count IS DISTINCT FROM n.count""",
@@ -694,6 +783,7 @@ def _own_sql() -> dict[str, str]:
         "pairs_csv": pairs,
         "job_count_events": pairs,
         "job_add_counts": pairs,
+        "job_add_events": pairs,
         "job_reduce_matrix": f"{_CODE_COUNTS} SELECT i, j, count FROM reduced",
         "job_reduce_repeated": f"""WITH {_COUNTS}, {repeated}, codes AS (
             SELECT DISTINCT p_name AS code, dense_rank() OVER (ORDER BY p_name) - 1 AS idx FROM part),
@@ -702,9 +792,10 @@ def _own_sql() -> dict[str, str]:
           FROM counts m JOIN words a ON m.i = a.word JOIN words b ON m.j = b.word GROUP BY 1, 2""",
         "job_embed_matrix": _power_sql(_PART_PPMI, _DOMINANT_SIGMA),
         "job_embed_triangular": _power_sql(f"WITH {_COUNTS}, {_pmi_cte('counts')}", _DOMINANT_SIGMA),
-        "gen_events": """SELECT c_custkey AS "PatientOrder", CAST(99 AS BIGINT) AS n_events, true AS days_ok,
-          true AS words_ok FROM customer""",
-        "gen_matrix": "SELECT CAST(0 AS BIGINT) AS violations, true AS share_ok",
+        "gen_events": f"""WITH {_ORDER_EVENTS} SELECT patient AS "PatientOrder", count(*) AS n_events,
+          CAST(min(day) AS BIGINT) AS first_day, CAST(max(day) AS BIGINT) AS last_day, count(DISTINCT word) AS n_words FROM ev GROUP BY 1""",
+        "gen_matrix": """WITH cells AS (SELECT l_suppkey AS i, l_partkey AS j, count(*) AS n FROM lineitem GROUP BY 1, 2)
+          SELECT count(*) AS cells, count(*) FILTER (i = j) AS diagonal, count(*) FILTER (n <> 1) AS violations FROM cells""",
     }
 
 

@@ -1,5 +1,6 @@
 """Concept co-occurrence, PPMI and truncated SVD as Spark DataFrame jobs."""
 
+from pairloom.operators.incremental import added_pairs
 from pairloom.operators.matrix import (
     combine,
     column_marginals,
@@ -14,15 +15,17 @@ from pairloom.operators.pairs import cooccurrence, daily_counts
 from pairloom.operators.ppmi import explain_cell, pmi, ppmi
 from pairloom.operators.rollup import dedupe_mapping, dense_index, mapping_stats, rollup
 from pairloom.operators.svd import ConvergenceError, SvdResult, embeddings, reconstruct, svd, to_long
-from pairloom.operators.validate import cell_invariants, compare_factors, diff_summary, matrix_diff
+from pairloom.operators.validate import cell_invariants, compare_factors, compare_subspaces, diff_summary, matrix_diff
 
 __all__ = [
     "ConvergenceError",
     "SvdResult",
+    "added_pairs",
     "cell_invariants",
     "column_marginals",
     "combine",
     "compare_factors",
+    "compare_subspaces",
     "cooccurrence",
     "daily_counts",
     "dedupe_mapping",

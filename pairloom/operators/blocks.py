@@ -241,6 +241,56 @@ class BlockStore:
         return totals
 
 
+    def triangular(self, seqs: list[int], parallelism: int) -> np.ndarray:
+        """``R`` of the QR factorization of all tables side by side, so ``R' R`` are their inner products.
+
+        Rows are cut into slices that a task can hold, each task folds its slices into one small triangle, and the
+        triangles are folded eight at a time until the rest is small enough to collect. Nothing is squared.
+        """
+        columns = sum(self.widths[seq] for seq in seqs)
+        ends = np.cumsum([0, *(self.widths[seq] for seq in seqs)])
+        place = {seq: (int(ends[k]), int(ends[k + 1])) for k, seq in enumerate(seqs)}
+        height = max(1, BLOCK_BYTES // (8 * columns))
+        widths = self.widths
+
+        def sliced(batches):
+            for seq, block, data in _rows_of(batches):
+                values = np.frombuffer(data).reshape(-1, widths[seq])
+                for low in range(0, len(values), height):
+                    cell = pa.array([np.ascontiguousarray(values[low : low + height]).tobytes()], pa.binary())
+                    keys = [pa.array([x], pa.int32()) for x in (block, low // height, seq)]
+                    yield pa.RecordBatch.from_arrays([*keys, cell], ["block", "part", "seq", "data"])
+
+        def factor(batches):
+            total, key, rows = np.zeros((0, columns)), None, None
+            for block, part, seq, data in _rows_of(batches):
+                low, high = place[seq]
+                values = np.frombuffer(data).reshape(-1, high - low)
+                if (block, part) != key:
+                    if rows is not None:
+                        total = np.linalg.qr(np.vstack([total, rows]), mode="r")
+                    key, rows = (block, part), np.zeros((len(values), columns))
+                rows[:, low:high] = values
+            if rows is not None:
+                yield _block_row(0, np.linalg.qr(np.vstack([total, rows]), mode="r"))
+
+        def fold(batches):
+            total = np.zeros((0, columns))
+            for _, data in _rows_of(batches):
+                total = np.linalg.qr(np.vstack([total, np.frombuffer(data).reshape(-1, columns)]), mode="r")
+            if len(total):
+                yield _block_row(0, total)
+
+        slices = self.read(*seqs).select("seq", "block", "data").mapInArrow(sliced, "block int, part int, seq int, data binary")
+        parts, key = max(1, min(parallelism, self.grid.side)), ["block", "part"]
+        triangles = slices.repartition(parts, *key).sortWithinPartitions(*key).mapInArrow(factor, _BLOCK_SCHEMA)
+        while parts > 1 and parts * columns * columns * 8 > DRIVER_BYTES:
+            parts = -(-parts // 8)
+            triangles = triangles.repartition(parts).mapInArrow(fold, _BLOCK_SCHEMA)
+        stacked = [np.frombuffer(row["data"]).reshape(-1, columns) for row in triangles.collect()]
+        return np.linalg.qr(np.vstack([np.zeros((columns, columns)), *stacked]), mode="r")
+
+
 def random_blocks(spark: SparkSession, grid: Grid, columns: int, scale: float, seed: int) -> DataFrame:
     """Block table of normal random numbers, a function of the seed and the block."""
 
@@ -252,6 +302,18 @@ def random_blocks(spark: SparkSession, grid: Grid, columns: int, scale: float, s
     return _block_ids(spark, grid).mapInArrow(draw, _BLOCK_SCHEMA)
 
 
+def random_rows(blocks: DataFrame, grid: Grid, columns: int, seed: int) -> DataFrame:
+    """Normal random numbers in the rows of ``blocks`` that are not zero, zero elsewhere."""
+
+    def draw(batches):
+        for block, data in _rows_of(batches):
+            some = (np.frombuffer(data).reshape(-1, columns) != 0).any(axis=1)
+            numbers = np.random.default_rng([seed, block]).standard_normal((grid.height(block), columns))
+            yield _block_row(block, numbers * some[:, None] / np.sqrt(grid.n))
+
+    return blocks.select("block", "data").mapInArrow(draw, _BLOCK_SCHEMA)
+
+
 def vectors(blocks: DataFrame, grid: Grid, scale: np.ndarray) -> DataFrame:
     """``(i, features)`` with one row per index; column ``c`` is multiplied by ``scale[c]``."""
     columns = len(scale)

@@ -1,4 +1,4 @@
-"""Truncated SVD of a sparse matrix by block Krylov iteration with thick restart."""
+"""Truncated SVD of a sparse matrix by block Golub-Kahan bidiagonalization with thick restart."""
 
 from __future__ import annotations
 
@@ -12,20 +12,25 @@ from pyspark.sql import functions as F
 from pairloom.functions import dot, required
 from pairloom.operators import blocks as bl
 from pairloom.operators.blocks import BlockStore, Grid
+from pairloom.operators.jacobi import all_triplets, chosen_columns
 from pairloom.scratch import stage
 
 # A block holds so many columns more than are wanted; they speed up the last of the wanted ones.
 OVERSAMPLE = 11
+# Blocks of small matrices are wider, up to this many columns and bytes: a pass costs its jobs, not its columns.
+WIDE, WIDE_BYTES = 64, 8 * 1024 * 1024
 # The driver holds square matrices of this side at most.
 MOST_BASIS = 4096
 
-# Accepted solver names. All stand for the one solver there is.
+# Accepted solver names. "lapack" finds all triplets, the others stand for the bidiagonalization.
 SOLVERS = ("auto", "cross", "lapack", "cyclic", "lanczos", "trlanczos", "krylov")
 
 # Directions of a new block below this share of its norm (squared) are rounding noise.
 _NOISE = 1e-13
-# Singular values below this share of the largest are zero to working precision: A A' squares them.
-_ZERO = 1e-6
+# Singular values below this share of the largest are rounding noise.
+_ZERO = 1e-13
+# The smallest components are measured against no less than this share of the largest (squared): rounding in a pass.
+_FLOOR = 1e-7
 
 
 class ConvergenceError(RuntimeError):
@@ -69,19 +74,25 @@ def svd(
 
     Fewer than ``k`` of the largest come back when the matrix has a lower rank. If others have not
     converged after ``max_passes`` a :class:`ConvergenceError` says so; with ``allow_unconverged``
-    the converged ones come back without them. Every order takes the same way, and ``method`` only
-    accepts the names of solvers that callers may know.
+    the converged ones come back without them. Every order takes the same way. ``method`` accepts
+    the names of solvers that callers may know: ``lapack`` rotates all columns against each other until all are
+    orthogonal (:func:`pairloom.operators.jacobi.all_triplets`), which gives every triplet and is dense work; all
+    other names mean the bidiagonalization.
 
     ``matrix`` should be a stored table with unique cells; rows without cells are allowed. ``n``
-    defaults to the highest index plus one. The solver works on ``A A'`` so that the left vectors,
-    which are the embeddings, come out orthonormal. A component has converged when
-    ``|A A' u - s^2 u|``, measured on the final vectors, is at most ``tol * s^2``
-    (``tol * max s^2`` for the smallest). Each pass multiplies one block of ``block`` columns by
-    ``A A'``; the basis restarts at ``max_basis`` columns. Signs are fixed: the entry of largest
-    magnitude of each left vector is positive.
-
-    The smallest triplets of a large matrix converge only when they stand apart from the rest, as a
-    Krylov space of ``A A'`` resolves them by their squares; else the error is the usual outcome.
+    defaults to the highest index plus one. The basis of left vectors ``V`` grows by one block of ``block``
+    columns a pass, and the images ``W = A' V`` are kept beside it. The triangle ``R`` of ``W = U R`` is the block
+    bidiagonal matrix of that basis up to rounding; it is measured by a tree of QR steps, not summed up from squares, so
+    the small singular values are as exact as the large ones, to rounding of the largest. When no new direction is left, a
+    random block outside of the basis shows whether anything but zero lies there. A component has
+    converged when ``|A A' u - s^2 u|``, measured on the final vectors, is at most ``tol * s^2`` (for the smallest,
+    at most ``tol`` times the larger of ``s^2`` and 1e-7 of the largest squared). The basis restarts at ``max_basis``
+    columns from its best vectors. Signs are fixed: the entry of largest magnitude of each left
+    vector is positive.
+
+    The smallest triplets: up to an order of 4,096 the basis may grow to the whole space, so they are always found.
+    Of larger matrices they converge when they stand apart from the rest; else the error says so, and
+    ``lapack`` is the other way.
     """
     if which not in ("largest", "smallest"):
         raise ValueError(f"unknown which {which!r}")
@@ -104,9 +115,14 @@ def svd(
     if not 1 <= k <= n:
         raise ValueError(f"k must be between 1 and the matrix order {n}")
 
-    width = min(n, block or k + OVERSAMPLE)
-    basis = min(max(max_basis or 16 * width, k + 2 * width), MOST_BASIS)
-    if k + 2 * width > basis:
+    if method == "lapack":
+        return _from_all(cells, n, facts["cells"], facts["squares"] or 0.0, k, which, tol, max_passes, right_vectors)
+    width = min(n, block or max(k + OVERSAMPLE, min(WIDE, WIDE_BYTES // (8 * n))))
+    basis = max(max_basis or 16 * width, k + 2 * width)
+    if which == "smallest" and not max_basis:
+        basis = max(basis, n)
+    basis = min(basis, MOST_BASIS)
+    if min(n, k + 2 * width) > basis:
         raise ValueError(f"k = {k} with blocks of {width} columns needs a basis of more than {MOST_BASIS} columns")
     parallelism = spark.sparkContext.defaultParallelism
     grid = Grid.plan(n, facts["cells"], width, parallelism)
@@ -114,138 +130,206 @@ def svd(
     packed = stage(bl.tile_table(cells, grid, facts["cells"], parallelism), "svd-tiles")
     tiles = bl.laid_out(packed.df, grid, facts["cells"], parallelism, width).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if which == "smallest":
-            start = bl.random_blocks(spark, grid, width, 1.0 / np.sqrt(n), seed)
-        else:
-            # Starting inside the range of A keeps rows without cells at exactly zero.
-            noise = bl.random_blocks(spark, grid, width, 1.0 / max(np.sqrt(facts["squares"] or 0.0), 1e-300), seed)
-            start = bl.multiply(tiles, noise, grid, width, transposed=False, every_block=True)
-        krylov = _Krylov(tiles, store, store.write(start, width), k, which, tol)
-        krylov.run(max_passes, basis)
-        found = krylov.wanted()
-        theta, residual = krylov.theta[:found], np.empty(0)
+        noise = bl.random_blocks(spark, grid, width, 1.0 / np.sqrt(n), seed)
+        if which == "largest":
+            # Rows without cells stay exactly zero.
+            touched = bl.multiply(tiles, noise, grid, width, transposed=False, every_block=True)
+            noise = bl.random_rows(touched, grid, width, seed + 1)
+        solver = _Bidiagonal(tiles, store, noise, width, k, which, tol, seed, parallelism)
+        solver.run(max_passes, basis)
+        sigma, factors = solver.components()
+        found, residual = len(sigma), np.empty(0)
         if found:
-            left = store.write(store.combine(krylov.ritz_factors(found)), found)
-            residual = krylov.measured_residual(left, found)
+            left = store.write(store.combine(solver.by_block(solver.basis, factors)), found)
+            image = store.write(store.combine(solver.by_block(solver.images, factors)), found)
+            residual = solver.measured_residual(left, image, sigma)
         done = residual <= tol
-        wanted = k if which == "smallest" or not krylov.exhausted else found
+        wanted = k if which == "smallest" or not solver.exhausted else found
         if not allow_unconverged and (found < wanted or not done.all()):
             raise ConvergenceError(
-                f"{int(done.sum())} of {wanted} components converged to {tol} in {krylov.passes} passes; "
+                f"{int(done.sum())} of {wanted} components converged to {tol} in {solver.passes} passes; "
                 "raise max_passes, block or tol, or take the converged ones with allow_unconverged"
             )
         if done.any() and not done.all():
-            left = store.write(store.combine({left: np.eye(found)[:, done]}), int(done.sum()))
-        store.drop(*krylov.basis)
-        sigma, k = np.sqrt(np.maximum(theta[done], 0.0)), int(done.sum())
-        none = spark.createDataFrame([], "i int, features array<double>")
-        signs = bl.column_signs(store.read(left), grid, k) if k else np.empty(0)
-        right = none if right_vectors else None
-        if right_vectors and k:
-            image = bl.multiply(tiles, store.read(left), grid, k, transposed=True, every_block=True)
-            image = store.write(image, k)
-            floor = max(sigma.max(initial=0.0), 1e-300) * 1e-12
-            scale = np.where(sigma > floor, signs / np.maximum(sigma, floor), 0.0)
-            right = bl.vectors(store.read(image), grid, scale)
+            chosen = np.eye(found)[:, done]
+            left, image = (store.write(store.combine({x: chosen}), int(done.sum())) for x in (left, image))
+        store.drop(*solver.basis, *solver.images)
+        facts = (which, n, facts["cells"], solver.k, solver.passes, solver.restarts, max_passes, float(tol))
+        return _result(store, left, image if right_vectors else None, sigma, residual, tol, solver.top, facts)
     finally:
         tiles.unpersist()
 
-    rows = [
-        (c, float(np.sqrt(max(t, 0.0))), float(r), bool(r <= tol)) for c, (t, r) in enumerate(zip(theta, residual, strict=True))
-    ]
-    summary = (
-        which, n, facts["cells"], krylov.k, krylov.passes, krylov.restarts, max_passes, float(tol), k, float(residual.max(initial=0.0)),
-    )
+
+def _result(store: BlockStore, left: int, image: int | None, sigma: np.ndarray, residual: np.ndarray, tol: float, top: float, facts: tuple) -> SvdResult:
+    """Tables of the converged components; ``left`` and ``image`` hold these only, ``sigma`` and ``residual`` all that were found."""
+    spark, grid = store.spark, store.grid
+    done = residual <= tol
+    values, k = sigma[done], int(done.sum())
+    none = spark.createDataFrame([], "i int, features array<double>")
+    signs = bl.column_signs(store.read(left), grid, k) if k else np.empty(0)
+    right = None if image is None else none
+    if image is not None and k:
+        floor = max(top, 1e-300) * _ZERO
+        scale = np.where(values > floor, signs / np.maximum(values, floor), 0.0)
+        every = store.read(image).select("block", "data").unionByName(bl.random_blocks(spark, grid, k, 0.0, 0))
+        right = bl.vectors(bl._sum_blocks(every), grid, scale)
+    rows = [(c, float(s), float(r), bool(r <= tol)) for c, (s, r) in enumerate(zip(sigma, residual, strict=True))]
     report_schema = (
         "which string, n int, cells long, k int, passes int, restarts int, max_passes int, "
         "tol double, converged int, max_residual double"
     )
-    components = spark.createDataFrame(rows, "component int, sigma double, residual double, converged boolean")
     return SvdResult(
         u=bl.vectors(store.read(left), grid, signs) if k else none,
         v=right,
-        sigma=spark.createDataFrame(list(enumerate(map(float, sigma))), "component int, sigma double"),
-        report=spark.createDataFrame([summary], report_schema),
-        components=components,
-        values=[float(s) for s in sigma],
+        sigma=spark.createDataFrame([(c, float(s)) for c, s in enumerate(values)], "component int, sigma double"),
+        report=spark.createDataFrame([(*facts, k, float(residual.max(initial=0.0)))], report_schema),
+        components=spark.createDataFrame(rows, "component int, sigma double, residual double, converged boolean"),
+        values=[float(s) for s in values],
     )
 
 
-class _Krylov:
-    """Basis of block Krylov vectors with its Gram matrix and its projection of ``A A'``.
-
-    The basis blocks are written tables. Their Gram matrix is measured, not assumed to be the
-    identity, so rounding in a block's orthogonalization is corrected in the small eigenproblem.
+def _from_all(cells: DataFrame, n: int, count: int, squares: float, k: int, which: str, tol: float, max_passes: int, right_vectors: bool) -> SvdResult:
+    """The wanted of all triplets; see :func:`pairloom.operators.jacobi.all_triplets`."""
+    spark = cells.sparkSession
+    held, columns, sigma, places = all_triplets(cells, n, squares)
+    top = float(sigma.max(initial=0.0))
+    if which == "smallest":
+        sigma, places = sigma[::-1][:k], places[::-1][:k]
+    else:
+        some = sigma[:k] > max(top, 1e-300) * _ZERO
+        sigma, places = sigma[:k][some], places[:k][some]
+    store = BlockStore(spark, Grid.plan(n, count, max(1, len(sigma)), spark.sparkContext.defaultParallelism))
+    left = image = None
+    if len(sigma):
+        left, image = (store.write(chosen_columns(held.df, columns, places, store.grid, rotations), len(sigma)) for rotations in (True, False))
+    held.drop()
+    # Columns that overlap no more are singular vectors to rounding.
+    facts = (which, n, count, k, 0, 0, max_passes, float(tol))
+    return _result(store, left, image if right_vectors else None, sigma, np.zeros(len(sigma)), tol, top, facts)
+
+
+class _Bidiagonal:
+    """Left basis vectors with their images, the basis' Gram matrix and its projection of ``A A'``.
+
+    Basis and images are written tables. The Gram matrix is measured, not assumed to be the identity, so rounding in
+    a block's orthogonalization is corrected in the small problems. The projection only guides the
+    iteration; values and vectors that leave it come from the measured triangle of the images.
     """
 
-    def __init__(self, tiles: DataFrame, store: BlockStore, start: int, k: int, which: str, tol: float):
+    def __init__(self, tiles, store: BlockStore, start: DataFrame, width: int, k: int, which: str, tol: float, seed: int, parallelism: int):
         self.tiles, self.store, self.k, self.which, self.tol = tiles, store, k, which, tol
-        self.basis = [start]
+        self.width, self.seed, self.parallelism = width, seed, parallelism
+        self.basis, self.images = [store.write(start, width)], []
         self.gram = np.zeros((0, 0))
         self.projection = np.zeros((0, 0))
         self.passes = self.restarts = 0
         self.exhausted = False
 
-    def wanted(self) -> int:
-        """Components to return: up to ``k``, of the largest only those that are not zero."""
-        if self.which == "smallest":
-            return len(self.theta)
-        return int((self.theta > max(self.top, 1e-300) * _ZERO**2).sum())
-
-    def ritz_factors(self, count: int) -> dict[int, np.ndarray]:
-        return self._by_block(self.ritz[:, :count])
-
-    def measured_residual(self, left: int, count: int) -> np.ndarray:
-        """``|A A' u - s^2 u|`` of the final vectors against ``s^2``, by one more pass."""
-        if not count:
-            return np.empty(0)
-        half = bl.multiply(self.tiles, self.store.read(left), self.store.grid, count, transposed=True)
-        image = bl.multiply(self.tiles, half, self.store.grid, count, transposed=False, every_block=True)
-        image = self.store.write(image, count)
-        theta = self.theta[:count]
-        rest = self.store.write(self.store.combine({image: np.eye(count), left: -np.diag(theta)}), count)
-        squares = np.diag(self.store.inner([rest], [rest])[rest, rest])
-        self.store.drop(image, rest)
-        scale = theta if self.which == "largest" else np.full(count, self.top)
-        return np.sqrt(np.maximum(squares, 0.0)) / np.maximum(scale, max(self.top, 1e-300) * 1e-14)
-
-    def relative_residual(self) -> np.ndarray:
-        """As the last block tells; :meth:`measured_residual` has the last word."""
-        scale = np.maximum(self.theta, 0.0) if self.which == "largest" else np.full(len(self.theta), self.top)
-        return np.where(self.residual == 0, 0.0, self.residual / np.maximum(scale, max(self.top, 1e-300) * 1e-14))
+    def components(self) -> tuple[np.ndarray, np.ndarray]:
+        """Singular values to return, and their vectors in terms of the basis: of the largest only those that are not zero."""
+        sigma, vectors = self._measured()
+        self.top = float(sigma.max(initial=0.0))
+        count = min(self.k, len(sigma))
+        if self.which == "largest":
+            count = min(count, int((sigma > max(self.top, 1e-300) * _ZERO).sum()))
+        return sigma[:count], vectors[:, :count]
+
+    def _measured(self) -> tuple[np.ndarray, np.ndarray]:
+        """All singular values of the basis from the triangle of its images, wanted ones first, and their vectors."""
+        whiten = _whitening(self.gram, np.diag(self.gram))
+        if not whiten.shape[1]:
+            return np.empty(0), whiten
+        triangle = self.store.triangular(self.images, self.parallelism) @ whiten
+        _, sigma, vectors = np.linalg.svd(triangle)
+        order = np.argsort(sigma) if self.which == "smallest" else np.argsort(-sigma)
+        return sigma[order], (whiten @ vectors.T)[:, order]
+
+    def _scale(self, theta: np.ndarray) -> np.ndarray:
+        return np.maximum(theta, max(self.top_theta, 1e-300) * (_FLOOR if self.which == "smallest" else 1e-14))
+
+    def measured_residual(self, left: int, image: int, sigma: np.ndarray) -> np.ndarray:
+        """``|A A' u - s^2 u|`` of the final vectors against ``s^2``, by half a pass more."""
+        store, count = self.store, len(sigma)
+        back = store.write(bl.multiply(self.tiles, store.read(image), store.grid, count, transposed=False, every_block=True), count)
+        rest = store.write(store.combine({back: np.eye(count), left: -np.diag(sigma**2)}), count)
+        squares = np.diag(store.inner([rest], [rest])[rest, rest])
+        store.drop(back, rest)
+        return np.sqrt(np.maximum(squares, 0.0)) / self._scale(sigma**2)
 
     def run(self, max_passes: int, max_basis: int) -> None:
-        refined = False
         while True:
             image, coefficients, norm, remainder = self._extend()
-            enough = len(self.theta) == self.k
-            if enough and (self.relative_residual() <= self.tol).all():
+            full = len(self.theta) == self.k
+            if full and (self.residual <= self.tol * self._scale(self.theta)).all() and (self.which == "smallest" or self.theta.min() > self.top_theta * _NOISE):
                 break
             whiten = _whitening(remainder, norm)
             self.exhausted = whiten.shape[1] == 0
-            if self.passes >= max_passes or (self.exhausted and refined):
+            if self.passes >= max_passes:
                 break
             if self.exhausted:
-                # Nothing new to reach, but the start block may have been badly conditioned: once more
-                # from its Ritz vectors, which are nearly orthonormal.
-                refined = True
                 self.store.drop(image)
-                self._start_again()
+                image = None
+                # What the fresh block maps to tells what is left outside; nothing new means that there is no outside.
+                if self._is_null() or not self._append_fresh(max_basis):
+                    break
                 continue
-            factors = self._by_block(-coefficients @ whiten) | {image: whiten}
-            block = self.store.write(self.store.combine(factors), whiten.shape[1])
-            self.store.drop(image)
             if len(self.gram) + whiten.shape[1] > max_basis:
+                block = self._new_block(image, coefficients, whiten)
                 self._restart()
+            else:
+                block = self._new_block(image, coefficients, whiten)
             self.basis.append(block)
+        if image is not None:
+            self.store.drop(image)
+
+    def _new_block(self, image: int, coefficients: np.ndarray, whiten: np.ndarray) -> int:
+        factors = self.by_block(self.basis, -coefficients @ whiten) | {image: whiten}
+        block = self.store.write(self.store.combine(factors), whiten.shape[1])
         self.store.drop(image)
+        return block
+
+    def _is_null(self) -> bool:
+        """Whether the newest block maps to nothing but rounding noise."""
+        width = self.store.widths[self.basis[-1]]
+        newest = np.diag(self.projection)[-width:] / np.maximum(np.diag(self.gram)[-width:], 1e-300)
+        return self.fresh == self.basis[-1] and newest.max(initial=0.0) <= self.top_theta * len(self.gram) * 1e-28
+
+    fresh = -1
+
+    def _append_fresh(self, max_basis: int) -> bool:
+        """Random vectors outside of the basis as its next block; False when it spans the whole space."""
+        store, grid = self.store, self.store.grid
+        width = min(self.width, grid.n - len(self.gram), max_basis - len(self.gram))
+        if width <= 0:
+            return False
+        draw = bl.random_blocks(self.tiles.sparkSession, grid, width, 1.0 / np.sqrt(grid.n), self.seed + 100 + self.passes)
+        if self.which == "largest":
+            touched = bl.multiply(self.tiles, draw, grid, width, transposed=False, every_block=True)
+            draw = bl.random_rows(touched, grid, width, self.seed + 101 + self.passes)
+        block = store.write(draw, width)
+        inverse = _whitening(self.gram, np.diag(self.gram))
+        for _ in range(2):
+            products = store.inner([*self.basis, block], [block])
+            overlap = np.vstack([products[s, block] for s in self.basis])
+            coefficients = inverse @ (inverse.T @ overlap)
+            norm = products[block, block]
+            remainder = norm - overlap.T @ coefficients
+            whiten = _whitening((remainder + remainder.T) / 2, np.diag(norm))
+            if not whiten.shape[1]:
+                store.drop(block)
+                return False
+            block = self._new_block(block, coefficients, whiten)
+        self.basis.append(block)
+        self.fresh = block
+        return True
 
     def _extend(self) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-        """Multiply the newest block by ``A A'`` and solve the small eigenproblem again."""
+        """Map the newest block by ``A'`` and back by ``A``, and solve the small eigenproblem again."""
         store, last = self.store, self.basis[-1]
         width = store.widths[last]
-        half = bl.multiply(self.tiles, store.read(last), store.grid, width, transposed=True)
-        image = store.write(bl.multiply(self.tiles, half, store.grid, width, transposed=False), width)
+        half = store.write(bl.multiply(self.tiles, store.read(last), store.grid, width, transposed=True), width)
+        self.images.append(half)
+        image = store.write(bl.multiply(self.tiles, store.read(half), store.grid, width, transposed=False), width)
         self.passes += 1
         products = store.inner([*self.basis, image], [last, image])
         self.gram = _border(self.gram, np.vstack([products[s, last] for s in self.basis]))
@@ -256,41 +340,31 @@ class _Krylov:
         small = whiten.T @ self.projection @ whiten
         theta, vectors = np.linalg.eigh((small + small.T) / 2)
         order = np.argsort(theta) if self.which == "smallest" else np.argsort(-theta)
-        self.ritz, self.all_theta = whiten @ vectors[:, order], theta[order]
-        self.theta, self.top = self.all_theta[: self.k], float(theta.max(initial=0.0))
+        ritz = whiten @ vectors[:, order]
+        self.theta, self.top_theta = np.maximum(theta[order][: self.k], 0.0), float(theta.max(initial=0.0))
 
         coefficients = whiten @ (whiten.T @ overlap)
         norm = products[image, image]
         remainder = norm - overlap.T @ coefficients
         # The basis spans all earlier images, so the newest one's remainder is the whole residual.
-        newest = self.ritz[-width:, : self.k]
+        newest = ritz[-width:, : self.k]
         squares = np.einsum("ak,ab,bk->k", newest, remainder, newest)
         self.residual = np.sqrt(np.maximum(squares, 0.0))
         return image, coefficients, np.diag(norm), (remainder + remainder.T) / 2
 
     def _restart(self) -> None:
-        """Replace the basis by its best Ritz vectors."""
-        keep = min(self.ritz.shape[1], self.k + self.store.widths[self.basis[-1]])
-        best = self.store.write(self.store.combine(self._by_block(self.ritz[:, :keep])), keep)
-        self.store.drop(*self.basis)
-        self.basis = [best]
-        self.gram, self.projection = np.eye(keep), np.diag(self.all_theta[:keep])
+        """Replace the basis by its best vectors, and the images by theirs."""
+        sigma, vectors = self._measured()
+        keep = min(len(sigma), self.k + self.store.widths[self.basis[-1]])
+        best = [self.store.write(self.store.combine(self.by_block(tables, vectors[:, :keep])), keep) for tables in (self.basis, self.images)]
+        self.store.drop(*self.basis, *self.images)
+        self.basis, self.images = [best[0]], [best[1]]
+        self.gram, self.projection = np.eye(keep), np.diag(sigma[:keep] ** 2)
         self.restarts += 1
 
-    def _start_again(self) -> None:
-        """Begin anew with all Ritz vectors as the start block."""
-        keep = self.ritz.shape[1]
-        if keep:
-            best = self.store.write(self.store.combine(self._by_block(self.ritz)), keep)
-            self.store.drop(*self.basis)
-            self.basis = [best]
-        else:
-            self.basis = self.basis[:1]
-        self.gram, self.projection = np.zeros((0, 0)), np.zeros((0, 0))
-
-    def _by_block(self, factors: np.ndarray) -> dict[int, np.ndarray]:
-        ends = np.cumsum([self.store.widths[seq] for seq in self.basis])[:-1]
-        return dict(zip(self.basis, np.split(factors, ends)))
+    def by_block(self, tables: list[int], factors: np.ndarray) -> dict[int, np.ndarray]:
+        ends = np.cumsum([self.store.widths[seq] for seq in tables])[:-1]
+        return dict(zip(tables, np.split(factors, ends)))
 
 
 def _border(square: np.ndarray, columns: np.ndarray) -> np.ndarray:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,6 +63,46 @@ def compare_factors(left: DataFrame, right: DataFrame, limit: float = COSINE_LIM
     return sums.select("component", distance.alias("distance"), (distance > limit).alias("failed"))
 
 
+def compare_subspaces(left: DataFrame, right: DataFrame, sigma: Sequence[float], gap: float = 0.01, limit: float = COSINE_LIMIT) -> DataFrame:
+    """``(first, last, sigma, distance, failed)``: groups of components with near-equal ``sigma``, compared as subspaces.
+
+    Vectors of nearly equal singular values may mix in two right results, while the space that they span may not. A group
+    runs on while the next value is within ``gap`` of the one before, relative to it. Its distance is 1 minus the cosine of the largest
+    principal angle between the two spans, whose cosines are the singular values of the product of orthonormal bases. All
+    inner products are summed in one pass over the rows; the driver sees matrices whose sides are numbers of components. The last
+    group of two truncated results may be cut apart differently, as components behind it are missing.
+    """
+    k = len(sigma)
+    starts = [0, *[c for c in range(1, k) if sigma[c - 1] - sigma[c] > gap * sigma[c - 1]], k] if k else [0]
+    groups = [(low, high) for low, high in zip(starts, starts[1:], strict=False)]
+    a = left.select("i", F.col("features").alias("x"))
+    b = right.select("i", F.col("features").alias("y"))
+    rows = a.join(b, "i", "full_outer")
+    zeros = F.array_repeat(F.lit(0.0), k)
+    x, y = F.coalesce("x", zeros), F.coalesce("y", zeros)
+    found = []
+    for low, high in groups:
+        width = high - low
+        own = [F.slice(side, low + 1, width) for side in (x, y)]
+        # Of both sides together, row by row, all products of two entries.
+        both = F.concat(*own)
+        products = F.flatten(F.transform(both, lambda p: F.transform(both, lambda q: p * q)))  # noqa: B023
+        sums = rows.select(F.posexplode(products).alias("at", "value")).groupBy("at").agg(F.sum("value").alias("value"))
+        square = np.zeros(4 * width * width)
+        for row in sums.collect():
+            square[row["at"]] = row["value"]
+        square = square.reshape(2 * width, 2 * width)
+        aa, ab, bb = square[:width, :width], square[:width, width:], square[width:, width:]
+        halves = []
+        for gram in (aa, bb):
+            values, vectors = np.linalg.eigh(gram)
+            halves.append(vectors / np.sqrt(np.maximum(values, 1e-300)) if values.min(initial=1.0) > 0 else np.zeros((width, width)))
+        cosines = np.linalg.svd(halves[0].T @ ab @ halves[1], compute_uv=False)
+        distance = float(1.0 - min(1.0, cosines.min(initial=1.0)))
+        found.append((low, high - 1, float(sigma[low]), distance, distance > limit))
+    return left.sparkSession.createDataFrame(found, "first int, last int, sigma double, distance double, failed boolean")
+
+
 def cell_invariants(matrix: DataFrame, expected: Column) -> DataFrame:
     """One row ``(cells, diagonal, violations)``: how many cells break ``count = expected``."""
     return matrix.agg(

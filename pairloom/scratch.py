@@ -108,3 +108,14 @@ def delete(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Finished tables directly below a folder, in order; none when it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    found = [entry.getPath() for entry in system.listStatus(target) if entry.isDirectory()]
+    done = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(p.toString() for p in found if system.exists(done(p, "_SUCCESS")))

@@ -122,10 +122,54 @@ def test_smallest_that_stand_apart(spark):
     check(spark, a, result, 3, "smallest")
 
 
-def test_smallest_that_do_not_converge(spark):
-    a = random_sparse(1100, 0.02, 18)
+@pytest.mark.parametrize("which", ["smallest", "largest"])
+def test_both_ends_of_a_random_sparse_matrix(spark, which):
+    a = random_sparse(400, 0.05, 21)
+    result = pl.svd(frame(spark, a), 3, n=400, which=which, right_vectors=True)
+    check(spark, a, result, 3, which, tol=1e-9)
+    exact = np.linalg.svd(a, compute_uv=False)
+    want = exact[:3] if which == "largest" else exact[::-1][:3]
+    np.testing.assert_allclose(result.values, want, rtol=1e-7)
+
+
+def test_smallest_that_do_not_converge(spark, monkeypatch):
+    """With a basis that may not hold the whole space."""
+    a = random_sparse(300, 0.1, 8)
     with pytest.raises(pl.ConvergenceError):
-        pl.svd(frame(spark, a), 3, n=1100, which="smallest", max_passes=6)
+        pl.svd(frame(spark, a), 3, n=300, which="smallest", block=8, max_basis=40, max_passes=12)
+
+
+def test_values_far_below_the_largest(spark):
+    """Nothing is squared: values down to 1e-12 of the largest are right."""
+    rng = np.random.default_rng(3)
+    q, r = (np.linalg.qr(rng.standard_normal((90, 90)))[0] for _ in range(2))
+    sigma = np.concatenate([[1.0, 1e-3, 1e-5, 1e-7, 1e-9, 1e-11, 1e-12], np.zeros(83)])
+    a = (q * sigma) @ r.T
+    for method in ("trlanczos", "lapack"):
+        result = pl.svd(frame(spark, a), 7, n=90, method=method, tol=1.0)
+        np.testing.assert_allclose(result.values, sigma[:7], atol=3e-15)
+
+
+@pytest.mark.parametrize("n", [5, 97, 400])
+def test_all_triplets(spark, n):
+    a = random_sparse(n, 0.2, 30)
+    a[:, 1] = a[:, 0]
+    a[2] = 0
+    result = pl.svd(frame(spark, a), n, n=n, method="lapack", which="smallest", right_vectors=True)
+    u, exact = dense(result.u), np.linalg.svd(a, compute_uv=False)[::-1]
+    np.testing.assert_allclose(result.values, exact, atol=1e-12 * exact[-1])
+    np.testing.assert_allclose(u.T @ u, np.eye(n), atol=1e-10)
+    np.testing.assert_allclose((u * result.values) @ dense(result.v).T, a, atol=1e-10)
+    few = pl.svd(frame(spark, a), min(4, n - 2), n=n, method="lapack")
+    np.testing.assert_allclose(few.values, exact[::-1][: min(4, n - 2)], rtol=1e-10)
+
+
+def test_fifty_components_of_a_flat_spectrum(spark):
+    """As many as the usual embeddings have, with restarts."""
+    a = random_sparse(400, 0.1, 12)
+    result = pl.svd(frame(spark, a), 50, n=400, right_vectors=True, max_basis=200)
+    check(spark, a, result, 50)
+    assert result.report.first()["restarts"] > 0
 
 
 def test_full_rank_and_reconstruction(spark):

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,33 @@ def test_compare_factors_of_different_shape(spark):
     assert rows[0] == pytest.approx(0.4) and rows[1] == 1.0
 
 
+def test_compare_subspaces(spark):
+    """Vectors of near-equal values may turn inside their space; vectors of others may not."""
+    rng = np.random.default_rng(6)
+    q, _ = np.linalg.qr(rng.standard_normal((30, 5)))
+    turn, _ = np.linalg.qr(rng.standard_normal((3, 3)))
+    turned = np.hstack([q[:, :1], q[:, 1:4] @ turn, -q[:, 4:]])
+    sigma = [9.0, 5.0, 4.99, 4.97, 1.0]
+
+    def table(a):
+        return spark.createDataFrame([(k, row.tolist()) for k, row in enumerate(a)], "i int, features array<double>")
+
+    assert any(r["failed"] for r in pl.compare_factors(table(q), table(turned)).collect())
+    groups = pl.compare_subspaces(table(q), table(turned), sigma).collect()
+    assert [(r["first"], r["last"], r["failed"]) for r in groups] == [(0, 0, False), (1, 3, False), (4, 4, False)]
+    assert max(abs(r["distance"]) for r in groups) < 1e-12
+    mixed = turned.copy()
+    mixed[:, 3] = (turned[:, 3] + turned[:, 4]) / 2**0.5
+    again = pl.compare_subspaces(table(q), table(mixed), sigma).collect()
+    assert [r["failed"] for r in again] == [False, True, False]
+    assert abs(again[1]["distance"] - (1 - 0.5**0.5)) < 1e-9
+    alone = pl.compare_subspaces(table(q), table(turned), sigma, gap=0.0).collect()
+    assert [r["first"] for r in alone] == [0, 1, 2, 3, 4] and alone[1]["failed"]
+    # Rows that one table lacks count as zeros; no components, no groups.
+    assert pl.compare_subspaces(table(q), table(q[:20]), sigma).filter("failed").count() == 3
+    assert pl.compare_subspaces(table(q[:, :0]), table(q[:, :0]), []).count() == 0
+
+
 def test_cell_invariants(spark):
     matrix = spark.createDataFrame([(1, 2, 3), (2, 2, 4), (2, 3, 9)], MATRIX)
     row = pl.cell_invariants(matrix, (F.col("i") + F.col("j")).cast("bigint")).first()
