@@ -23,8 +23,10 @@ WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 UNKNOWN_LANG = "und"
 
 _PIECE = 1 << 20
-# Words of one sequence before the next begins, and entries that a task holds before it sends them on.
-_SEQUENCE = 1 << 18
+# Words of one sequence before the next begins: ten thousand, which Arrow sends at once, are some 40 MB. Positions that
+# are stepped at once, and entries that a task holds before it sends them on.
+_SEQUENCE = 1 << 10
+_STEP = 1 << 18
 _HELD = 1 << 20
 _SLICES = 64
 _FREE, _TAKEN = -1, -2
@@ -59,6 +61,15 @@ def _sequences(batches: Iterator[pa.RecordBatch], name: str = "ids") -> Iterator
             yield flat[offsets[k] : offsets[k + 1]]
 
 
+def _stretches(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The sequences of a batch, which end with a zero each, as stretches that share one position with the next."""
+    lists = batch.column("ids")
+    ends = lists.offsets.to_numpy()
+    flat = lists.values.to_numpy()[ends[0] : ends[-1]]
+    for low in range(0, len(flat), _STEP):
+        yield flat[low : low + _STEP + 1]
+
+
 def word_counts(rows: DataFrame) -> DataFrame:
     """``(lang, word, f)`` over whole texts, summed in each task before the shuffle."""
     words = F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(WORD), F.lit(0))
@@ -229,9 +240,10 @@ def _often(rows: DataFrame, bits: int, least: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, most = np.zeros(1 << bits, kind), np.iinfo(kind).max
-        for ids in _sequences(batches):
-            at, n = np.unique(_hashed(*_pairs_of(ids), bits), return_counts=True)
-            counters[at] = np.minimum(counters[at] + n, most)
+        for batch in batches:
+            for ids in _stretches(batch):
+                at, n = np.unique(_hashed(*_pairs_of(ids), bits), return_counts=True)
+                counters[at] = np.minimum(counters[at] + n, most)
         parts = [counters[k * width : (k + 1) * width] for k in range(_SLICES)]
         some = [k for k, part in enumerate(parts) if part.any()]
         arrays = [pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())]
@@ -262,7 +274,7 @@ def _candidates(rows: DataFrame, bits: int, often: np.ndarray) -> DataFrame:
             keys = np.unique(np.concatenate(held)) if held else np.empty(0, np.int64)
             return pa.RecordBatch.from_arrays([pa.array((keys >> 32).astype(np.int32)), pa.array((keys & 0xFFFFFFFF).astype(np.int32))], names=["a", "b"])
 
-        for ids in _sequences(batches):
+        for ids in (part for batch in batches for part in _stretches(batch)):
             a, b = _pairs_of(ids)
             at = _hashed(a, b, bits)
             some = (shared.value[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 > 0
@@ -300,7 +312,7 @@ def _counted(rows: DataFrame, candidates: DataFrame, states: int, most: int) ->
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie, of, code = shared.value
             sums = np.zeros(len(trie.check), np.int64)
-            for ids in _sequences(batches):
+            for ids in (part for batch in batches for part in _stretches(batch)):
                 sums += np.bincount(trie.accept(ids[:-1], ids[1:]), minlength=len(sums))
             sums[-1] = 0
             some = np.flatnonzero(sums)
@@ -326,10 +338,14 @@ def _recoded(rows: DataFrame, phrases: DataFrame, states: int, most: int, only:
         def fill(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             trie, named = shared.value
             for batch in batches:
-                found = [named[trie.accept(ids[:-1], ids[1:])] for ids in _sequences([batch])]
-                before = list(_sequences([batch], "longer"))
-                both = [np.maximum(x, y) if len(y) else x for x, y in zip(found, before, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("ids"), _lists(both)], names=["ids", "longer"])
+                # As long as the sequence; nothing begins at the zero in its end.
+                found = [named[trie.accept(ids, np.append(ids[1:], 0))][:_STEP] for ids in _stretches(batch)]
+                found = np.concatenate(found) if found else np.empty(0, np.int32)
+                before, lists = batch.column("longer"), batch.column("ids")
+                if len(before.values):
+                    found = np.maximum(found, before.values.to_numpy()[before.offsets.to_numpy()[0] :][: len(found)])
+                offsets = pa.array((lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([lists, pa.ListArray.from_arrays(offsets, pa.array(found))], names=["ids", "longer"])
 
         rows = rows.mapInArrow(fill, "ids array<int>, longer array<int>")
 

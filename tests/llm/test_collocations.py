@@ -65,6 +65,7 @@ def test_many_tries_dictionaries_and_crowded_counters(spark, monkeypatch, longes
     """Small limits change the number of passes, not the rows."""
     monkeypatch.setattr(co, "_HELD", 50)
     monkeypatch.setattr(co, "_SEQUENCE", 200)
+    monkeypatch.setattr(co, "_STEP", 64)
     monkeypatch.setattr(co, "_PIECE", 11)
     given = phrases(150)
     have = mine_collocations(data.documents(spark, given), least=6, longest=longest, inside_percent=percent, top=top, sketch_bits=6 + 3, trie_size=17)
