@@ -23,9 +23,9 @@ WORD = r"[^\x20\x09.,;:!?\x0A-\x0D]+"
 UNKNOWN_LANG = "und"
 
 _PIECE = 1 << 20
-# Words of one sequence before the next begins: ten thousand, which Arrow sends at once, are some 40 MB. Positions that
-# are stepped at once, and entries that a task holds before it sends them on.
-_SEQUENCE = 1 << 10
+# Words of one sequence before the next begins: ten thousand rows, which Arrow sends at once, are some 10 MB. Positions
+# that are stepped at once, and entries that a task holds before it sends them on.
+_SEQUENCE = 1 << 8
 _STEP = 1 << 18
 _HELD = 1 << 20
 _SLICES = 64
@@ -85,18 +85,22 @@ def _collapsed(ids: np.ndarray) -> np.ndarray:
 
 
 def _gathered(parts: Iterator[np.ndarray]) -> Iterator[pa.RecordBatch]:
-    """One row for some collapsed sequences, with a zero between them."""
-    held, size = [], 0
+    """Collapsed sequences with a zero behind each, gathered to rows of some words and batches of some rows."""
+    rows, held, size, total = [], [], 0, 0
     for ids in parts:
         ids = _collapsed(ids)
         if len(ids) > 1:  # a lone phrase has no neighbour
             held += [ids, np.zeros(1, np.int32)]
             size += len(ids) + 1
         if size >= _SEQUENCE:
-            yield pa.RecordBatch.from_arrays([_lists([np.concatenate(held)])], names=["ids"])
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([_lists([np.concatenate(held)])], names=["ids"])
+            rows.append(np.concatenate(held))
+            total, held, size = total + size, [], 0
+        if total >= _STEP:
+            yield pa.RecordBatch.from_arrays([_lists(rows)], names=["ids"])
+            rows, total = [], 0
+    rows += [np.concatenate(held)] if held else []
+    if rows:
+        yield pa.RecordBatch.from_arrays([_lists(rows)], names=["ids"])
 
 
 def _encoded(rows: DataFrame, words: DataFrame, count: int, most: int) -> DataFrame:
@@ -244,10 +248,10 @@ def _often(rows: DataFrame, bits: int, least: int) -> np.ndarray:
             for ids in _stretches(batch):
                 at, n = np.unique(_hashed(*_pairs_of(ids), bits), return_counts=True)
                 counters[at] = np.minimum(counters[at] + n, most)
-        parts = [counters[k * width : (k + 1) * width] for k in range(_SLICES)]
-        some = [k for k, part in enumerate(parts) if part.any()]
-        arrays = [pa.array(some, pa.int32()), pa.array([parts[k].tobytes() for k in some], pa.binary())]
-        yield pa.RecordBatch.from_arrays(arrays, names=["slice", "data"])
+        for k in range(_SLICES):
+            part = counters[k * width : (k + 1) * width]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "data"])
 
     def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
