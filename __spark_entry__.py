@@ -416,6 +416,38 @@ def matrix_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cells.fillna(0, ["left_count", "right_count"])
 
 
+def matrix_diff_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same difference, looked for only in row ranges whose digests differ."""
+    events = stage(order_events(spark, sf_dir), "events").df
+    wide, narrow = (stage(pl.cooccurrence(events, window_days=days), "counts").df for days in (30, 29))
+    cells = pl.matrix_diff_by_range(wide, narrow, rows=64)
+    return cells.fillna(0, ["left_count", "right_count"])
+
+
+def digest_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells of each range of 100 rows, by the digests; and that a count made in another way has the same digests."""
+    events = stage(order_events(spark, sf_dir), "events").df
+    matrix = stage(pl.cooccurrence(events), "counts").df
+    again = stage(pl.cooccurrence(events, max_group_rows=16), "counts").df
+    other = pl.range_digests(again, 100).select("range", F.col("sum").alias("s"), F.col("xor").alias("x"))
+    digests = pl.range_digests(matrix, 100).join(other, "range", "left")
+    return digests.select("range", "cells", F.coalesce((F.col("sum") == F.col("s")) & (F.col("xor") == F.col("x")), F.lit(False)).alias("same"))
+
+
+def marginals_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row sums of the expanded matrix as a table that is bucketed by its rows."""
+    path = scratch_folder(spark, "bucketed")
+    name = "counts_" + path.rsplit("-", 1)[1]
+    return pl.marginals(sources.write_bucketed_matrix(pl.symmetrize(order_matrix(spark, sf_dir)), name, path, 8))
+
+
+def row_slice_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A slice of the matrix as it is stored by row ranges."""
+    path = scratch_folder(spark, "row-ranges")
+    sources.write_row_ranges(order_matrix(spark, sf_dir), path, 16)
+    return sources.read_row_slice(spark, path, 100, 200)
+
+
 def diff_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = stage(order_events(spark, sf_dir), "events").df
     return pl.diff_summary(pl.cooccurrence(events), pl.cooccurrence(events, max_group_rows=16))
@@ -701,6 +733,8 @@ def _own_sql() -> dict[str, str]:
         "symmetrize": f"WITH {_COUNTS}, {_SYM.format(source='counts')} SELECT i, j, count FROM sym",
         "marginals": f"""WITH {_COUNTS}, {_SYM.format(source='counts')}
           SELECT i, CAST(sum(count) AS BIGINT) AS marginal FROM sym GROUP BY i""",
+        "marginals_bucketed": f"""WITH {_COUNTS}, {_SYM.format(source='counts')}
+          SELECT i, CAST(sum(count) AS BIGINT) AS marginal FROM sym GROUP BY i""",
         "column_marginals": f"WITH {_COUNTS} SELECT j, CAST(sum(count) AS BIGINT) AS marginal FROM counts GROUP BY j",
         "smoothed_total": f"""WITH {_COUNTS}, {_SYM.format(source='counts')}, {_pmi_cte('sym')}
           SELECT round(t, 4) + 0.0 AS smoothed_total FROM tot""",
@@ -766,6 +800,11 @@ def _own_sql() -> dict[str, str]:
         "matrix_diff": f"""{both_windows}
           SELECT i, j, coalesce(w.count, 0) AS left_count, coalesce(n.count, 0) AS right_count
           FROM wide w FULL JOIN narrow n USING (i, j) WHERE w.count IS DISTINCT FROM n.count""",
+        "matrix_diff_ranges": f"""{both_windows}
+          SELECT i, j, coalesce(w.count, 0) AS left_count, coalesce(n.count, 0) AS right_count
+          FROM wide w FULL JOIN narrow n USING (i, j) WHERE w.count IS DISTINCT FROM n.count""",
+        "digest_summary": f"WITH {_COUNTS} SELECT CAST(i // 100 AS INTEGER) AS range, count(*) AS cells, true AS same FROM counts GROUP BY 1",
+        "row_slice_stored": f"WITH {_COUNTS} SELECT i, j, count FROM counts WHERE i >= 100 AND i < 200",
         "diff_summary": f"WITH {_COUNTS} SELECT count(*) AS cells, CAST(0 AS BIGINT) AS mismatches FROM counts",
         "factor_compare": f"{_TOP_BALANCES} SELECT component, component % 2 = 1 AS failed FROM top",
         "cosine_neighbours": """SELECT a.vec_id, round(list_cosine_distance(CAST(a.embedding AS DOUBLE[]),

@@ -15,7 +15,15 @@ from pairloom.operators.pairs import cooccurrence, daily_counts
 from pairloom.operators.ppmi import explain_cell, pmi, ppmi
 from pairloom.operators.rollup import dedupe_mapping, dense_index, mapping_stats, rollup
 from pairloom.operators.svd import ConvergenceError, SvdResult, embeddings, reconstruct, svd, to_long
-from pairloom.operators.validate import cell_invariants, compare_factors, compare_subspaces, diff_summary, matrix_diff
+from pairloom.operators.validate import (
+    cell_invariants,
+    compare_factors,
+    compare_subspaces,
+    diff_summary,
+    matrix_diff,
+    matrix_diff_by_range,
+    range_digests,
+)
 
 __all__ = [
     "ConvergenceError",
@@ -36,9 +44,11 @@ __all__ = [
     "mapping_stats",
     "marginals",
     "matrix_diff",
+    "matrix_diff_by_range",
     "matrix_order",
     "pmi",
     "ppmi",
+    "range_digests",
     "reconstruct",
     "rollup",
     "row_slice",

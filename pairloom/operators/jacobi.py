@@ -27,8 +27,8 @@ from pairloom.scratch import Staged, stage
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _SCHEMA = "slot int, off double, data binary"
-# Columns overlap no more when their cosine is below this.
-OVERLAP = 1e-13
+# Columns overlap no more when the part of each that lies along a longer one is below this share of the whole matrix.
+OVERLAP = 1e-14
 MOST_SWEEPS = 30
 # Rounds between two written tables.
 _ROUNDS = 16
@@ -95,7 +95,7 @@ def _row(slot: int, off: float, block: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([slot], pa.int32()), pa.array([off]), data], ["slot", "off", "data"])
 
 
-def _rotated(blocks: DataFrame, columns: Columns, turn: int, least: float) -> DataFrame:
+def _rotated(blocks: DataFrame, columns: Columns, turn: int, whole: float) -> DataFrame:
     """One round: each pair of blocks with its columns orthogonal, and the largest overlap that was found so far."""
     n, pair = columns.n, columns.partners(turn)
 
@@ -107,11 +107,10 @@ def _rotated(blocks: DataFrame, columns: Columns, turn: int, least: float) -> Da
             both = np.hstack([block for _, _, block in held])
             triangle = np.linalg.qr(both[:n], mode="r")
             sizes = np.linalg.norm(triangle, axis=0)
-            some = np.where(sizes > least, sizes, np.inf)
-            cosines = np.abs((triangle / some).T @ (triangle / some))
-            np.fill_diagonal(cosines, 0.0)
-            off = max(float(cosines.max(initial=0.0)), *(o for _, o, _ in held))
-            if cosines.max(initial=0.0) > OVERLAP / 8:
+            along = np.abs(triangle.T @ triangle) / np.maximum(np.maximum(sizes[:, None], sizes[None, :]) * whole, 1e-300)
+            np.fill_diagonal(along, 0.0)
+            off = max(float(along.max(initial=0.0)), *(o for _, o, _ in held))
+            if along.max(initial=0.0) > OVERLAP / 8:
                 both = both @ np.linalg.svd(triangle)[2].T
             at = 0
             for slot, _, block in held:
@@ -140,16 +139,16 @@ def _rotated(blocks: DataFrame, columns: Columns, turn: int, least: float) -> Da
 def all_triplets(cells: DataFrame, n: int, squares: float) -> tuple[Staged, Columns, np.ndarray, np.ndarray]:
     """Orthogonal columns and their rotations as ``(slot, off, data)``; all singular values, largest first, and the column of each.
 
-    ``squares`` is the sum of all squared cells. Columns shorter than rounding of the whole matrix count as zero.
+    ``squares`` is the sum of all squared cells: overlaps are measured against the whole matrix, as rounding is.
     """
     spark = cells.sparkSession
     columns = Columns(n, spark.sparkContext.defaultParallelism)
-    least = math.sqrt(squares) * n * 1e-16
+    whole = math.sqrt(squares)
     held = stage(_dense(cells, columns), "jacobi-blocks")
     for _ in range(MOST_SWEEPS):
         fresh = held.df.withColumn("off", F.lit(0.0))
         for turn in range(columns.count - 1):
-            fresh = _rotated(fresh, columns, turn, least)
+            fresh = _rotated(fresh, columns, turn, whole)
             if turn % _ROUNDS == _ROUNDS - 1 or turn == columns.count - 2:
                 before, held = held, stage(fresh, "jacobi-blocks")
                 before.drop()

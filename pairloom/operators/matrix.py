@@ -13,11 +13,12 @@ from pairloom.functions import required
 def _cells(matrix: DataFrame) -> DataFrame:
     """The cells; a null index or count fails the query.
 
-    The count stands for the whole cell, so that nothing is pruned away by operators that read one index.
+    The count stands for the whole cell, so that nothing is pruned away by operators that read one index. The
+    indexes stay plain columns, so that a table that is bucketed by one of them needs no shuffle for it.
     """
     i, j = (required(F.col(name), name) for name in ("i", "j"))
     count = F.when(i.isNotNull() & j.isNotNull(), required(F.col("count"), "count"))
-    return matrix.select(i.alias("i"), j.alias("j"), count.alias("count"))
+    return matrix.select("i", "j", count.alias("count"))
 
 
 def combine(*matrices: DataFrame) -> DataFrame:

@@ -139,6 +139,7 @@ def svd(
         solver.run(max_passes, basis)
         sigma, factors = solver.components()
         found, residual = len(sigma), np.empty(0)
+        left = image = None
         if found:
             left = store.write(store.combine(solver.by_block(solver.basis, factors)), found)
             image = store.write(store.combine(solver.by_block(solver.images, factors)), found)
@@ -155,20 +156,30 @@ def svd(
             left, image = (store.write(store.combine({x: chosen}), int(done.sum())) for x in (left, image))
         store.drop(*solver.basis, *solver.images)
         facts = (which, n, facts["cells"], solver.k, solver.passes, solver.restarts, max_passes, float(tol))
-        return _result(store, left, image if right_vectors else None, sigma, residual, tol, solver.top, facts)
+        return _result(store, left, image, right_vectors, sigma, residual, tol, solver.top, facts)
     finally:
         tiles.unpersist()
 
 
-def _result(store: BlockStore, left: int, image: int | None, sigma: np.ndarray, residual: np.ndarray, tol: float, top: float, facts: tuple) -> SvdResult:
+def _result(
+    store: BlockStore,
+    left: int | None,
+    image: int | None,
+    right_vectors: bool,
+    sigma: np.ndarray,
+    residual: np.ndarray,
+    tol: float,
+    top: float,
+    facts: tuple,
+) -> SvdResult:
     """Tables of the converged components; ``left`` and ``image`` hold these only, ``sigma`` and ``residual`` all that were found."""
     spark, grid = store.spark, store.grid
     done = residual <= tol
     values, k = sigma[done], int(done.sum())
     none = spark.createDataFrame([], "i int, features array<double>")
     signs = bl.column_signs(store.read(left), grid, k) if k else np.empty(0)
-    right = None if image is None else none
-    if image is not None and k:
+    right = none if right_vectors else None
+    if right_vectors and k:
         floor = max(top, 1e-300) * _ZERO
         scale = np.where(values > floor, signs / np.maximum(values, floor), 0.0)
         every = store.read(image).select("block", "data").unionByName(bl.random_blocks(spark, grid, k, 0.0, 0))
@@ -205,7 +216,7 @@ def _from_all(cells: DataFrame, n: int, count: int, squares: float, k: int, whic
     held.drop()
     # Columns that overlap no more are singular vectors to rounding.
     facts = (which, n, count, k, 0, 0, max_passes, float(tol))
-    return _result(store, left, image if right_vectors else None, sigma, np.zeros(len(sigma)), tol, top, facts)
+    return _result(store, left, image, right_vectors, sigma, np.zeros(len(sigma)), tol, top, facts)
 
 
 class _Bidiagonal:

@@ -185,3 +185,37 @@ def test_scratch_tables_live_in_the_checkpoint_folder(spark):
     clear_scratch(spark)
     with pytest.raises(Exception):
         staged.df.collect()
+
+
+def test_a_row_slice_opens_only_its_parts(spark, tmp_path):
+    """A word with a third of all cells is spread over several parts."""
+    cells = [(7, j, 1) for j in range(7, 407)] + [(i, i + d, i + d) for i in range(200) for d in range(4) if i != 7]
+    path = str(tmp_path / "ranges")
+    sources.write_row_ranges(spark.createDataFrame(cells, "i int, j int, count long"), path, 8)
+    for start, end in ((0, 5), (7, 8), (150, 170), (500, 900), (0, 1000)):
+        part = sources.read_row_slice(spark, path, start, end)
+        assert sorted(map(tuple, part.collect())) == sorted(c for c in cells if start <= c[0] < end)
+    everything = len(sources.read_row_slice(spark, path, 0, 1000).inputFiles())
+    assert everything >= 6
+    assert len(sources.read_row_slice(spark, path, 150, 170).inputFiles()) <= 2
+    assert 2 <= len(sources.read_row_slice(spark, path, 7, 8).inputFiles()) < everything
+    assert spark.read.parquet(path).count() == len(cells)
+    sources.write_row_ranges(spark.createDataFrame([], "i int, j int, count long"), path, 8)
+    assert sources.read_row_slice(spark, path, 0, 10).count() == 0
+
+
+def test_a_bucketed_matrix_is_not_shuffled_by_its_rows(spark, tmp_path):
+    cells = [(i, j, i + j + 1) for i in range(60) for j in range(i, 60, 3)]
+    matrix = spark.createDataFrame(cells, "i int, j int, count long")
+    table = sources.write_bucketed_matrix(matrix, "bucketed_counts", str(tmp_path / "bucketed"), 4)
+    try:
+        for df in (pl.marginals(table), pl.combine(table)):
+            assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" in pl.marginals(matrix)._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, pl.marginals(table).collect())) == sorted(map(tuple, pl.marginals(matrix).collect()))
+        assert sorted(map(tuple, pl.combine(table).collect())) == sorted(cells)
+        scores = [sorted(map(tuple, pl.pmi(side, merge_duplicates=False, on_zero_context="drop").collect())) for side in (table, matrix)]
+        assert [r[:5] for r in scores[0]] == [r[:5] for r in scores[1]]
+        np.testing.assert_allclose([r[5:] for r in scores[0]], [r[5:] for r in scores[1]], rtol=1e-12)
+    finally:
+        spark.sql("DROP TABLE bucketed_counts")

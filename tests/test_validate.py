@@ -34,6 +34,24 @@ def test_compare_factors_of_different_shape(spark):
     assert rows[0] == pytest.approx(0.4) and rows[1] == 1.0
 
 
+def test_diff_by_range(spark, monkeypatch):
+    cells = [(i, j, i * j + 1) for i in range(90) for j in range(i, 90, 7)]
+    other = [c for c in cells if c[0] != 41] + [(41, 41, 5), (88, 89, 3)]
+    a, b = (spark.createDataFrame(rows, MATRIX).repartition(3) for rows in (cells, other))
+    want = sorted(map(tuple, pl.matrix_diff(a, b).collect()), key=repr)
+    for rows in (1, 10, 4096):
+        assert sorted(map(tuple, pl.matrix_diff_by_range(a, b, rows).collect()), key=repr) == want
+    # Digests of parts add up to those of the whole.
+    whole = {r["range"]: tuple(r)[1:] for r in pl.range_digests(a, 16).collect()}
+    parts = [pl.range_digests(spark.createDataFrame(cells[k::2], MATRIX), 16) for k in range(2)]
+    summed = parts[0].unionByName(parts[1]).groupBy("range").agg(F.sum("cells"), F.sum("sum"), F.bit_xor("xor"))
+    assert {r[0]: tuple(r)[1:] for r in summed.collect()} == whole
+    # Equal matrices are never joined cell by cell.
+    monkeypatch.setattr("pairloom.operators.validate.matrix_diff", None)
+    assert pl.matrix_diff_by_range(a, a.orderBy("j"), 8).count() == 0
+    assert pl.matrix_diff_by_range(a.limit(0), a.limit(0)).count() == 0
+
+
 def test_compare_subspaces(spark):
     """Vectors of near-equal values may turn inside their space; vectors of others may not."""
     rng = np.random.default_rng(6)
