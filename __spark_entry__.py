@@ -676,7 +676,8 @@ def _spectral_sql(scores: str, k: int, last: str, smallest: bool = False, squari
     """The ``k`` largest (or smallest) eigenvalues of ``A A'`` with their projectors, one after the other.
 
     A matrix that is squared over and over becomes the projector of its largest eigenvalue; that is taken out and the
-    rest squared again. For the smallest, the matrix is taken from a multiple of the identity first.
+    rest squared again. For the smallest, the matrix is taken from a multiple of the identity first. An eigenvalue that comes
+    several times, like zero, gives the mean of its projectors, whose squares tell how many there are.
     """
     parts = [
         "every AS MATERIALIZED (SELECT CAST(unnest(range(CAST(max(greatest(i, j)) + 1 AS BIGINT))) AS INTEGER) AS i FROM ppmi)",
@@ -691,10 +692,11 @@ def _spectral_sql(scores: str, k: int, last: str, smallest: bool = False, squari
             parts.append(f"q{c}_{s} AS MATERIALIZED (SELECT a.i, b.j, sum(a.x * b.x) AS x FROM p{c}_{s} a JOIN p{c}_{s} b ON a.j = b.i GROUP BY 1, 2)")
             parts.append(f"p{c}_{s + 1} AS MATERIALIZED (SELECT i, j, x / (SELECT sum(x) FROM q{c}_{s} WHERE i = j) AS x FROM q{c}_{s})")
         parts.append(f"proj{c} AS MATERIALIZED (SELECT i, j, x FROM p{c}_{squarings})")
-        parts.append(f"lam{c} AS MATERIALIZED (SELECT sum(g.x * v.x) AS lam, (SELECT sum(g.x * v.x) FROM rest{c} g JOIN proj{c} v USING (i, j)) AS own FROM gram g JOIN proj{c} v USING (i, j))")
-        parts.append(f"rest{c + 1} AS MATERIALIZED (SELECT g.i, g.j, g.x - own * v.x AS x FROM rest{c} g JOIN proj{c} v USING (i, j), lam{c})")
-    values = " UNION ALL ".join(f"SELECT {c} AS component, sqrt(greatest(lam, 0.0)) AS sigma FROM lam{c}" for c in range(k))
-    rows = " UNION ALL ".join(f"SELECT i, x * lam AS square FROM proj{c}, lam{c} WHERE i = j" for c in range(k))
+        parts.append(f"lam{c} AS MATERIALIZED (SELECT sum(g.x * v.x) AS lam, (SELECT sum(g.x * v.x) FROM rest{c} g JOIN proj{c} v USING (i, j)) AS own, (SELECT CAST(round(1 / sum(x * x)) AS BIGINT) FROM proj{c}) AS times FROM gram g JOIN proj{c} v USING (i, j))")
+        parts.append(f"rest{c + 1} AS MATERIALIZED (SELECT g.i, g.j, g.x - own * times * v.x AS x FROM rest{c} g JOIN proj{c} v USING (i, j), lam{c})")
+    each = " UNION ALL ".join(f"SELECT {c} AS place, sqrt(greatest(lam, 0.0)) AS sigma, unnest(range(times)) FROM lam{c}" for c in range(k))
+    values = f"SELECT CAST(row_number() OVER (ORDER BY place) - 1 AS INTEGER) AS component, sigma FROM ({each}) ORDER BY place LIMIT {k}"
+    rows = " UNION ALL ".join(f"SELECT i, x * times * lam AS square FROM proj{c}, lam{c} WHERE i = j" for c in range(k))
     return f"{scores}, {', '.join(parts)}, values_of AS ({values}), squares AS ({rows}) {last}"
 
 
