@@ -21,7 +21,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pairloom.scratch import BROADCAST_BYTES, delete, scratch_folder
+from pairloom.scratch import BROADCAST_BYTES, Staged, delete, scratch_folder, stage
 
 # Limits of one row: a task holds a few rows at a time in the JVM and in Python.
 BLOCK_BYTES = 32 * 1024 * 1024
@@ -31,6 +31,8 @@ SMALL_TILE_CELLS = 32_768
 PARTITION_CELLS = 1_000_000
 DRIVER_BYTES = 64 * 1024 * 1024
 COMBINE_BYTES = 128 * 1024 * 1024
+# Rows of a dense block that one task sends to tiles.
+SEND_BYTES = 512 * 1024 * 1024
 # Terms of one slice of a product; about what a core's cache holds.
 _PRODUCT_TERMS = 200_000
 
@@ -39,6 +41,9 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _BLOCK_SCHEMA = "block int, data binary"
 _TILE_SCHEMA = "row_block int, col_block int, rows binary, cols binary, by_col binary, vals binary"
+_WANT_SCHEMA = "source int, target int, slots binary"
+_SENT_SCHEMA = "source int, target int, slots binary, data binary"
+_ROWS_SCHEMA = "block int, slots binary, data binary"
 
 
 @dataclass(frozen=True)
@@ -84,16 +89,86 @@ def _tile_parts(count: int, parallelism: int) -> int:
     return max(1, min(max(parallelism, count // PARTITION_CELLS), math.ceil(count / (SMALL_TILE_CELLS // 2))))
 
 
-def laid_out(tiles: DataFrame, grid: Grid, count: int, parallelism: int, columns: int) -> DataFrame:
+@dataclass(frozen=True)
+class Tiles:
+    """Tiles as the passes read them; for shuffled passes also which rows of the dense blocks each tile refers to.
+
+    ``wants`` and ``wanted_rows`` are by direction (transposed or not): the lists, and how long they are in all.
+    """
+
+    df: DataFrame
+    wants: dict[bool, Staged] | None = None
+    wanted_rows: dict[bool, int] | None = None
+
+    def release(self) -> None:
+        self.df.unpersist()
+        for want in (self.wants or {}).values():
+            want.drop()
+
+
+def laid_out(tiles: DataFrame, grid: Grid, count: int, parallelism: int, columns: int) -> Tiles:
     """Stored tiles as the passes want them.
 
-    Dense blocks above the broadcast limit are joined by shuffle, for which the tiles are laid out
-    once by tile, so that later passes move the dense blocks only.
+    Dense blocks above the broadcast limit are exchanged by shuffle. The tiles are laid out once by tile for that,
+    and each tile's list of the rows it refers to is written, so that later passes move these rows only.
     """
     if _fits_broadcast(grid, columns):
-        return tiles
+        return Tiles(tiles)
+    wants = {transposed: stage(_wanted(tiles, transposed), "svd-wants") for transposed in (False, True)}
+    length = F.sum(F.octet_length("slots") / 4).cast("long")
+    rows = {transposed: want.df.agg(length).first()[0] or 0 for transposed, want in wants.items()}
     tile = ["row_block", "col_block"]
-    return tiles.repartition(_tile_parts(count, parallelism), *tile).sortWithinPartitions(*tile)
+    placed = tiles.repartition(_tile_parts(count, parallelism), *tile).sortWithinPartitions(*tile)
+    return Tiles(placed, wants, rows)
+
+
+def _wanted(tiles: DataFrame, transposed: bool) -> DataFrame:
+    """``(source, target, slots)``: the rows of dense block ``source`` that the tile towards ``target`` refers to, ascending."""
+    source, target, slots = ("row_block", "col_block", "rows") if transposed else ("col_block", "row_block", "cols")
+
+    def distinct(batches):
+        key, held = None, None
+        for block, other, data in _rows_of(batches):
+            fresh = np.unique(_ints(data))
+            if (block, other) == key:
+                held = np.union1d(held, fresh)
+                continue
+            if key is not None:
+                yield _record(_WANT_SCHEMA, *key, held)
+            key, held = (block, other), fresh
+        if key is not None:
+            yield _record(_WANT_SCHEMA, *key, held)
+
+    pieces = tiles.select(F.col(source).alias("source"), F.col(target).alias("target"), F.col(slots).alias("slots"))
+    dealt = pieces.repartition("source", "target").sortWithinPartitions("source", "target")
+    return dealt.mapInArrow(distinct, _WANT_SCHEMA)
+
+
+def sent_rows(tiles: Tiles, x: DataFrame, grid: Grid, columns: int, transposed: bool) -> DataFrame:
+    """``(source, target, slots, data)``: the rows of the blocks ``x`` that each tile refers to, once a tile.
+
+    A block whose rows go to many tiles is copied to several tasks, one for each ``SEND_BYTES`` of what it sends.
+    """
+    each = tiles.wanted_rows[transposed] * columns * 8 / grid.side
+    splits = max(1, min(grid.side, math.ceil(each / SEND_BYTES)))
+    none = F.lit(None).cast("binary")
+    part = F.pmod("target", F.lit(splits))
+    asked = tiles.wants[transposed].df.select("source", part.alias("part"), "target", "slots", none.alias("data"))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(splits - 1)))
+    held = x.select(F.col("block").alias("source"), copies.alias("part"), F.lit(-1).alias("target"), none.alias("slots"), "data")
+
+    def gather(batches):
+        at, rows = None, None
+        for source, piece, target, slots, data in _rows_of(batches):
+            # A block comes before the lists of rows that are wanted of it.
+            if target < 0:
+                at, rows = (source, piece), np.frombuffer(data).reshape(-1, columns)
+            elif at == (source, piece):
+                slots = _ints(slots)
+                yield _record(_SENT_SCHEMA, source, target, slots, rows[slots])
+
+    both = held.unionByName(asked).repartition("source", "part")
+    return both.sortWithinPartitions("source", "part", "target").mapInArrow(gather, _SENT_SCHEMA)
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,40 +199,85 @@ def _tile(key: tuple[int, int], parts: list) -> pa.RecordBatch:
 
 
 def multiply(
-    tiles: DataFrame, x: DataFrame, grid: Grid, columns: int, transposed: bool, every_block: bool = False
+    tiles: Tiles, x: DataFrame, grid: Grid, columns: int, transposed: bool, every_block: bool = False
 ) -> DataFrame:
     """``A x`` or, with ``transposed``, ``A' x`` as a block table.
 
-    A block without cells has no row in it unless ``every_block`` asks for zeros.
+    A block without cells has no row in it unless ``every_block`` asks for zeros. Blocks of ``x`` that are small in all are
+    broadcast; else only the rows that tiles refer to are sent, and only the rows that they touch come back.
     """
+    if tiles.wants is not None and not _fits_broadcast(grid, columns):
+        return _multiply_sparse(tiles, x, grid, columns, transposed, every_block)
     inward, outward = ("row_block", "col_block") if transposed else ("col_block", "row_block")
-    x = x.select(F.col("block").alias(inward), "data")
-    if _fits_broadcast(grid, columns):
-        joined = tiles.join(F.broadcast(x), inward)
-    else:
-        targets = F.explode(F.sequence(F.lit(0), F.lit(grid.side - 1)))
-        joined = tiles.join(x.withColumn(outward, targets), ["row_block", "col_block"])
+    joined = tiles.df.join(F.broadcast(x.select(F.col("block").alias(inward), "data")), inward)
 
     def products(batches):
         def terms():
             for block, data, rows, cols, vals, *by_col in _rows_of(batches):
-                rows, cols, vals = _ints(rows), _ints(cols), np.frombuffer(vals)
-                if transposed:
-                    order = _ints(by_col[0])
-                    rows, cols, vals = cols[order], rows[order], vals[order]
+                rows, cols, vals = _cells(rows, cols, vals, *by_col)
                 out = np.zeros((grid.height(block), columns))
                 _add_product(out, rows, cols, vals, np.frombuffer(data).reshape(-1, columns))
                 yield block, out
 
         return _partial_sums(terms())
 
-    needed = ["data", "rows", "cols", "vals", *(["by_col"] if transposed else [])]
-    partial = joined.select(outward, *needed).mapInArrow(products, _BLOCK_SCHEMA)
+    partial = joined.select(outward, "data", *_cell_columns(transposed)).mapInArrow(products, _BLOCK_SCHEMA)
     if every_block:
-        partial = partial.unionByName(random_blocks(tiles.sparkSession, grid, columns, 0.0, 0))
+        partial = partial.unionByName(random_blocks(x.sparkSession, grid, columns, 0.0, 0))
     return _sum_blocks(partial)
 
 
+def _multiply_sparse(tiles: Tiles, x: DataFrame, grid: Grid, columns: int, transposed: bool, every_block: bool) -> DataFrame:
+    inward, outward = ("row_block", "col_block") if transposed else ("col_block", "row_block")
+    sent = sent_rows(tiles, x, grid, columns, transposed)
+    sent = sent.withColumnsRenamed({"source": inward, "target": outward})
+    joined = tiles.df.join(sent, ["row_block", "col_block"])
+
+    def products(batches):
+        def terms():
+            for block, slots, data, rows, cols, vals, *by_col in _rows_of(batches):
+                rows, cols, vals = _cells(rows, cols, vals, *by_col)
+                starts = np.flatnonzero(np.diff(rows, prepend=-1))
+                touched = rows[starts]
+                out = np.zeros((len(touched), columns))
+                places = np.repeat(np.arange(len(touched)), np.diff(starts, append=len(rows)))
+                _add_product(out, places, np.searchsorted(_ints(slots), cols), vals, np.frombuffer(data).reshape(-1, columns))
+                yield block, touched, out
+
+        return _partial_rows(terms())
+
+    def totals(batches):
+        current, total = None, None
+        for block, slots, data in _rows_of(batches):
+            if block != current:
+                if current is not None:
+                    yield _block_row(current, total)
+                current, total = block, np.zeros((grid.height(block), columns))
+            if len(slots):
+                total[_ints(slots)] += np.frombuffer(data).reshape(-1, columns)
+        if current is not None:
+            yield _block_row(current, total)
+
+    partial = joined.select(outward, "slots", "data", *_cell_columns(transposed)).mapInArrow(products, _ROWS_SCHEMA)
+    if every_block:
+        nothing = F.lit(bytearray())
+        partial = partial.unionByName(_block_ids(x.sparkSession, grid).select("block", nothing.alias("slots"), nothing.alias("data")))
+    return partial.repartition("block").sortWithinPartitions("block").mapInArrow(totals, _BLOCK_SCHEMA)
+
+
+def _cell_columns(transposed: bool) -> list[str]:
+    return ["rows", "cols", "vals", *(["by_col"] if transposed else [])]
+
+
+def _cells(rows, cols, vals, by_col=None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Cells of a tile by ascending outward index: outward and inward indexes and values."""
+    rows, cols, vals = _ints(rows), _ints(cols), np.frombuffer(vals)
+    if by_col is None:
+        return rows, cols, vals
+    order = _ints(by_col)
+    return cols[order], rows[order], vals[order]
+
+
 def _add_product(out: np.ndarray, rows: np.ndarray, cols: np.ndarray, vals: np.ndarray, x: np.ndarray) -> None:
     """``out[rows] += vals * x[cols]`` for ascending ``rows``, in slices of limited size."""
     step = max(1, _PRODUCT_TERMS // x.shape[1])
@@ -172,18 +292,21 @@ def _add_product(out: np.ndarray, rows: np.ndarray, cols: np.ndarray, vals: np.n
 class BlockStore:
     """Block tables written as ``seq=0``, ``seq=1``, ... of one scratch folder, read back in one scan."""
 
-    def __init__(self, spark: SparkSession, grid: Grid):
-        self.spark, self.grid = spark, grid
-        self.folder = scratch_folder(spark, "svd-blocks")
+    def __init__(self, spark: SparkSession, grid: Grid, folder: str | None = None):
+        """With a ``folder`` of the caller, dropped tables stay until :meth:`forget_dropped`."""
+        self.spark, self.grid, self.kept = spark, grid, folder is not None
+        self.folder = folder or scratch_folder(spark, "svd-blocks")
         self.widths: dict[int, int] = {}
-        self._next = 0
+        self.next = 0
+        self._dropped: list[int] = []
 
     def write(self, blocks: DataFrame, width: int) -> int:
         """Write a block table and return its number."""
-        seq = self._next
-        self._next += 1
-        # Rows are large: let the writer look at its buffer after each instead of every hundred.
-        writer = blocks.write.option("parquet.page.size.row.check.min", 1)
+        seq = self.next
+        self.next += 1
+        # What a stopped run left in a folder of the caller goes. Rows are large: let the writer look at its
+        # buffer after each instead of every hundred.
+        writer = blocks.write.mode("overwrite" if self.kept else "errorifexists").option("parquet.page.size.row.check.min", 1)
         writer.option("parquet.block.size.row.check.min", 1).parquet(f"{self.folder}/seq={seq}")
         self.widths[seq] = width
         return seq
@@ -194,8 +317,14 @@ class BlockStore:
         return reader.parquet(*[f"{self.folder}/seq={seq}" for seq in seqs])
 
     def drop(self, *seqs: int) -> None:
-        for seq in seqs:
+        self._dropped.extend(seqs)
+        if not self.kept:
+            self.forget_dropped()
+
+    def forget_dropped(self) -> None:
+        for seq in self._dropped:
             delete(self.spark, f"{self.folder}/seq={seq}")
+        self._dropped = []
 
     def combine(self, factors: dict[int, np.ndarray]) -> DataFrame:
         """Block table of the sum of ``table[s] @ factors[s]``."""
@@ -375,6 +504,31 @@ def _partial_sums(terms: Iterable[tuple[int, np.ndarray]]) -> Iterator[pa.Record
     yield from (_block_row(b, v) for b, v in sums.items())
 
 
+def _partial_rows(terms: Iterable[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Add up rows of the same block and slot before the shuffle, in limited memory."""
+    held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+    size = 0
+
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        if len(parts) == 1:
+            return parts[0]
+        slots, values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(slots, kind="stable")
+        starts = np.flatnonzero(np.diff(slots[order], prepend=-1))
+        return slots[order][starts], np.add.reduceat(values[order], starts, axis=0)
+
+    for block, slots, values in terms:
+        held.setdefault(block, []).append((slots, values))
+        size += values.nbytes
+        if size > COMBINE_BYTES:
+            held = {b: [merged(parts)] for b, parts in held.items()}
+            size = sum(parts[0][1].nbytes for parts in held.values())
+            if size > COMBINE_BYTES // 2:
+                yield from (_record(_ROWS_SCHEMA, b, *parts[0]) for b, parts in held.items())
+                held, size = {}, 0
+    yield from (_record(_ROWS_SCHEMA, b, *merged(parts)) for b, parts in held.items())
+
+
 def _sum_blocks(partial: DataFrame) -> DataFrame:
     """Add up partial blocks. Sorted input means one block in memory at a time."""
 
@@ -412,3 +566,13 @@ def _ints(buffer: pa.Buffer) -> np.ndarray:
 def _block_row(block: int, values: np.ndarray) -> pa.RecordBatch:
     data = pa.array([np.ascontiguousarray(values, dtype=np.float64).tobytes()], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), data], ["block", "data"])
+
+
+def _record(schema: str, *values: int | np.ndarray) -> pa.RecordBatch:
+    """One row of whole numbers and of arrays as binary."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    arrays = [
+        pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) if isinstance(v, np.ndarray) else pa.array([v], pa.int32())
+        for v in values
+    ]
+    return pa.RecordBatch.from_arrays(arrays, names)

@@ -13,7 +13,8 @@ from pairloom.functions import dot, required
 from pairloom.operators import blocks as bl
 from pairloom.operators.blocks import BlockStore, Grid
 from pairloom.operators.jacobi import all_triplets, chosen_columns
-from pairloom.scratch import stage
+from pairloom.operators.journal import Journal
+from pairloom.scratch import Staged, stage
 
 # A block holds so many columns more than are wanted; they speed up the last of the wanted ones.
 OVERSAMPLE = 11
@@ -69,6 +70,7 @@ def svd(
     right_vectors: bool = False,
     allow_unconverged: bool = False,
     seed: int = 7,
+    resume: str | None = None,
 ) -> SvdResult:
     """The ``k`` largest (or smallest) singular triplets of the square matrix ``(i, j, value)``.
 
@@ -93,11 +95,19 @@ def svd(
     The smallest triplets: up to an order of 4,096 the basis may grow to the whole space, so they are always found.
     Of larger matrices they converge when they stand apart from the rest; else the error says so, and
     ``lapack`` is the other way.
+
+    With ``resume``, a folder that every executor can reach and that outlives the application, the solver keeps its
+    state there before each pass. When the folder holds a state, the call goes on from it, so a lost driver or too few
+    passes cost one pass; ``passes`` in the report counts those of all calls. Matrix, ``k``, ``which``, ``block`` and ``seed`` must be the
+    same, or it is an error; ``max_passes``, ``tol`` and ``max_basis`` may change. The folder also holds the factors. It
+    is never removed here, and two calls may not use it at once. ``lapack`` keeps no state.
     """
     if which not in ("largest", "smallest"):
         raise ValueError(f"unknown which {which!r}")
     if method not in SOLVERS:
         raise ValueError(f"unknown method {method!r}")
+    if resume and method == "lapack":
+        raise ValueError("lapack keeps no state to resume from")
     spark = matrix.sparkSession
     index = [required(F.col(name), name).alias(name) for name in ("i", "j")]
     cells = matrix.select(*index, required(F.col(value_col), value_col).alias("value"))
@@ -125,17 +135,24 @@ def svd(
     if min(n, k + 2 * width) > basis:
         raise ValueError(f"k = {k} with blocks of {width} columns needs a basis of more than {MOST_BASIS} columns")
     parallelism = spark.sparkContext.defaultParallelism
-    grid = Grid.plan(n, facts["cells"], width, parallelism)
-    store = BlockStore(spark, grid)
-    packed = stage(bl.tile_table(cells, grid, facts["cells"], parallelism), "svd-tiles")
-    tiles = bl.laid_out(packed.df, grid, facts["cells"], parallelism, width).persist(StorageLevel.MEMORY_AND_DISK)
+    log = Journal(spark, resume) if resume else None
+    state = log.last() if log else None
+    of = np.array([n, facts["cells"], facts["squares"] or 0.0, k, width, which == "smallest", seed], dtype=float)
+    if state is not None and not np.allclose(state["of"], of, rtol=1e-9, atol=0):
+        raise ValueError(f"{resume} holds the state of another matrix or of other settings")
+    grid = Grid.plan(n, facts["cells"], width, parallelism) if state is None else Grid(n, int(state["side"]))
+    store = BlockStore(spark, grid, f"{log.folder}/blocks" if log else None)
+    packed = _packed_tiles(cells, grid, facts["cells"], parallelism, log, state)
+    tiles = bl.laid_out(packed.df, grid, facts["cells"], parallelism, max(width, k))
+    tiles.df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        noise = bl.random_blocks(spark, grid, width, 1.0 / np.sqrt(n), seed)
-        if which == "largest":
-            # Rows without cells stay exactly zero.
-            touched = bl.multiply(tiles, noise, grid, width, transposed=False, every_block=True)
-            noise = bl.random_rows(touched, grid, width, seed + 1)
-        solver = _Bidiagonal(tiles, store, noise, width, k, which, tol, seed, parallelism)
+        solver = _Bidiagonal(tiles, store, width, k, which, tol, seed, parallelism)
+        if log:
+            solver.keep_in(log, of)
+        if state is not None:
+            solver.restore(state)
+        else:
+            solver.start()
         solver.run(max_passes, basis)
         sigma, factors = solver.components()
         found, residual = len(sigma), np.empty(0)
@@ -158,7 +175,20 @@ def svd(
         facts = (which, n, facts["cells"], solver.k, solver.passes, solver.restarts, max_passes, float(tol))
         return _result(store, left, image, right_vectors, sigma, residual, tol, solver.top, facts)
     finally:
-        tiles.unpersist()
+        tiles.release()
+        if not log:
+            packed.drop()
+
+
+def _packed_tiles(cells: DataFrame, grid: Grid, count: int, parallelism: int, log: Journal | None, state: dict | None) -> Staged:
+    """Written tiles; those of a resumed computation are there already."""
+    tiles = bl.tile_table(cells, grid, count, parallelism)
+    if not log:
+        return stage(tiles, "svd-tiles")
+    path = f"{log.folder}/tiles"
+    if state is None:
+        tiles.write.mode("overwrite").parquet(path)
+    return Staged(cells.sparkSession.read.schema(tiles.schema).parquet(path), path)
 
 
 def _result(
@@ -227,14 +257,55 @@ class _Bidiagonal:
     iteration; values and vectors that leave it come from the measured triangle of the images.
     """
 
-    def __init__(self, tiles, store: BlockStore, start: DataFrame, width: int, k: int, which: str, tol: float, seed: int, parallelism: int):
+    def __init__(self, tiles: bl.Tiles, store: BlockStore, width: int, k: int, which: str, tol: float, seed: int, parallelism: int):
         self.tiles, self.store, self.k, self.which, self.tol = tiles, store, k, which, tol
         self.width, self.seed, self.parallelism = width, seed, parallelism
-        self.basis, self.images = [store.write(start, width)], []
+        self.basis, self.images = [], []
         self.gram = np.zeros((0, 0))
         self.projection = np.zeros((0, 0))
         self.passes = self.restarts = 0
         self.exhausted = False
+        self.log = None
+
+    def start(self) -> None:
+        """A random block as the whole basis."""
+        self.basis = [self.store.write(self._noise(self.seed), self.width)]
+
+    def _noise(self, seed: int, width: int | None = None) -> DataFrame:
+        grid, width = self.store.grid, width or self.width
+        noise = bl.random_blocks(self.store.spark, grid, width, 1.0 / np.sqrt(grid.n), seed)
+        if self.which == "largest":
+            # Rows without cells stay exactly zero.
+            touched = bl.multiply(self.tiles, noise, grid, width, transposed=False, every_block=True)
+            noise = bl.random_rows(touched, grid, width, seed + 1)
+        return noise
+
+    def keep_in(self, log: Journal, of: np.ndarray) -> None:
+        """Write the state before every pass; ``of`` tells what it is the state of."""
+        self.log, self.of = log, of
+
+    def _keep(self) -> None:
+        tables = [*self.basis, *self.images]
+        whole = {
+            "of": self.of,
+            "side": self.store.grid.side,
+            "basis": self.basis,
+            "images": self.images,
+            "widths": [self.store.widths[seq] for seq in tables],
+            "counts": [self.store.next, self.passes, self.restarts, self.fresh, self.exhausted],
+            "gram": self.gram,
+            "projection": self.projection,
+        }
+        self.log.write({name: np.asarray(value) for name, value in whole.items()})
+        # Tables of earlier states are read by nothing any more.
+        self.store.forget_dropped()
+
+    def restore(self, state: dict[str, np.ndarray]) -> None:
+        self.basis, self.images = ([int(seq) for seq in state[name]] for name in ("basis", "images"))
+        self.store.widths = {seq: int(w) for seq, w in zip([*self.basis, *self.images], state["widths"], strict=True)}
+        self.store.next, self.passes, self.restarts, self.fresh, exhausted = (int(x) for x in state["counts"])
+        self.exhausted = bool(exhausted)
+        self.gram, self.projection = state["gram"], state["projection"]
 
     def components(self) -> tuple[np.ndarray, np.ndarray]:
         """Singular values to return, and their vectors in terms of the basis: of the largest only those that are not zero."""
@@ -269,6 +340,8 @@ class _Bidiagonal:
 
     def run(self, max_passes: int, max_basis: int) -> None:
         while True:
+            if self.log:
+                self._keep()
             image, coefficients, norm, remainder = self._extend()
             full = len(self.theta) == self.k
             if full and (self.residual <= self.tol * self._scale(self.theta)).all() and (self.which == "smallest" or self.theta.min() > self.top_theta * _NOISE):
@@ -313,11 +386,7 @@ class _Bidiagonal:
         width = min(self.width, grid.n - len(self.gram), max_basis - len(self.gram))
         if width <= 0:
             return False
-        draw = bl.random_blocks(self.tiles.sparkSession, grid, width, 1.0 / np.sqrt(grid.n), self.seed + 100 + self.passes)
-        if self.which == "largest":
-            touched = bl.multiply(self.tiles, draw, grid, width, transposed=False, every_block=True)
-            draw = bl.random_rows(touched, grid, width, self.seed + 101 + self.passes)
-        block = store.write(draw, width)
+        block = store.write(self._noise(self.seed + 100 + self.passes, width), width)
         inverse = _whitening(self.gram, np.diag(self.gram))
         for _ in range(2):
             products = store.inner([*self.basis, block], [block])

@@ -55,6 +55,91 @@ def test_shuffled_blocks_give_the_same(spark, monkeypatch):
     check(spark, a, result, 4)
 
 
+@pytest.mark.parametrize("transposed", [False, True])
+def test_only_rows_that_tiles_refer_to_are_sent(spark, transposed, monkeypatch):
+    """What a pass moves follows the cells, not the square of the order."""
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(blocks, "SEND_BYTES", 2000)
+    n, columns, side = 3000, 3, 12
+    rng = np.random.default_rng(5)
+    i, j = rng.integers(0, n, 400), np.concatenate([rng.integers(0, n, 200), np.full(200, 7)])
+    a = np.zeros((n, n))
+    a[i, j] = rng.random(400)
+    i, j = np.nonzero(a)
+    grid = blocks.Grid(n, side)
+    cells = spark.createDataFrame([(int(x), int(y), float(a[x, y])) for x, y in zip(i, j)], "i int, j int, value double")
+    packed = blocks.tile_table(cells, grid, len(i), 4).cache()
+    tiles = blocks.laid_out(packed, grid, len(i), 4, columns)
+    store = blocks.BlockStore(spark, grid)
+    x = store.write(blocks.random_blocks(spark, grid, columns, 1.0, 3), columns)
+    dense_x = dense(blocks.vectors(store.read(x), grid, np.ones(columns)))
+
+    inward, outward = (i, j) if transposed else (j, i)
+    wanted = len({(int(r), int(c) % side) for r, c in zip(inward, outward)})
+    sent = blocks.sent_rows(tiles, store.read(x), grid, columns, transposed).collect()
+    assert sum(len(r["slots"]) // 4 for r in sent) == tiles.wanted_rows[transposed] == wanted <= len(i)
+    assert sum(len(r["data"]) for r in sent) == wanted * columns * 8
+    assert len({(r["source"], r["target"]) for r in sent}) == len(sent)
+
+    product = blocks.multiply(tiles, store.read(x), grid, columns, transposed, every_block=True)
+    have = dense(blocks.vectors(product, grid, np.ones(columns)))
+    np.testing.assert_allclose(have, (a.T if transposed else a) @ dense_x, atol=1e-12)
+    some = blocks.multiply(tiles, store.read(x), grid, columns, transposed)
+    assert {r["block"] for r in some.collect()} == {int(o) % side for o in outward}
+    tiles.release()
+
+
+def test_partial_rows_in_limited_memory(monkeypatch):
+    monkeypatch.setattr(blocks, "COMBINE_BYTES", 400)
+    rng = np.random.default_rng(6)
+    terms, want = [], np.zeros((3, 20, 2))
+    for _ in range(60):
+        block, slots = int(rng.integers(3)), np.sort(rng.choice(20, 5, replace=False)).astype(np.int32)
+        terms.append((block, slots, rng.random((5, 2))))
+        want[block, slots] += terms[-1][2]
+    have, rows = np.zeros((3, 20, 2)), 0
+    for batch in blocks._partial_rows(iter(terms)):
+        block, slots, data = (c[0].as_py() for c in batch.columns)
+        have[block, np.frombuffer(slots, np.int32)] += np.frombuffer(data).reshape(-1, 2)
+        rows += 1
+    np.testing.assert_allclose(have, want)
+    assert rows < 60
+
+
+def test_resume_after_a_stop(spark, tmp_path):
+    a = random_sparse(200, 0.1, 6)
+    cells, folder = frame(spark, a), str(tmp_path / "state")
+    options = {"n": 200, "block": 8, "max_basis": 40, "right_vectors": True}
+    whole = pl.svd(cells, 4, **options)
+    assert whole.report.first()["restarts"] > 0
+    with pytest.raises(pl.ConvergenceError):
+        pl.svd(cells, 4, max_passes=5, resume=folder, **options)
+    # A half-written table of the stopped run is in the way, and its last state was never finished.
+    (tmp_path / "state" / "blocks" / "seq=13").mkdir(exist_ok=True)
+    (tmp_path / "state" / "state-00000099").mkdir()
+    result = pl.svd(cells, 4, resume=folder, **options)
+    check(spark, a, result, 4)
+    first, second = whole.report.first(), result.report.first()
+    assert (first["passes"], first["restarts"]) == (second["passes"], second["restarts"])
+    np.testing.assert_allclose(result.values, whole.values, rtol=1e-10)
+    # A finished computation gives its result again after one pass.
+    again = pl.svd(cells, 4, resume=folder, **options)
+    assert again.report.first()["passes"] == second["passes"]
+    np.testing.assert_allclose(again.values, whole.values, rtol=1e-10)
+
+
+def test_resume_wants_the_same_matrix(spark, tmp_path):
+    a = random_sparse(60, 0.2, 6)
+    folder = str(tmp_path / "state")
+    pl.svd(frame(spark, a), 2, n=60, resume=folder)
+    with pytest.raises(ValueError, match="another matrix"):
+        pl.svd(frame(spark, a * 1.001), 2, n=60, resume=folder)
+    with pytest.raises(ValueError, match="another matrix"):
+        pl.svd(frame(spark, a), 3, n=60, resume=folder)
+    with pytest.raises(ValueError, match="no state"):
+        pl.svd(frame(spark, a), 2, n=60, method="lapack", resume=folder)
+
+
 def test_restart(spark):
     rng = np.random.default_rng(4)
     q, _ = np.linalg.qr(rng.standard_normal((120, 120)))
