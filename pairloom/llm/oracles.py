@@ -65,15 +65,17 @@ FROM digests LEFT JOIN firsts USING (payload_digest)
 """
 
 _NEAREST = """
-WITH parts AS (SELECT vec_id, unnest(embedding) AS x FROM embeddings WHERE vec_id IS NOT NULL),
+WITH numbered AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, embedding FROM embeddings WHERE vec_id IS NOT NULL),
+parts AS (SELECT row, unnest(embedding) AS x FROM numbered),
 usable AS (
-  SELECT vec_id FROM parts GROUP BY 1 HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND bool_or(x <> 0)),
-vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings JOIN usable USING (vec_id)),
+  SELECT row FROM parts GROUP BY 1 HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND bool_or(x <> 0)),
+vectors AS (SELECT row, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM numbered JOIN usable USING (row)),
 scores AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
-  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.row <> c.row),
 ranked AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+  SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 

@@ -11,11 +11,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import has_repeats
 from pairloom.scratch import stage
 
-_BLOCK = "dim int, n int, ids binary, vectors binary, codes binary, scale binary, error binary, length binary"
-_FOUND = "query_id long, vec_id long, score double"
+_BLOCK = (
+    "dim int, n int, ids binary, rows binary, asked binary, vectors binary, codes binary, scale binary, error binary, length binary"
+)
+_FOUND = "query_row long, query_id long, vec_id long, score double"
 # Room for rounding in the float32 products and in the bounds themselves.
 _ROUNDING = 1e-5
 _TILE = 1024
@@ -26,6 +27,7 @@ class _Block:
     """Vectors of one dimension, their int8 codes and what the codes may be wrong by."""
 
     ids: np.ndarray
+    rows: np.ndarray  # numbers of the table's rows, as ids may repeat
     vectors: np.ndarray  # as given, scaled by a power of two each
     codes: np.ndarray  # float32 copies of the int8 codes, for exact products
     scale: np.ndarray
@@ -41,6 +43,7 @@ class _Block:
         kind = np.float32 if dim * 127 * 127 < 1 << 24 else np.float64
         return cls(
             read("ids", np.int64),
+            read("rows", np.int64),
             read("vectors", np.float64).reshape(-1, dim),
             codes.astype(kind),
             read("scale", np.float64),
@@ -49,7 +52,7 @@ class _Block:
         )
 
 
-def _packed(ids: list[int], vectors: list[np.ndarray], dim: int) -> dict:
+def _packed(ids: list[int], rows: list[int], asked: list[bool], vectors: list[np.ndarray], dim: int) -> dict:
     values = np.stack(vectors)
     # A power of two changes no digit of a cosine, but keeps squares within range.
     values = np.ldexp(values, -np.frexp(np.abs(values).max(axis=1))[1][:, None])
@@ -61,6 +64,8 @@ def _packed(ids: list[int], vectors: list[np.ndarray], dim: int) -> dict:
         "dim": dim,
         "n": len(ids),
         "ids": np.asarray(ids, np.int64).tobytes(),
+        "rows": np.asarray(rows, np.int64).tobytes(),
+        "asked": np.asarray(asked, np.bool_).tobytes(),
         "vectors": values.tobytes(),
         "codes": codes.tobytes(),
         "scale": scale.tobytes(),
@@ -69,34 +74,62 @@ def _packed(ids: list[int], vectors: list[np.ndarray], dim: int) -> dict:
     }
 
 
-def _blocks(rows: DataFrame, size: int) -> DataFrame:
-    """Rows packed by ``size`` vectors of one dimension."""
+def _pack(vectors: Iterator[tuple[int, int, bool, np.ndarray]], size: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of ``size`` vectors of one dimension from ``(id, row, asked, vector)``."""
     names = [field.split()[0] for field in _BLOCK.split(", ")]
+    types = [pa.int32(), pa.int32()] + [pa.binary()] * (len(names) - 2)
+    held: dict[int, tuple[list, list, list, list]] = {}
+
+    def out(dim: int) -> pa.RecordBatch:
+        row = _packed(*held.pop(dim), dim)
+        return pa.RecordBatch.from_arrays([pa.array([row[n]], t) for n, t in zip(names, types, strict=True)], names=names)
+
+    for item in vectors:
+        dim = len(item[3])
+        lists = held.setdefault(dim, ([], [], [], []))
+        for values, value in zip(lists, item, strict=True):
+            values.append(value)
+        if len(lists[0]) >= size:
+            yield out(dim)
+    for dim in list(held):
+        yield out(dim)
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list[int], list[np.ndarray]]] = {}
 
-        def out(dim: int) -> pa.RecordBatch:
-            row = _packed(*held.pop(dim), dim)
-            types = [pa.int32(), pa.int32()] + [pa.binary()] * (len(names) - 2)
-            return pa.RecordBatch.from_arrays([pa.array([row[n]], t) for n, t in zip(names, types, strict=True)], names=names)
+def _blocks(rows: DataFrame, size: int) -> DataFrame:
+    """Rows ``(id, row, query, vector)`` packed by ``size`` vectors of one dimension."""
 
-        for batch in batches:
-            lists = batch.column("vector")
-            flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            for k, id_ in enumerate(batch.column("id").to_pylist()):
-                vector = flat[offsets[k] : offsets[k + 1]]
-                ids, vectors = held.setdefault(len(vector), ([], []))
-                ids.append(id_)
-                vectors.append(vector.copy())
-                if len(ids) >= size:
-                    yield out(len(vector))
-        for dim in list(held):
-            yield out(dim)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given():
+            for batch in batches:
+                lists = batch.column("vector")
+                flat, offsets = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                keys = (batch.column(name).to_pylist() for name in ("id", "row", "query"))
+                for k, key in enumerate(zip(*keys, strict=True)):
+                    yield *key, flat[offsets[k] : offsets[k + 1]].copy()
+
+        return _pack(given(), size)
 
     return rows.mapInArrow(pack, _BLOCK)
 
 
+def _asked(blocks: DataFrame, size: int) -> DataFrame:
+    """The blocks' query vectors in blocks of their own."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def given():
+            for batch in batches:
+                for row in batch.to_pylist():
+                    read = lambda name, kind, row=row: np.frombuffer(row[name], kind)
+                    ids, numbers = read("ids", np.int64), read("rows", np.int64)
+                    vectors = read("vectors", np.float64).reshape(-1, row["dim"])
+                    for k in np.flatnonzero(read("asked", np.bool_)):
+                        yield int(ids[k]), int(numbers[k]), True, vectors[k].copy()
+
+        return _pack(given(), size)
+
+    return blocks.select("dim", "ids", "rows", "asked", "vectors").mapInArrow(pack, _BLOCK)
+
+
 def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of rows, added up component by component in double precision."""
     dot, left, right = np.zeros(len(a)), np.zeros(len(a)), np.zeros(len(a))
@@ -108,8 +141,8 @@ def _cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(dot / np.sqrt(left * right), -1.0, 1.0)
 
 
-def _search(queries: _Block, groups: list[_Block], k: int) -> Iterator[tuple[int, list[tuple[float, int]]]]:
-    """``(query id, [(score, -id)])``: the ``k`` nearest of the blocks for each query."""
+def _search(queries: _Block, groups: list[_Block], k: int) -> Iterator[tuple[int, int, list[tuple[float, int]]]]:
+    """``(query row, query id, [(score, -id)])``: the ``k`` nearest of the blocks for each query."""
     heaps: list[list[tuple[float, int]]] = [[] for _ in queries.ids]
     floor = np.full(len(queries.ids), -np.inf)
     for block in groups:
@@ -118,7 +151,7 @@ def _search(queries: _Block, groups: list[_Block], k: int) -> Iterator[tuple[int
             about = (queries.codes @ block.codes[part].T) * (queries.scale[:, None] * block.scale[None, part])
             wrong = queries.error[:, None] * block.length[None, part] + (queries.length + queries.error)[:, None] * block.error[None, part]
             wrong += _ROUNDING
-            own = queries.ids[:, None] == block.ids[None, part]
+            own = queries.rows[:, None] == block.rows[None, part]
             low = np.where(own, -np.inf, about - wrong)
             if low.shape[1] >= k:
                 kth = np.partition(low, low.shape[1] - k, axis=1)[:, low.shape[1] - k]
@@ -144,7 +177,7 @@ def _search(queries: _Block, groups: list[_Block], k: int) -> Iterator[tuple[int
                 if len(heap) == k:
                     floor[q] = max(floor[q], heap[0][0])
     for q, heap in enumerate(heaps):
-        yield int(queries.ids[q]), heap
+        yield int(queries.rows[q]), int(queries.ids[q]), heap
 
 
 def nearest_neighbours(
@@ -169,8 +202,8 @@ def nearest_neighbours(
 
     Ties go to the smaller id. With fewer than ``k`` candidates all are returned. Vectors that are
     null, empty, zero, or hold a null or a value that is not finite take no part, nor do rows with
-    a null id. A query meets only vectors of its own dimension. Of rows that repeat an id, the
-    smallest vector stands for it. ``is_query`` may use any column; others are not read. An empty
+    a null id. A query meets only vectors of its own dimension. Rows that repeat an id are rows of their
+    own: each is a candidate, also for the others with its id, and each that asks has ranks of its own. ``is_query`` may use any column; others are not read. An empty
     table gives no rows.
     """
     spark = vectors.sparkSession
@@ -178,10 +211,11 @@ def nearest_neighbours(
     usable = F.forall(values, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists(values, lambda x: x != 0)
     rows = vectors.filter(F.col(id_col).isNotNull() & usable)
     rows = rows.select(F.col(id_col).cast("long").alias("id"), values.alias("vector"), F.coalesce(is_query, F.lit(False)).alias("query"))
-    if has_repeats(rows, "id"):
-        rows = rows.groupBy("id").agg(F.min("vector").alias("vector"), F.max("query").alias("query"))
-    blocks = stage(_blocks(rows.select("id", "vector"), block_rows), "vector-blocks").df
-    asked = stage(_blocks(rows.filter("query").select("id", "vector"), query_rows), "query-blocks").df
+    # Rows are numbered in the job that writes the blocks; queries are taken from these, so the numbers hold.
+    rows = rows.withColumn("row", F.monotonically_increasing_id())
+    blocks = stage(_blocks(rows.select("id", "row", "query", "vector"), block_rows), "vector-blocks").df
+    asked = stage(_asked(blocks, query_rows), "query-blocks").df
+    blocks, asked = blocks.drop("asked"), asked.drop("asked")
     tasks = spark.sparkContext.defaultParallelism
     count = blocks.count()
     groups = max(1, -(-count // group_blocks), min(count, tasks))
@@ -205,11 +239,12 @@ def nearest_neighbours(
                     held.append(block)
                     continue
                 same = [b for b in held if b.vectors.shape[1] == row["dim"]]
-                found = [(q, -other, score) for q, heap in _search(block, same, k) for score, other in heap]
-                columns = list(zip(*found, strict=True)) or [(), (), ()]
-                types = (pa.int64(), pa.int64(), pa.float64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["query_id", "vec_id", "score"])
+                found = [(at, q, -other, score) for at, q, heap in _search(block, same, k) for score, other in heap]
+                columns = list(zip(*found, strict=True)) or [()] * 4
+                types = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+                names = ["query_row", "query_id", "vec_id", "score"]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
     best = together.mapInArrow(search, _FOUND)
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    rank = F.row_number().over(Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -62,6 +62,15 @@ def test_equal_vectors_go_by_id(spark):
 
 
 def test_few_candidates_and_repeated_ids(spark):
-    rows = [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 1.0], 0), (2, [-1.0, 0.0], 0)]
-    have = nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0).orderBy("rank").collect()
-    assert [(r.rank, r.vec_id, r.score) for r in have] == [(1, 1, 0.0), (2, 2, -1.0)]
+    """Every row is a candidate, also those that share an id, and every row that asks has its own ranks."""
+    rows = [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [3.0, 4.0], 0), (2, [-1.0, 0.0], 0)]
+    have = nearest_neighbours(spark.createDataFrame(rows, SCHEMA).repartition(3), F.col("vec_id") == 0)
+    ranked = [(1, 0, 1.0), (2, 2, 0.6), (3, 1, 0.0), (4, 2, -1.0)]
+    want = sorted((0, *row) for row in ranked * 2)
+    assert sorted((r.query_id, r.rank, r.vec_id, round(r.score, 12)) for r in have.collect()) == want
+
+
+def test_the_nearer_row_of_a_repeated_id_is_found(spark):
+    rows = [(0, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (1, [1.0, 0.1], 0), (2, [1.0, 1.0], 0)]
+    have = nearest_neighbours(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") == 0, k=1).collect()
+    assert [(r.query_id, r.vec_id, round(r.score, 3)) for r in have] == [(0, 1, 0.995)]
