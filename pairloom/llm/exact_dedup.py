@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pairloom.llm.lookup import salted_lookup
 from pairloom.llm.text import ascii_lower
 from pairloom.scratch import stage
 
@@ -46,7 +47,7 @@ def exact_duplicates(
     Rows that agree in id and text are all marked as kept or all as dropped, and each counts in
     ``group_size``. Other columns are not read, whatever their names. An empty table gives no rows.
 
-    Winners go back to the documents by digest. A digest that stands for several contents, which
+    Very long texts are taken whole. Winners go back to the documents by digest, those of large groups in several parts. A digest that stands for several contents, which
     the combining step counts, goes back by digest and content instead.
     """
     rows = docs.select(F.col(id_col).alias("id"), ascii_lower(F.col(text_col)).alias("content"))
@@ -59,7 +60,7 @@ def exact_duplicates(
     winners = stage(per_digest, "exact-winners").df
     single = winners.filter("contents = 1").select("digest", "keep", "n")
     keys = rows.select("id", "digest", F.sha2("content", 256).alias("hash"))
-    found = keys.join(single, "digest").select("id", "keep", "n", "hash")
+    found = salted_lookup(keys, single, ["digest"], "n").select("id", "keep", "n", "hash")
     shared = winners.filter("contents > 1").select("digest")
     if not shared.isEmpty():
         again = rows.join(shared, "digest", "left_semi")

@@ -32,3 +32,22 @@ def test_against_brute_force(spark, digest):
 def test_only_ascii_letters_are_lowered(spark):
     docs = data.documents(spark, [(1, "ÄB", None, None, None), (2, "äb", None, None, None), (3, "Äb", None, None, None)])
     assert {(r.doc_id, r.keep_id) for r in exact_duplicates(docs).collect()} == {(1, 3), (2, 2), (3, 3)}
+
+
+def test_copies_of_one_text_are_dealt_to_all_tasks(spark):
+    """A third of all rows has one text; no task gets them all back."""
+    names = ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name) for name in names}
+    try:
+        for name, value in zip(names, ("false", "-1"), strict=True):
+            spark.conf.set(name, value)
+        rows = [(k, "the same" if k % 3 == 0 else f"text {k}", None, None, None) for k in range(3000)]
+        have = exact_duplicates(data.documents(spark, rows))
+        counts = have.groupBy(F.spark_partition_id().alias("task")).agg(F.count_if(F.col("group_size") > 1).alias("hot"), F.count("*").alias("all"))
+        tasks = counts.collect()
+        assert sum(r.hot for r in tasks) == 1000 and sum(r["all"] for r in tasks) == 3000
+        assert max(r.hot for r in tasks) < 350
+        assert data.listed(have) == brute(rows)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
