@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pairloom.llm.text import spaced_words
+from pairloom.llm.text import spaced_words, whole
 from pairloom.scratch import broadcast_if_small, stage
 
 # Primes above any number of blocks in a shard; a stride prime to the count visits every block once.
@@ -73,7 +73,7 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, mos
 def mix_sources(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
     """``(id_col, size, source_size, target, taken, copies)``, a row for every row of ``docs``.
 
-    Documents are dealt to shards by a seeded hash; a shard holds about ``shard_words`` words, so it
+    Documents are dealt to shards by a seeded hash of id and text; a shard holds about ``shard_words`` words, so it
     stays small when a source does not. A source's documents in a shard are one stream, cut into
     blocks of about ``block_words`` words, equal to within one. Blocks go to sources by highest
     quotients and from a source to its shards in the same way, which gives whole quotas. A shard
@@ -120,6 +120,11 @@ def whole_copies(docs: DataFrame, *, seed: int = 17, chunk_rows: int = 4096, **o
     return placed.select("id", "src", "no", copies.alias("copies")).filter("copies > 0")
 
 
+def shard_of(seed: int, shards: int) -> Column:
+    """The shard of a row by its ``id`` and by ``mark``, a hash of its text, so rows without an id or with one id spread."""
+    return F.pmod(F.xxhash64(F.lit(seed), "id", "mark"), F.lit(shards))
+
+
 def _taken_blocks(
     docs: DataFrame,
     *,
@@ -143,6 +148,7 @@ def _taken_blocks(
             F.coalesce(source, F.lit("")).alias("src"),
             source.isNull().alias("no"),
             spaced_words(F.col(text_col)).alias("size"),
+            F.xxhash64(whole(F.col(text_col))).alias("mark"),
         ),
         "mix-sizes",
     ).df
@@ -150,7 +156,7 @@ def _taken_blocks(
     targets = stage(source_targets(sizes, weights, share, most), "mix-targets").df
     words = targets.agg(F.sum("size")).first()[0] or 0
     shards = max(least_shards, -(-words // shard_words))
-    dealt = sized.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(shards)))
+    dealt = sized.withColumn("shard", shard_of(seed, shards)).drop("mark")
 
     blocks = F.ceil(F.col("words") / block_words).cast("long")
     parts = dealt.groupBy("src", "no", "shard").agg(F.sum("size").alias("words")).withColumn("blocks", blocks)

@@ -3,8 +3,9 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from pairloom.llm.mixing import apportion, mix_sources, whole_copies
+from pairloom.llm.mixing import apportion, mix_sources, shard_of, whole_copies
 from tests.llm import data
 
 
@@ -85,3 +86,13 @@ def test_whole_documents_come_near(spark, chunk_rows):
     for part in (0, 1):
         own = [r for r in taken if r.doc_id % 2 == part]
         assert abs(sum(copies.get(r.doc_id, 0) * r.size - r.taken for r in own)) <= 240 / 2 + 1
+
+
+@pytest.mark.parametrize("id_", [None, 7])
+def test_rows_without_an_id_or_with_one_spread_over_shards(spark, id_):
+    rows = spark.range(2000).select(F.lit(id_).cast("long").alias("id"), F.xxhash64("id").alias("mark"))
+    counts = rows.groupBy(shard_of(17, 64).alias("shard")).count().collect()
+    assert len(counts) == 64 and max(r["count"] for r in counts) < 80
+    docs = data.documents(spark, [(id_, f"{k} some words", "en", "a", 1) for k in range(300)])
+    taken = [r.taken for r in mix_sources(docs, block_words=3).collect()]
+    assert len(taken) == 300 and abs(sum(taken) - 1350) <= 64 * 3 and max(taken) <= 6
