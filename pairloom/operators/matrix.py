@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pairloom.functions import required
+from pairloom.functions import high, low, required
+
+# Cells that one task adds up.
+TASK_CELLS = 2_000_000
 
 
 def _cells(matrix: DataFrame) -> DataFrame:
@@ -21,10 +24,21 @@ def _cells(matrix: DataFrame) -> DataFrame:
     return matrix.select("i", "j", count.alias("count"))
 
 
-def combine(*matrices: DataFrame) -> DataFrame:
-    """Sum of count matrices, for example of shards counted apart or loaded later."""
-    union = reduce(DataFrame.unionByName, matrices)
-    return _cells(union).groupBy("i", "j").agg(F.sum("count").alias("count"))
+def combine(*matrices: DataFrame, rows: int | None = None) -> DataFrame:
+    """Sum of count matrices, for example of shards counted apart or loaded later.
+
+    With ``rows``, the number of cells of all matrices together, they are dealt to tasks of about ``TASK_CELLS``, so a
+    task's table of sums does not grow with the matrices.
+    """
+    cells = _cells(reduce(DataFrame.unionByName, matrices))
+    if rows is not None and rows > TASK_CELLS:
+        cells = cells.repartition(-(-rows // TASK_CELLS), "i", "j")
+    return cells.groupBy("i", "j").agg(F.sum("count").alias("count"))
+
+
+def fold(matrix: DataFrame) -> DataFrame:
+    """Cells on the upper triangle, (j, i) as (i, j); equal cells are not added."""
+    return _cells(matrix).select(low(F.col("i"), F.col("j")).alias("i"), high(F.col("i"), F.col("j")).alias("j"), "count")
 
 
 def symmetrize(matrix: DataFrame) -> DataFrame:

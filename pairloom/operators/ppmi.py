@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pairloom.functions import pmi_score, positive
-from pairloom.operators.matrix import column_marginals, combine, marginals, smoothed_total, symmetrize
+from pairloom.operators.matrix import column_marginals, combine, fold, marginals, smoothed_total, symmetrize
 from pairloom.scratch import Staged, broadcast_if_small, stage
 
 # Index, marginal and the hash table's own overhead.
@@ -43,9 +43,12 @@ def pmi(
     total = smoothed_total(contexts.df, alpha).first()["smoothed_total"] or 0.0
 
     # Nulls have failed in the marginals, which read every cell.
-    cells = symmetrize(matrix) if symmetric else matrix
+    cells = matrix
     if merge_duplicates:
-        cells = combine(cells)
+        # Both halves of a cell get the same sum, so it is made once, before the expansion.
+        cells = combine(fold(matrix) if symmetric else matrix, rows=matrix.count())
+    if symmetric:
+        cells = symmetrize(cells)
     scored = cells.join(_lookup(words, "i", "word_marginal"), "i").join(
         _lookup(contexts, "j", "context_marginal"), "j", "left" if on_zero_context == "error" else "inner"
     )

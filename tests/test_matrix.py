@@ -5,6 +5,8 @@ import math
 import pytest
 
 import pairloom as pl
+
+MATRIX_COLUMNS = "i int, j int, count long"
 from pairloom.operators import ppmi as ppmi_module
 from pairloom.sources import generate_matrix
 
@@ -127,3 +129,27 @@ def test_bad_arguments(triangle):
         pl.pmi(triangle, context="diagonal")
     with pytest.raises(ValueError):
         pl.pmi(triangle, on_zero_context="ignore")
+
+
+def test_sums_are_dealt_by_the_number_of_cells(spark, monkeypatch):
+    """A task adds up so many cells, whatever the matrices hold."""
+    from pairloom.operators import matrix as operators
+
+    monkeypatch.setattr(operators, "TASK_CELLS", 10)
+    rows = [(k % 9, k % 7, 1) for k in range(95)]
+    cells = spark.createDataFrame(rows, MATRIX_COLUMNS)
+    total = pl.combine(cells, cells, rows=190)
+    assert total.rdd.getNumPartitions() == 19
+    want = {}
+    for i, j, n in rows:
+        want[i, j] = want.get((i, j), 0) + 2 * n
+    assert {(r["i"], r["j"]): r["count"] for r in total.collect()} == want
+
+
+def test_merged_scores_add_each_cell_once(spark):
+    """Input with both halves is folded before it is added up and expanded afterwards."""
+    full = pl.symmetrize(spark.createDataFrame([(0, 1, 3), (1, 1, 2), (1, 2, 5), (0, 2, 1), (0, 1, 4)], MATRIX_COLUMNS))
+    have = {(r["i"], r["j"]): r["count"] for r in pl.pmi(full, symmetric=True).collect()}
+    assert have == {(0, 1): 14, (1, 0): 14, (1, 1): 8, (1, 2): 10, (2, 1): 10, (0, 2): 2, (2, 0): 2}
+    plan = pl.pmi(full, symmetric=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Aggregate")
