@@ -219,3 +219,17 @@ def test_a_bucketed_matrix_is_not_shuffled_by_its_rows(spark, tmp_path):
         np.testing.assert_allclose([r[5:] for r in scores[0]], [r[5:] for r in scores[1]], rtol=1e-12)
     finally:
         spark.sql("DROP TABLE bucketed_counts")
+
+
+def test_large_matrices_get_more_parts_and_buckets(spark, tmp_path, monkeypatch):
+    """No task sorts and writes a share that grows with the matrix."""
+    from pairloom.sources import writers
+
+    monkeypatch.setattr(writers, "TASK_CELLS", 50)
+    cells = spark.range(1000).selectExpr("cast(id % 97 as int) as i", "cast(id as int) as j", "id as count")
+    sources.write_row_ranges(cells, str(tmp_path / "ranges"), 4)
+    assert len(list((tmp_path / "ranges").glob("part=*"))) >= 15
+    assert sources.read_row_slice(spark, str(tmp_path / "ranges"), 10, 20).count() == cells.filter("i between 10 and 19").count()
+    table = sources.write_bucketed_matrix(cells, "many_buckets", str(tmp_path / "buckets"), 4)
+    assert len({p.name.split("_")[-1] for p in (tmp_path / "buckets").glob("part-*")}) > 4
+    assert table.count() == 1000
