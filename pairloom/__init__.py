@@ -11,7 +11,7 @@ from pairloom.operators.matrix import (
     symmetrize,
     total_count,
 )
-from pairloom.operators.pairs import cooccurrence, daily_counts
+from pairloom.operators.pairs import cooccurrence, count_pairs, daily_counts
 from pairloom.operators.ppmi import explain_cell, pmi, ppmi
 from pairloom.operators.rollup import dedupe_mapping, dense_index, mapping_stats, rollup
 from pairloom.operators.svd import ConvergenceError, SvdResult, embeddings, reconstruct, svd, to_long
@@ -35,6 +35,7 @@ __all__ = [
     "compare_factors",
     "compare_subspaces",
     "cooccurrence",
+    "count_pairs",
     "daily_counts",
     "dedupe_mapping",
     "dense_index",

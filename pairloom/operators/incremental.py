@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from pairloom.functions import band_start, high, low
 from pairloom.operators.matrix import combine
-from pairloom.operators.pairs import MAX_GROUP_ROWS, cooccurrence, daily_counts
+from pairloom.operators.pairs import MAX_GROUP_ROWS, count_pairs, daily_counts
 from pairloom.scratch import broadcast_if_small, stage
 
 
@@ -34,6 +34,24 @@ def added_pairs(
 
     Counting all events at once gives the sum of the earlier counts and these.
     """
+    inside, across, fresh = added_parts(known, events, window_days, patient, day, word, scope, max_group_rows)
+    return combine(inside, across), fresh
+
+
+def added_parts(
+    known: DataFrame,
+    events: DataFrame,
+    window_days: int = 30,
+    patient: str = "PatientOrder",
+    day: str = "NumDays",
+    word: str = "WordIndex",
+    scope: Sequence[str] = (),
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The two summands of :func:`added_pairs`, pairs of new events and pairs of a new and a known one, and the daily counts.
+
+    A caller who adds them to a matrix anyway saves a shuffle.
+    """
     if window_days < 0:
         raise ValueError("window_days must not be negative")
     fresh = stage(daily_counts(events, patient, day, word, scope), "daily").df
@@ -48,19 +66,24 @@ def added_pairs(
     cut = {side: F.ceil(F.col(f"{side}_rows") / max_group_rows).cast("int") for side in ("new", "old")}
     sizes = stage(sizes.select(*key, *[c.alias(f"{side}_parts") for side, c in cut.items()]), "bands")
     touched = broadcast_if_small(sizes.df, sizes.count(), 48 + 32 * len(owner))
-    dealt = {}
+    large = sizes.df.filter((F.col("new_parts") > 1) | (F.col("old_parts") > 1)).count()
+    dealt, keys = {}, key
     for side, rows in (("new", sent), ("old", near)):
+        if not large:
+            # No band is cut, so its rows meet where they met the list of touched bands, without a second shuffle.
+            dealt[side] = rows.join(touched.select(*key), key, "left_semi")
+            continue
         other = "old" if side == "new" else "new"
         part = F.pmod(F.xxhash64("day", "word"), F.col(f"{side}_parts")).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(f"{other}_parts") - 1))
         dealt[side] = rows.join(touched, key).withColumn(f"{side}_part", part).withColumn(f"{other}_part", every).drop("new_parts", "old_parts")
+        keys = [*key, "new_part", "old_part"]
     a, b = dealt["new"].alias("a"), dealt["old"].alias("b")
     condition = F.abs(F.col("a.day") - F.col("b.day")) <= window_days
-    for name in [*key, "new_part", "old_part"]:
+    for name in keys:
         condition = condition & (F.col(f"a.{name}") == F.col(f"b.{name}"))
     # Merge join: a broadcast would follow the few bytes read, not the many pairs made.
     met = a.join(b.hint("merge"), condition)
     cell = low(F.col("a.word"), F.col("b.word")).alias("i"), high(F.col("a.word"), F.col("b.word")).alias("j")
     across = met.select(*cell, (F.col("a.n") * F.col("b.n")).alias("weight")).groupBy("i", "j").agg(F.sum("weight").alias("count"))
-    inside = cooccurrence(events, window_days, patient, day, word, scope, max_group_rows)
-    return combine(inside, across), fresh
+    return count_pairs(fresh, window_days, scope, max_group_rows), across, fresh

@@ -62,3 +62,18 @@ def test_job(spark, tmp_path):
     assert kept.agg({"n": "sum"}).first()[0] == len(events)
     with pytest.raises(ValueError, match="negative"):
         pl.added_pairs(kept, spark.createDataFrame(events, EVENTS), -1)
+
+
+def test_bands_that_are_not_cut_meet_without_a_second_shuffle(spark):
+    """New and known rows are dealt by band once, and copies of new events are counted once."""
+    from pairloom.operators.incremental import added_parts
+
+    events = history(4, 120)
+    _, known = pl.added_pairs(spark.createDataFrame([], plans.DAILY), spark.createDataFrame(events[::2], EVENTS))
+    _, across, _ = added_parts(known, spark.createDataFrame(events[1::2], EVENTS))
+    plan = across._jdf.queryExecution().executedPlan().toString()
+    assert "new_part" not in plan and plan.count("Exchange hashpartitioning") <= 3
+    inside, again, _ = added_parts(known, spark.createDataFrame(events[1::2], EVENTS), max_group_rows=2)
+    assert as_dict(again) == as_dict(across)
+    first = pl.cooccurrence(spark.createDataFrame(events[::2], EVENTS))
+    assert as_dict(pl.combine(first, inside, across)) == brute(events, 30)
