@@ -17,8 +17,10 @@ COSINE_LIMIT = 0.01
 
 def _side(matrix: DataFrame, name: str) -> DataFrame:
     """Cells with the count under another name; a null index or count fails the query."""
-    index = [required(F.col(key), key).alias(key) for key in ("i", "j")]
-    return matrix.select(*index, required(F.col("count"), "count").alias(name))
+    # The indexes stay plain columns, so that a matrix that was just added up by cell is not shuffled again to be joined.
+    i, j = (required(F.col(key), key) for key in ("i", "j"))
+    count = F.when(i.isNotNull() & j.isNotNull(), required(F.col("count"), "count"))
+    return matrix.select("i", "j", count.alias(name))
 
 
 def matrix_diff(left: DataFrame, right: DataFrame) -> DataFrame:
