@@ -324,3 +324,33 @@ def test_bad_arguments(spark):
         pl.svd(a, 3000, n=5000)
     with pytest.raises(Exception, match="null in"):
         pl.svd(spark.createDataFrame([(0, 1, None), (1, 1, 2.0)], "i int, j int, ppmi double"), 1)
+
+
+def test_a_tile_is_not_cut_into_many_rows(spark):
+    """Each row of a tile is read together with a whole block of the dense matrix."""
+    n = 500
+    cells = spark.range(n * n).selectExpr(f"cast(id div {n} as int) as i", f"cast(id % {n} as int) as j", "1.0 as value")
+    tiles = blocks.tile_table(cells, blocks.Grid(n, 1), n * n, 1).coalesce(1).collect()
+    assert sum(len(t["rows"]) // 4 for t in tiles) == n * n
+    assert len(tiles) <= blocks._tile_parts(n * n, 1) * 2 and min(len(t["rows"]) // 4 for t in tiles) < blocks.TILE_CELLS
+
+
+def test_inner_products_shuffle_each_table_once(spark, monkeypatch):
+    """Tables on both sides, on one side only, and one without some of the blocks."""
+    grid = blocks.Grid(200, 7)
+    store = blocks.BlockStore(spark, grid)
+    tables = [store.write(blocks.random_blocks(spark, grid, w, 1.0, w).filter(f"block % {w} < 3"), w) for w in (2, 3, 5)]
+    arrays = {}
+    for seq, w in zip(tables, (2, 3, 5)):
+        arrays[seq] = np.zeros((200, w))
+        for r in store.read(seq).collect():
+            arrays[seq][grid.indexes(r["block"])] = np.frombuffer(r["data"]).reshape(-1, w)
+    for limit in (blocks.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(blocks, "BROADCAST_BYTES", limit)
+        for left, right in ((tables, tables[1:]), (tables[:1], tables[1:]), (tables[2:], tables[2:])):
+            have = store.inner(left, right)
+            assert set(have) == {(a, b) for a in left for b in right}
+            for (a, b), product in have.items():
+                np.testing.assert_allclose(product, arrays[a].T @ arrays[b], atol=1e-12)
+    plan = store._products(tables, tables[1:])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
