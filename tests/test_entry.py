@@ -29,3 +29,18 @@ def test_query_agrees_with_sql(spark, connection, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name", ["svd_code_right", "subspace_compare"])
+def test_code_scores_are_made_once(spark, monkeypatch, name):
+    made = []
+
+    def counted(*args):
+        made.append(args)
+        return scores
+
+    cells = [(i, i, 12.0 - i) for i in range(12)]
+    scores = spark.createDataFrame(cells, "i int, j int, ppmi double")
+    monkeypatch.setattr(entry, "code_scores", counted)
+    assert entry.queries()[name](spark, entry.SMOKE_DIR).count() >= 1
+    assert len(made) == 1
