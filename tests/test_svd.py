@@ -5,6 +5,7 @@ import pytest
 
 import pairloom as pl
 from pairloom.operators import blocks
+from pairloom.scratch import stage
 
 
 def frame(spark, a):
@@ -354,3 +355,39 @@ def test_inner_products_shuffle_each_table_once(spark, monkeypatch):
                 np.testing.assert_allclose(product, arrays[a].T @ arrays[b], atol=1e-12)
     plan = store._products(tables, tables[1:])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("transposed", [False, True])
+def test_rows_go_to_a_tile_once(spark, transposed, monkeypatch):
+    """Not with each piece of it."""
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(blocks, "TILE_CELLS", 20)
+    n, columns = 60, 3
+    a = random_sparse(n, 0.5, 8)
+    i, j = np.nonzero(a)
+    cells = spark.createDataFrame([(int(x), int(y), float(a[x, y])) for x, y in zip(i, j)], "i int, j int, value double")
+    grid = blocks.Grid(n, 2)
+    # Pieces are cut between batches.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        packed = stage(blocks.tile_table(cells, grid, len(i), 2), "tiles").df
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    tiles = blocks.laid_out(packed, grid, len(i), 2, columns)
+    tiles.df.cache()
+    store = blocks.BlockStore(spark, grid)
+    x = store.write(blocks.random_blocks(spark, grid, columns, 1.0, 1), columns)
+    inward, outward = ("row_block", "col_block") if transposed else ("col_block", "row_block")
+    sent = blocks.sent_rows(tiles, store.read(x), grid, columns, transposed).withColumnsRenamed({"source": inward, "target": outward})
+    rows = blocks.met_rows(tiles, sent).select("row_block", "col_block", "piece", "data").collect()
+    starts = packed.filter("piece = 0").count()
+    assert sum(r["data"] is not None for r in rows) == starts < len(rows) / 4
+    dense_x = np.empty((n, columns))
+    for row in store.read(x).collect():
+        dense_x[grid.indexes(row["block"])] = np.frombuffer(row["data"]).reshape(-1, columns)
+    product = blocks.multiply(tiles, store.read(x), grid, columns, transposed, every_block=True)
+    found = np.empty((n, columns))
+    for row in product.collect():
+        found[grid.indexes(row["block"])] = np.frombuffer(row["data"]).reshape(-1, columns)
+    np.testing.assert_allclose(found, (a.T if transposed else a) @ dense_x, atol=1e-12)
+    tiles.release()
