@@ -333,8 +333,10 @@ def _recoded(rows: DataFrame, phrases: DataFrame, states: int, most: int, only:
     spark = rows.sparkSession
     rows = rows.select("ids", F.array().cast("array<int>").alias("longer"))
     # The trie of all candidates serves again when it was the only one.
-    tries = _tries(phrases, states, most, "id") if only is None else [(only, phrases.select("a", "b", "id").toPandas())]
-    for trie, part in tries:
+    tries = _tries(phrases, states, most, "id") if only is None else iter([(only, phrases.select("a", "b", "id").toPandas())])
+    following = next(tries, None)
+    while following:
+        (trie, part), following = following, next(tries, None)
         named = np.zeros(len(trie.check), np.int32)
         named[trie.accept(part["a"].to_numpy(np.int64), part["b"].to_numpy(np.int64))] = part["id"]
         shared = spark.sparkContext.broadcast((trie, named))
@@ -351,12 +353,14 @@ def _recoded(rows: DataFrame, phrases: DataFrame, states: int, most: int, only:
                 offsets = pa.array((lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([lists, pa.ListArray.from_arrays(offsets, pa.array(found))], names=["ids", "longer"])
 
-        rows = rows.mapInArrow(fill, "ids array<int>, longer array<int>")
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _gathered(_sequences(batches, "longer"))
+        def finish(batches: Iterator[pa.RecordBatch], fill=fill) -> Iterator[pa.RecordBatch]:
+            yield from _gathered(_sequences(fill(batches), "longer"))
 
-    return rows.select("longer").mapInArrow(finish, "ids array<int>")
+        # The last trie's task gathers, too: a step of its own would be another Python process beside each.
+        if not following:
+            return rows.mapInArrow(finish, "ids array<int>")
+        rows = rows.mapInArrow(fill, "ids array<int>, longer array<int>")
+    return rows.select("ids").limit(0)
 
 
 def _numbered(df: DataFrame, order: list[str]) -> DataFrame:

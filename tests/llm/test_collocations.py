@@ -92,3 +92,18 @@ def test_double_array(seed):
     hit = found < len(trie.check) - 1
     assert {tuple(p) for p in every[hit]} == {tuple(p) for p in pairs}
     assert (of[found[hit]] == every[hit][:, 0]).all() and (code[found[hit]] == every[hit][:, 1]).all()
+
+
+def test_a_level_takes_one_python_process_for_each_task(spark, monkeypatch):
+    plans, recoded = [], co._recoded
+
+    def seen(*args):
+        out = recoded(*args)
+        plans.append(out._jdf.queryExecution().executedPlan().toString())
+        return out
+
+    monkeypatch.setattr(co, "_recoded", seen)
+    docs = spark.createDataFrame([("a b c d e",)] * 3, "text string").selectExpr("'en' lang", "text")
+    found = mine_collocations(docs, least=2)
+    assert [r["phrase"] for r in found.collect()] == ["a b c d e"]
+    assert plans and all(plan.count("MapInArrow") == 1 for plan in plans)
