@@ -2,12 +2,14 @@ from __future__ import annotations
 
 import gzip
 import os
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 import pairloom as pl
 from pairloom import sources
+from pairloom.operators import svd as solver
 from pairloom.plans import add_counts, count_events, embed_matrix, reduce_matrix
 from pairloom.scratch import clear_scratch, scratch_root, stage
 
@@ -233,3 +235,21 @@ def test_large_matrices_get_more_parts_and_buckets(spark, tmp_path, monkeypatch)
     table = sources.write_bucketed_matrix(cells, "many_buckets", str(tmp_path / "buckets"), 4)
     assert len({p.name.split("_")[-1] for p in (tmp_path / "buckets").glob("part-*")}) > 4
     assert table.count() == 1000
+
+
+def test_scores_are_removed_before_the_passes(spark, tmp_path, monkeypatch):
+    """What the solver writes does not come on top of the table that it has packed."""
+    def scores():
+        return {path for path in Path(scratch_root(spark)).rglob("ppmi-*") if path.is_dir()}
+
+    before, start, during = scores(), solver._Bidiagonal.start, []
+
+    def seen(self):
+        during.append(scores() - before)
+        start(self)
+
+    monkeypatch.setattr(solver._Bidiagonal, "start", seen)
+    cells = [(i, i, 3 + i) for i in range(4)] + [(0, 3, 2)]
+    sources.write_matrix(spark.createDataFrame(cells, "i int, j int, count long"), str(tmp_path / "counts"))
+    result = embed_matrix(spark, str(tmp_path / "counts"), str(tmp_path / "out"), 1, symmetric=True)
+    assert during == [set()] and result.u.count() == 4
