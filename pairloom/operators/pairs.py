@@ -82,11 +82,9 @@ def count_pairs(counts: DataFrame, window_days: int = 30, scope: Sequence[str] =
     patients = broadcast_if_small(busy.df, n_busy, 32 + 32 * len(owner))
     rest = counts.join(patients, owner, "left_anti")
     many = counts.join(patients, owner, "left_semi")
-    # Each side is summed on its own: a union of single pairs would cut their generated code in two.
-    apart = _cell_sums(_banded_pairs(rest, owner, window_days, parts)).unionByName(
-        _cell_sums(_summed_pairs(many, owner, window_days, max_group_rows))
-    )
-    return apart.groupBy("i", "j").agg(F.sum("count").alias("count"))
+    # One sum over both: summing each side first would build three tables of all cells where one will do.
+    both = _banded_pairs(rest, owner, window_days, parts).unionByName(_summed_pairs(many, owner, window_days, max_group_rows))
+    return _cell_sums(both)
 
 
 def _banded_pairs(counts: DataFrame, owner: list[str], window: int, parts: int) -> DataFrame:

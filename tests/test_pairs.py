@@ -88,3 +88,13 @@ def test_generated_events_against_brute_force(spark):
     events = [tuple(r)[:3] for r in frame.collect()]
     assert len(events) == 480
     assert as_dict(pl.cooccurrence(frame)) == brute(events, 30)
+
+
+def test_cells_of_busy_and_other_patients_are_added_once(spark):
+    rows = [(1, day, day % 7) for day in range(40)] + [(2, 0, 1), (2, 3, 2)]
+    events = spark.createDataFrame(rows, "PatientOrder long, NumDays int, WordIndex int")
+    counts = pl.cooccurrence(events, window_days=7, max_group_rows=8)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(i") == 1
+    want = pl.cooccurrence(events, window_days=7)
+    assert sorted(map(tuple, counts.collect())) == sorted(map(tuple, want.collect()))
