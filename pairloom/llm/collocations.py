@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +16,9 @@ from pairloom.llm.positions import with_running_sums
 from pairloom.llm.text import ascii_lower
 from pairloom.scratch import BROADCAST_BYTES, stage
 
+if TYPE_CHECKING:  # tasks need no pandas, which takes some 30 MB of each Python process
+    import pandas as pd
+
 # Signs that end a piece, and words between blanks inside of one; A to Z lower-cased.
 _TOKEN = re.compile(rb"[.,;:!?\x0A-\x0D]+|[^\x20\x09.,;:!?\x0A-\x0D]+")
 _BREAK = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
@@ -253,15 +256,16 @@ def _often(rows: DataFrame, bits: int, least: int) -> np.ndarray:
             if part.any():
                 yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["slice", "data"])
 
-    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for part in parts:
-            for slice_, data in zip(part["slice"], part["data"], strict=True):
-                sums[slice_] = sums.get(slice_, 0) + np.frombuffer(data, kind).astype(np.int64)
-        yield pd.DataFrame({"slice": list(sums), "data": [np.packbits(s >= least).tobytes() for s in sums.values()]})
+            for slice_, data in zip(part.column("slice").to_pylist(), part.column("data"), strict=True):
+                sums[slice_] = sums.get(slice_, 0) + np.frombuffer(data.as_buffer(), kind).astype(np.int64)
+        bits = [np.packbits(s >= least).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(bits, pa.binary())], names=["slice", "data"])
 
     packed = np.zeros((1 << bits) // 8, np.uint8)
-    summed = rows.mapInArrow(count, "slice int, data binary").repartition(_SLICES, "slice").mapInPandas(add, "slice int, data binary")
+    summed = rows.mapInArrow(count, "slice int, data binary").repartition(_SLICES, "slice").mapInArrow(add, "slice int, data binary")
     for row in summed.collect():
         packed[row["slice"] * width // 8 : (row["slice"] + 1) * width // 8] = np.frombuffer(row["data"], np.uint8)
     return packed

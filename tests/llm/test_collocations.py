@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -107,3 +110,8 @@ def test_a_level_takes_one_python_process_for_each_task(spark, monkeypatch):
     found = mine_collocations(docs, least=2)
     assert [r["phrase"] for r in found.collect()] == ["a b c d e"]
     assert plans and all(plan.count("MapInArrow") == 1 for plan in plans)
+
+
+def test_tasks_do_not_load_pandas():
+    code = "import sys, pairloom.llm.collocations; sys.exit('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], cwd=Path(co.__file__).parents[2]).returncode == 0
