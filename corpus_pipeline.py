@@ -16,13 +16,21 @@ from pairloom.llm.ngram_join import ngram_join
 from pairloom.llm.packing import pack_documents
 from pairloom.llm.text import SPACED_WORD, ascii_lower, free_name, has_repeats, whole
 from pairloom.llm.toxicity import fit_toxicity
-from pairloom.scratch import broadcast_if_small, kept_result, stage
+from pairloom.scratch import broadcast_if_small, kept_result, small_batches, stage
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier does not take for toxic. It learns from the labels of ``sf_dir``."""
-    model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return docs.filter(model.score(F.col("text")) < 0.5)
+    """Documents that the classifier does not take for toxic. It learns from the labels of ``sf_dir``.
+
+    They are written here, as the size of the batches of texts that go to Python is set only while a table is written.
+    """
+
+    def left() -> DataFrame:
+        model = fit_toxicity(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+        return docs.filter(model.score(F.col("text")) < 0.5)
+
+    with small_batches(spark):
+        return kept_result(spark, left, "toxicity-left")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from pairloom.llm.components import connected_components
 from pairloom.llm.hashing import runs, shingles, word_hashes
 from pairloom.llm.lookup import lookup
-from pairloom.scratch import broadcast_if_small, kept_result, stage
+from pairloom.scratch import broadcast_if_small, kept_result, small_batches, stage
 
 _ROW = "id long, n long, k1 long, k2 long, prefix array<long>"
 _SET = "id long, k1 long, k2 long, tokens array<long>"
@@ -60,16 +59,17 @@ def shingle_counts(rows: DataFrame, size: int, bits: int) -> np.ndarray:
             parts = [counts[k * width : (k + 1) * width].astype(np.uint32).tobytes() for k in range(_SLICES)]
             yield pa.RecordBatch.from_arrays([pa.array(range(_SLICES), pa.int32()), pa.array(parts, pa.binary())], names=["slice", "counts"])
 
-    def add(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for part in parts:
-            for slice_, counts in zip(part["slice"], part["counts"], strict=True):
-                sums[slice_] = sums.get(slice_, 0) + np.frombuffer(counts, np.uint32).astype(np.int64)
-        yield pd.DataFrame({"slice": list(sums), "counts": [s.astype(np.int64).tobytes() for s in sums.values()]})
+            for slice_, counts in zip(part.column("slice").to_pylist(), part.column("counts"), strict=True):
+                sums[slice_] = sums.get(slice_, 0) + np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+        totals = [s.astype(np.int64).tobytes() for s in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(totals, pa.binary())], names=["slice", "counts"])
 
     partial = rows.mapInArrow(count, "slice int, counts binary").repartition(_SLICES, "slice")
     total = np.zeros(1 << bits, np.int64)
-    for row in partial.mapInPandas(add, "slice int, counts binary").collect():
+    for row in partial.mapInArrow(add, "slice int, counts binary").collect():
         total[row["slice"] * width : (row["slice"] + 1) * width] += np.frombuffer(row["counts"], np.int64)
     return total
 
@@ -330,7 +330,8 @@ def ngram_join(
     id are documents of their own. Other columns are not read. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    linked = kept_result(docs.sparkSession, lambda: _linked_rows(rows, size, percent, sketch_bits, cold, block, column_blocks), "ngram-result")
+    with small_batches(docs.sparkSession):
+        linked = kept_result(docs.sparkSession, lambda: _linked_rows(rows, size, percent, sketch_bits, cold, block, column_blocks), "ngram-result")
     return linked.select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),

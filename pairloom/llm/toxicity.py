@@ -366,7 +366,8 @@ def fit_toxicity(
     taken = parts[0].unionByName(parts[1]).toPandas().sort_values(["label", *order])
     before = taken.groupby("label")["bytes"].cumsum() - taken["bytes"]
     taken = taken[before < sample_bytes].reset_index(drop=True)
-    wanted = spark.createDataFrame([(int(row), k) for k, row in enumerate(taken["row"])], "row long, k int")
+    # An Arrow table goes to the executors as it is; a list would take a Python process there.
+    wanted = spark.createDataFrame(pa.table({"row": pa.array(taken["row"], pa.int64()), "k": pa.array(range(len(taken)), pa.int32())}))
     rows = stage(texts.join(F.broadcast(wanted), "row").select("k", "label", "text"), "toxicity-sample").df
     n1, n0 = (int((taken["label"] == y).sum()) for y in (1, 0))
     keys = _chosen(_gram_counts(rows), n1, n0, most_grams) if n1 and n0 else np.empty(0, np.uint64)

@@ -2,10 +2,14 @@ from __future__ import annotations
 
 from collections import Counter
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
+from pairloom.llm import ngram_join
 from pairloom.llm.mixing import mix_sources
+from pairloom.scratch import BATCH_BYTES, small_batches
 from tests.llm import data
 from tests.llm.test_ngram_join import brute as near_copies
 
@@ -111,3 +115,49 @@ def test_run_is_the_stages_in_order(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SF_DIR)
     assert _rows(corpus_pipeline.run(spark, SF_DIR)) == _rows(docs)
+
+
+def _long_rows(spark, n=2400):
+    """Rows of some 10 kB in one partition, 24 MB in all."""
+    text = F.concat(F.repeat(F.concat(F.lit("word"), F.col("id"), F.lit(" ")), 1000), F.col("id").cast("string"))
+    return spark.range(n, numPartitions=1).select(F.col("id").alias("doc_id"), text.alias("text"), F.lit("a").alias("source"))
+
+
+def _small(texts):
+    # One row may pass the bound, and buffers grow by doubling.
+    assert texts.nbytes <= 2 * BATCH_BYTES, f"{len(texts)} texts of {texts.nbytes} bytes in a batch"
+    return texts
+
+
+def test_texts_are_scored_in_small_batches(spark, sf_dir, monkeypatch):
+    small = _small
+
+    class Model:
+        def score(self, text):
+            @F.arrow_udf("double")
+            def scored(texts: pa.Array) -> pa.Array:
+                return pa.array([float(k % 2) for k in range(len(small(texts)))])
+
+            return scored(text)
+
+    monkeypatch.setattr(corpus_pipeline, "fit_toxicity", lambda docs, labels: Model())
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert 0 < corpus_pipeline.reject_toxic(spark, _long_rows(spark), sf_dir).count() < 2400
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_near_copies_are_found_in_small_batches(spark, sf_dir, monkeypatch):
+    small, words = _small, ngram_join.word_hashes
+    monkeypatch.setattr(ngram_join, "word_hashes", lambda texts: words(small(texts)))
+    assert corpus_pipeline.drop_near_copies(spark, _long_rows(spark), sf_dir).count() == 2400
+
+
+def test_a_bound_of_the_session_stays(spark):
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(name, "1000")
+    try:
+        with small_batches(spark):
+            assert spark.conf.get(name) == "1000"
+        assert spark.conf.get(name) == "1000"
+    finally:
+        spark.conf.unset(name)

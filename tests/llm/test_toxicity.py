@@ -173,3 +173,13 @@ def test_grams_know_their_rows():
     for k, text in enumerate(("ab", None, "", "abcdefg", "ABCDEFG!")):
         (_, alone, _), = byte_grams(pa.array([text], pa.string()), 5)
         assert set(alone.tolist()) == by_row[k]
+
+
+def test_the_fit_sends_no_list_through_python_processes(spark, corpus, monkeypatch):
+    docs, labels = _tables(spark, corpus)
+
+    def refused(*_):
+        raise AssertionError("an RDD of Python objects")
+
+    monkeypatch.setattr(spark.sparkContext, "parallelize", refused)
+    assert fit_toxicity(docs, labels).texts > 100
