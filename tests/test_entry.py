@@ -27,6 +27,14 @@ def test_query_agrees_with_sql(spark, connection, name):
     assert check_oracle.compare(spark, connection, name, SF_DIR) == ""
 
 
+def test_reconstruction_leaves_no_nation_out(spark, tmp_path):
+    """More nations than the other balance queries have triplets, of very different sizes, one without any balance."""
+    balances = [(c, c % 9, float((c % 9) * (10 + c))) for c in range(40)]
+    spark.createDataFrame(balances, "c_custkey long, c_nationkey int, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    rows = entry.svd_reconstruct(spark, str(tmp_path)).collect()
+    assert sorted((r["i"], r["j"], r["approximation"]) for r in rows) == balances
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
