@@ -1,12 +1,19 @@
 from __future__ import annotations
 
+import importlib
+import os
+
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 import pairloom as pl
 from pairloom.operators import blocks
 from pairloom.scratch import stage
 
+# The package's own name of the module is the function.
+svd = importlib.import_module("pairloom.operators.svd")
+
 
 def frame(spark, a):
     i, j = np.nonzero(a)
@@ -391,3 +398,55 @@ def test_rows_go_to_a_tile_once(spark, transposed, monkeypatch):
         found[grid.indexes(row["block"])] = np.frombuffer(row["data"]).reshape(-1, columns)
     np.testing.assert_allclose(found, (a.T if transposed else a) @ dense_x, atol=1e-12)
     tiles.release()
+
+
+def test_cells_by_runs(monkeypatch):
+    """Rows of all lengths, one of them hot, in both directions, and tiles of an older version without runs."""
+    monkeypatch.setattr(blocks, "_LEAST_RUN", 3)
+    rng = np.random.default_rng(4)
+    a = random_sparse(60, 0.1, 4)
+    a[7] = rng.random(60)
+    a[:, 11] = rng.random(60)
+    i, j = np.nonzero(a)
+    batch = blocks._tile((0, 0), 0, [(i * 60 + j, a[i, j])], 60)
+    tile = dict(zip(batch.schema.names, (column[0] for column in batch.columns)))
+    x = rng.random((60, 4))
+    for transposed, want in ((False, a @ x), (True, a.T @ x)):
+        cells = blocks._cells(*[tile[name].as_buffer() for name in blocks._cell_columns(transposed)])
+        runs, rows = cells[:2]
+        assert len(runs) > 3 and (np.diff(runs) <= 0).all() and runs.min() >= 3 and runs.sum() < len(rows)
+        have = np.zeros((60, 4))
+        blocks._add_product(have, *cells, x)
+        np.testing.assert_allclose(have, want, atol=1e-12)
+    have = np.zeros((60, 4))
+    old = blocks._cells(*[np.ascontiguousarray(v, t).tobytes() for v, t in ((i, np.int32), (j, np.int32), (a[i, j], float))], None)
+    blocks._add_product(have, *old, x)
+    np.testing.assert_allclose(have, a @ x, atol=1e-12)
+
+
+def test_laid_out_tiles_are_read_as_they_lie(spark, monkeypatch):
+    """Only what is sent to tiles is shuffled; tiles are neither sorted nor held by executors, and a row group has one row."""
+    monkeypatch.setattr(blocks, "BROADCAST_BYTES", 0)
+    n, columns = 4000, 3
+    grid = blocks.Grid(n, 2)
+    cells = spark.range(400_000).selectExpr(f"cast(pmod(hash(id), {n}) as int) as i", f"cast(pmod(hash(id, 1), {n}) as int) as j", "1.0 as value")
+    monkeypatch.setattr("pairloom.scratch.ROW_GROUP_BYTES", 100_000)
+    tiles = blocks.cells_laid_out(cells, grid, 400_000, 2)
+    x = blocks.BlockStore(spark, grid)
+    sent = blocks.sent_rows(tiles, x.read(x.write(blocks.random_blocks(spark, grid, columns, 1.0, 1), columns)), grid, columns, False)
+    plan = blocks.met_rows(tiles, sent.withColumnsRenamed({"source": "col_block", "target": "row_block"}))
+    plan = plan._jdf.queryExecution().executedPlan().toString()
+    beside = plan.split("svd_tiles_")[0]
+    assert "ShuffledHashJoin" in beside and "Exchange" not in beside and "Sort " not in beside and "InMemory" not in beside
+    files = [f.removeprefix("file:") for f in tiles.df.inputFiles()]
+    found = [pq.ParquetFile(f).metadata for f in files]
+    assert sum(f.num_rows for f in found) >= 4 and all(f.num_rows == f.num_row_groups for f in found)
+    table = tiles.table
+    tiles.release()
+    assert not spark.catalog.tableExists(table) and not any(os.path.exists(f) for f in files)
+
+
+def test_blocks_of_large_matrices_are_narrow():
+    """What a pass moves grows with the square of the columns, as there are more blocks, too."""
+    assert svd._width(1_000, 1) == 64 and svd._width(300_000, 5) == 16
+    assert svd._width(1_200_000, 5) == 8 and svd._width(7_200_000, 1) == 4
